@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderweave.functions.messages import CORRUPT, request_to_json, with_request
+from orderweave.functions.numbers import clamped_seek
 from orderweave.functions.rules import Rule
 from orderweave.session import broadcast_if_small
 
@@ -97,22 +98,19 @@ def log_end(records: DataFrame) -> DataFrame:
     return records.groupBy("topic", "partition_id").agg((F.max("offset_id") + 1).alias("end_offset"))
 
 
-def replay_from_offsets(records: DataFrame, start: DataFrame) -> DataFrame:
-    """Records from the requested offset on, per partition; a request behind the end reads nothing.
-
-    ``start`` has (topic, partition_id, requested_offset), one row per topic partition. That is far below the
-    broadcast bound, which is checked. Clamping to the log end needs no extra pass: no record lies at or behind
-    the end, so comparing with the unclamped request keeps exactly the same rows.
-    """
-    return (
-        records.join(broadcast_if_small(start), ["topic", "partition_id"])
-        .where(F.col("offset_id") >= F.col("requested_offset"))
-        .drop("requested_offset")
+def clamped_start(requested: DataFrame, end: DataFrame) -> DataFrame:
+    """The offsets a group is really moved to: never behind the log end. One row per topic partition."""
+    return requested.join(end, ["topic", "partition_id"], "left").select(
+        "topic", "partition_id", clamped_seek(F.col("requested_offset"), F.col("end_offset")).alias("start_offset")
     )
 
 
-def clamped_start(start: DataFrame, end: DataFrame) -> DataFrame:
-    """The offsets a group is really moved to."""
-    return start.join(end, ["topic", "partition_id"], "left").select(
-        "topic", "partition_id", F.least("requested_offset", "end_offset").alias("start_offset")
+def replay_from_offsets(records: DataFrame, start: DataFrame) -> DataFrame:
+    """Records from ``start_offset`` on, per partition.
+
+    ``start`` has one row per topic partition, far below the broadcast bound, which is checked. The eight or so
+    partition keys would make a shuffle join badly skewed.
+    """
+    return records.join(broadcast_if_small(start), ["topic", "partition_id"]).where(
+        F.col("offset_id") >= F.col("start_offset")
     )

@@ -27,17 +27,19 @@ SEED_PER_GROUP = 8
 SEED_QTY = 10
 
 _WORD = 1 << 32
-STREAM_STEP = 2654435761
+LOW_STEP, HIGH_STEP, STREAM_STEP = 40503, 2654435, 2654435761
 
 
-def draw(n: Column, stream: int, count: int) -> Column:
-    """A reproducible uniform number 0..count-1 for row ``n``; ``stream`` separates independent draws.
+def word(n: Column, stream: int) -> Column:
+    """32 bits of row ``n`` for one of several independent draws; rows beyond 2^32 do not repeat the first ones."""
+    low = n.bitwiseAND(_WORD - 1) * LOW_STEP
+    high = F.shiftright(n, 32) * HIGH_STEP
+    return (low + high + F.lit(stream * STREAM_STEP)).bitwiseAND(_WORD - 1)
 
-    The row number is mixed in two 32-bit words, so rows beyond 2^32 do not repeat the first ones.
-    """
-    low = mix_id32(n.bitwiseAND(_WORD - 1).bitwiseXOR(F.lit(stream * STREAM_STEP % _WORD)))
-    high = mix_id32(F.shiftright(n, 32) + F.lit(stream).cast("long"))
-    return mix_id32((low + high).bitwiseAND(_WORD - 1)) % F.lit(count)
+
+def draw(word_column: str, count: int) -> Column:
+    """A reproducible uniform number 0..count-1 from a word."""
+    return mix_id32(F.col(word_column)) % F.lit(count)
 
 
 def _size(df: DataFrame) -> int:
@@ -59,11 +61,10 @@ def gen_requests(spark: SparkSession, person: DataFrame, product: DataFrame, n:
     persons = ordered_index(person.select("person_id"), [], "person_id", "p_at")
     products = ordered_index(product.select("product_id"), [], "product_id", "g_at")
     row = F.col("id")
-    drawn = spark.range(n).select(
-        row,
-        draw(row, seed, _size(person)).alias("p_at"),
-        draw(row, seed + 1, _size(product)).alias("g_at"),
-        (draw(row, seed + 2, max_qty) + 1).alias("qty"),
+    words = spark.range(n).select(row, *[word(row, seed + i).alias(f"w{i}") for i in range(3)])
+    drawn = words.select(
+        row, draw("w0", _size(person)).alias("p_at"), draw("w1", _size(product)).alias("g_at"),
+        (draw("w2", max_qty) + 1).alias("qty"),
     )
     first = 0
     if existing is not None and not replace:
@@ -93,9 +94,9 @@ def seed_requests(spark: SparkSession, person: DataFrame, product: DataFrame, gr
     products = ordered_index(product.select("product_id"), [], "product_id", "g_at")
     row = F.col("id")
     group = F.expr(f"id div {per_group}")
-    drawn = spark.range(groups * per_group).select(
-        row, draw(row, seed, _size(person)).alias("p_at"), draw(group, seed + 1, _size(product)).alias("g_at")
-    )
+    words = spark.range(groups * per_group).select(
+        row, word(row, seed).alias("w0"), word(group, seed + 1).alias("w1"))
+    drawn = words.select(row, draw("w0", _size(person)).alias("p_at"), draw("w1", _size(product)).alias("g_at"))
     return drawn.join(persons, "p_at").join(products, "g_at").select(
         row.alias("request_id"), "person_id", "product_id", F.lit(qty).cast("long").alias("qty"),
         F.lit(CREDIT).alias("operation"), F.lit(PENDING).alias("result"),

@@ -54,8 +54,8 @@ class SnapshotStore:
             return False
         latest = self._latest()
         paths = dict(latest["tables"]) if latest else {}
-        paths.update({name: self._write(name, df) for name, df in (tables or {}).items()})
-        logs = {name: self._write(name, df) for name, df in (added or {}).items()}
+        paths.update({name: self.stage(name, df) for name, df in (tables or {}).items()})
+        logs = {name: self.stage(name, df) for name, df in (added or {}).items()}
         version = (latest["version"] if latest else 0) + 1
         self.publish(version, run_key, paths, logs)
         return True
@@ -65,7 +65,8 @@ class SnapshotStore:
         record = self.spark.createDataFrame([(version, run_key, dict(paths), dict(logs))], _COMMIT)
         record.coalesce(1).write.mode("error").json(f"{self.root}/commits/{version:012d}")
 
-    def _write(self, name: str, df: DataFrame) -> str:
+    def stage(self, name: str, df: DataFrame) -> str:
+        """Write a new folder that no reader sees until a commit names it."""
         path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
         df.write.parquet(path)
         return path

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from orderweave.functions.messages import CORRUPT, with_request
 from orderweave.functions.text import upper_text
 from orderweave.operators.corroborate import checkpoint_events, compact_latest
+from orderweave.operators.filters import eligible_requests
 from orderweave.operators.records import outgoing
 from orderweave.session import scratch
 from orderweave.sources.snapshots import SnapshotStore
@@ -85,7 +86,7 @@ def publish_requests(store: SnapshotStore, request: DataFrame, partitions: int,
 
     Returns the number published, read from the written batch.
     """
-    records = outgoing(request, partitions, batch_id, replay_id, keyed).select(
+    records = outgoing(eligible_requests(request), partitions, batch_id, replay_id, keyed).select(
         "request_id", "msg_key", "msg_value", "partition_id", "headers", F.lit(batch_id).alias("batch_id")
     )
     store.commit(f"publish/{batch_id}", added={"records": records})

@@ -11,12 +11,12 @@ from orderweave.functions.rules import Rule
 from orderweave.operators.allocate import CHUNK_ROWS, allocate_requests, next_inventory, next_person
 from orderweave.operators.counts import with_run_state
 from orderweave.operators.records import dead_letter_split, dedup_requests, unprocessed
-from orderweave.schemas import REQUEST
+from orderweave.schemas import BACK_ORDER, REQUEST
 from orderweave.session import materialize
 from orderweave.sources.snapshots import SnapshotStore
 from orderweave.streaming.flows import run_batches
 
-CONTROL = "batch_id long, topic string, partition_id int, n long, n_failed long, max_offset long"
+CONTROL = "run_id string, batch_id long, topic string, partition_id int, n long, n_failed long, max_offset long"
 
 
 def open_store(store: SnapshotStore, inventory: DataFrame, person: DataFrame) -> SnapshotStore:
@@ -25,9 +25,14 @@ def open_store(store: SnapshotStore, inventory: DataFrame, person: DataFrame) ->
     return store
 
 
-def handle_batch(store: SnapshotStore, batch: DataFrame, run_key: str, batch_id: int, product: DataFrame,
+def handle_batch(store: SnapshotStore, batch: DataFrame, run_id: str, batch_id: int, product: DataFrame,
                  rules: Sequence[Rule] = (), chunk_rows: int = CHUNK_ROWS) -> bool:
-    """Apply one micro-batch. A batch that was committed before is skipped, so a replay has no effect."""
+    """Apply one micro-batch. A batch that was committed before is skipped, so a replay has no effect.
+
+    A request counts as processed once it has any outcome in this run or a final one in an earlier run: a
+    back-order is tried again by the next run, not by a repeated delivery.
+    """
+    run_key = f"{run_id}/{batch_id}"
     if store.committed(run_key):
         return False
     spark = batch.sparkSession
@@ -35,18 +40,19 @@ def handle_batch(store: SnapshotStore, batch: DataFrame, run_key: str, batch_id:
     dead = split.where(F.col("error").isNotNull())
     control = split.groupBy("topic", "partition_id").agg(
         F.count("*").alias("n"), F.count("error").alias("n_failed"), F.max("offset_id").alias("max_offset")
-    ).select(F.lit(batch_id).cast("long").alias("batch_id"), "*")
+    ).select(F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("long").alias("batch_id"), "*")
 
     columns = REQUEST.fieldNames()
     first = dedup_requests(split.where(F.col("error").isNull()), order=("partition_id", "offset_id"))
-    done = store.load_log("outcome", lambda: spark.range(0).select(F.col("id").alias("request_id")))
+    outcomes = store.load_log("outcome", lambda: spark.createDataFrame([], "request_id long, run_id string, result int"))
+    done = outcomes.where((F.col("run_id") == run_id) | (F.col("result") != BACK_ORDER)).select("request_id")
     fresh = materialize(unprocessed(first, done).select(*columns), "fresh")
     inventory, person = store.load("inventory"), store.load("person")
     decided = allocate_requests(fresh, inventory, product, person, chunk_rows)
     return store.commit(
         run_key,
         tables={"inventory": next_inventory(inventory, decided), "person": next_person(person, decided)},
-        added={"outcome": decided, "dead_letter": dead, "control": control},
+        added={"outcome": decided.withColumn("run_id", F.lit(run_id)), "dead_letter": dead, "control": control},
     )
 
 
@@ -61,13 +67,13 @@ def process_run(store: SnapshotStore, records: DataFrame, run_id: str, product:
         raise RuntimeError(f"run {run_id} is not ready: it has been closed")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        handle_batch(store, batch, f"{run_id}/{batch_id}", batch_id, product, rules, chunk_rows)
+        handle_batch(store, batch, run_id, batch_id, product, rules, chunk_rows)
 
     run_batches(records, handle, run_id, checkpoint=f"{store.root}/streams/{run_id}")
     spark = product.sparkSession
     control = store.load_log("control", lambda: spark.createDataFrame([], CONTROL))
     total, bad = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_failed"), F.lit(0))
-    report = with_run_state(control.agg(
+    report = with_run_state(control.where(F.col("run_id") == run_id).agg(
         total.alias("nbr_published"), (total - bad).alias("nbr_processed"), bad.alias("nbr_processed_with_error")
     ))
     store.commit(f"{run_id}/closed", added={"run_log": report.select(F.lit(run_id).alias("run_id"), "*")})
