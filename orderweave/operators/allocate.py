@@ -16,9 +16,12 @@ How it is distributed
   its true entering state lies outside that margin; it is walked again in the next round.
 * The product walk takes the balance failures of the round before as given, the person walk the stock failures.
 
-Rounds stop when no decision changed and every chunk lies within its margin. At that point each decision equals
-the serial one given the earlier decisions, so by induction over the request order the whole result equals the
-serial result. Every round settles at least the first wrong request, so the loop ends; there is no cap.
+* After the first round only the chunks that a changed decision or a changed entering state concerns are walked
+  again; with few of them only their buckets are read.
+
+The loop stops when no chunk is left to walk. At that point each decision equals the serial one given the earlier
+decisions, so by induction over the request order the whole result equals the serial result. Every round settles
+at least the first wrong request, so the loop ends; there is no cap.
 """
 
 from __future__ import annotations
@@ -42,10 +45,14 @@ from orderweave.session import materialize, scratch
 CHUNK_ROWS = 500_000
 MAX_CHUNKS = 50_000
 
+#: A walk may be limited to this many listed chunks, and this many limited walks follow a full one.
+MAX_LISTED = 2_000
+MAX_NARROW_WALKS = 10
+
 _MESSAGE = "chunk int, kind string, id long, value long"
 _WALKED = (
     "kind string, chunk int, key long, entered long, left long, slack long, gap long, failed boolean, "
-    "request_id long, other_chunk int, changed long"
+    "request_id long, other_chunk int"
 )
 _WIDE = 2**62
 
@@ -113,7 +120,7 @@ def _walker(side: Side) -> Callable:
 
 
 def _round_task(side: Side, other: Side) -> Callable:
-    """Failures, the first and last key segment, and the number of changed decisions of a chunk."""
+    """Failures, the first and last key segment, and the chunks of the other side that a changed decision concerns."""
     walk, other_chunk = _walker(side), other.chunk
 
     def task(key, rows, notes):
@@ -123,16 +130,16 @@ def _round_task(side: Side, other: Side) -> Callable:
             rows, passes, _, segments = walk(rows, notes)
             failing = rows.loc[[not p for p in passes]]
             ends = segments if len(segments) == 1 else [segments[0], segments[-1]]
-            out = [("segment", chunk, *end, 0, 0, 0) for end in ends]
+            out = [("segment", chunk, *end, 0, 0) for end in ends]
             out += [
-                ("failed", chunk, 0, 0, 0, 0, 0, False, request, there, 0)
+                ("failed", chunk, 0, 0, 0, 0, 0, False, request, there)
                 for request, there in zip(failing["request_id"].tolist(), failing[other_chunk].tolist())
             ]
-            earlier = set(notes.loc[notes["kind"] == "earlier", "id"].tolist())
-            changed = len(earlier.symmetric_difference(failing["request_id"].tolist()))
-            out.append(("changed", chunk, 0, 0, 0, 0, 0, False, 0, 0, changed))
-        names = ["kind", "chunk", "key", "entered", "left", "slack", "gap", "failed", "request_id", "other_chunk",
-                 "changed"]
+            earlier = notes.loc[notes["kind"] == "earlier", "id"]
+            changed = set(earlier.tolist()).symmetric_difference(failing["request_id"].tolist())
+            touched = rows.loc[rows["request_id"].isin(changed), other_chunk].unique().tolist()
+            out += [("touched", chunk, 0, 0, 0, 0, 0, False, 0, there) for there in touched]
+        names = ["kind", "chunk", "key", "entered", "left", "slack", "gap", "failed", "request_id", "other_chunk"]
         return pd.DataFrame(out, columns=names)
 
     return task
@@ -172,7 +179,7 @@ class _Layout:
 
     def __init__(self, rows: DataFrame, side: Side, other: Side, chunks: int):
         self.spark: SparkSession = rows.sparkSession
-        self.side, self.other = side, other
+        self.side, self.other, self.chunks = side, other, chunks
         self.buckets = min(chunks, max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
         self.table = f"orderweave_{side.name}_{uuid.uuid4().hex}"
         wanted = ["request_id", side.key, side.amount, side.opening, "is_credit", other.chunk]
@@ -183,43 +190,72 @@ class _Layout:
             .option("path", scratch(self.spark, side.name)).saveAsTable(self.table)
         )
         self.rows = self.spark.table(self.table)
-        self.carry: DataFrame | None = None
         self.failed: DataFrame | None = None
+        self.segments: DataFrame | None = None
+        self.carry: DataFrame | None = None
+        self.pending: set[int] | None = None  # chunks to walk next; None is all of them
+        self._narrow_walks = 0
 
     def _notes(self, blocked: DataFrame | None, earlier: bool) -> DataFrame:
         empty = [F.lit(None).cast(kind).alias(name) for name, kind in (m.split() for m in _MESSAGE.split(", "))]
         notes = self.spark.range(0).select(*empty)
+        zero = F.lit(0).cast("long").alias("value")
         if blocked is not None:
             notes = notes.unionByName(blocked.select(
-                F.col("other_chunk").alias("chunk"), F.lit("blocked").alias("kind"),
-                F.col("request_id").alias("id"), F.lit(0).cast("long").alias("value")))
+                F.col("other_chunk").alias("chunk"), F.lit("blocked").alias("kind"), F.col("request_id").alias("id"),
+                zero))
         if self.carry is not None:
             notes = notes.unionByName(self.carry.select("chunk", "kind", "id", "value"))
         if earlier and self.failed is not None:
             notes = notes.unionByName(self.failed.select(
-                "chunk", F.lit("earlier").alias("kind"), F.col("request_id").alias("id"),
-                F.lit(0).cast("long").alias("value")))
+                "chunk", F.lit("earlier").alias("kind"), F.col("request_id").alias("id"), zero))
         return notes
 
-    def _with_notes(self, notes: DataFrame):
-        return self.rows.groupBy("chunk").cogroup(notes.groupBy("chunk"))
-
-    def walk(self, blocked: DataFrame | None) -> tuple[int, int]:
-        """One round. Returns the number of open chunks and of decisions that differ from the round before."""
+    def _with_notes(self, notes: DataFrame, chunks: list[int] | None = None):
+        rows = self.rows
+        if chunks is not None:
+            rows, notes = (df.where(F.col("chunk").isin(chunks)) for df in (rows, notes))
+        return rows.groupBy("chunk").cogroup(notes.groupBy("chunk"))
+
+    def _selection(self) -> list[int] | None:
+        """The pending chunks if they are few: then only their buckets are read. Walking more is never wrong."""
+        few = self.pending is not None and len(self.pending) <= min(MAX_LISTED, self.chunks // 2)
+        if few and self._narrow_walks < MAX_NARROW_WALKS:
+            self._narrow_walks += 1
+            return sorted(self.pending)
+        self._narrow_walks = 0
+        return None
+
+    def walk(self, blocked: DataFrame | None) -> set[int]:
+        """Walk the pending chunks; those still open stay pending. Returns the touched chunks of the other side."""
         path = scratch(self.spark, f"{self.side.name}-walk")
-        task = _round_task(self.side, self.other)
+        task, chunks = _round_task(self.side, self.other), self._selection()
         notes = self._notes(blocked, earlier=True)
-        self._with_notes(notes).applyInPandas(task, _WALKED).write.partitionBy("kind").parquet(path)
+        self._with_notes(notes, chunks).applyInPandas(task, _WALKED).write.partitionBy("kind").parquet(path)
         walked = self.spark.read.schema(_WALKED).option("basePath", path).parquet(path)
-        self.failed = walked.where("kind = 'failed'").select("chunk", "request_id", "other_chunk")
+        failed = walked.where("kind = 'failed'").select("chunk", "request_id", "other_chunk")
         segments = walked.where("kind = 'segment'").drop("kind")
+        if chunks is not None:
+            others = ~F.col("chunk").isin(chunks)
+            failed = failed.unionByName(self.failed.where(others))
+            segments = segments.unionByName(self.segments.where(others))
+        self.failed, self.segments = failed, segments
         # At most two segments per chunk: the chain of a key is as short as its number of chunks.
         self.carry = segments.groupBy("key").applyInPandas(_chainer(), _MESSAGE + ", open long")
-        zero = F.lit(0).cast("long")
-        tally = self.carry.select("open", zero.alias("changed")).unionByName(
-            walked.where("kind = 'changed'").select(zero.alias("open"), "changed"))
-        total = tally.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("open", "changed")]).first()
-        return total["open"], total["changed"]
+        # Chunk numbers only: both lists are bounded by MAX_CHUNKS.
+        found = self.carry.where("open = 1").select(F.lit(True).alias("here"), "chunk").unionByName(
+            walked.where("kind = 'touched'").select(F.lit(False).alias("here"), F.col("other_chunk").alias("chunk"))
+            .distinct()).collect()
+        self.pending = {r.chunk for r in found if r.here}
+        return {r.chunk for r in found if not r.here}
+
+    def touch(self, chunks: set[int]) -> None:
+        if self.pending is not None:
+            self.pending |= chunks
+
+    @property
+    def unsettled(self) -> bool:
+        return self.pending is None or bool(self.pending)
 
     def outcome(self, blocked: DataFrame | None) -> DataFrame:
         """After settling: every row with its decision and the state it met."""
@@ -306,12 +342,11 @@ def allocate_requests(request: DataFrame, inventory: DataFrame, product: DataFra
     runs = placed.where("runs")
     goods, money = _Layout(runs, STOCK, BALANCE, chunks), _Layout(runs, BALANCE, STOCK, chunks)
     try:
-        settled = False
-        while not settled:
-            open_goods, _ = goods.walk(money.failed)
-            open_money, changed = money.walk(goods.failed)
-            # The product walk saw the balance failures of the round before: they must be the final ones.
-            settled = not (open_goods or open_money or changed)
+        while goods.unsettled or money.unsettled:
+            if goods.unsettled:
+                money.touch(goods.walk(money.failed))
+            if money.unsettled:
+                goods.touch(money.walk(goods.failed))
         both = F.col("stock_ok") & F.col("balance_ok")
         decided = goods.outcome(money.failed).join(money.outcome(goods.failed), "request_id").select(
             "request_id", "person_id", "product_id", "qty", _operation("stock_credit"),
@@ -335,8 +370,8 @@ def allocate_stock_only(request: DataFrame, inventory: DataFrame, product: DataF
     placed = materialize(_lay_out(_price(request, inventory, product, person), STOCK, chunks), "priced")
     goods = _Layout(placed.where("runs"), STOCK, STOCK, chunks)
     try:
-        while goods.walk(None)[0]:
-            pass
+        while goods.unsettled:
+            goods.walk(None)
         decided = goods.outcome(None).select(
             "request_id", "product_id", "qty", _operation("stock_credit"),
             F.when(F.col("stock_ok"), EXECUTED).otherwise(BACK_ORDER).alias("result"),

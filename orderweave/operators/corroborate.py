@@ -70,18 +70,24 @@ def sequence_gaps(events: DataFrame, key: str, seq: str, width: int = CELL_WIDTH
 
     For a gap ``n`` is the number of missing values, for a duplicate the number of occurrences.
     """
-    repeated = events.groupBy(key, seq).agg(F.count("*").alias("n")).where((F.col("n") > 1) & F.col(seq).isNotNull())
-    duplicates = repeated.select(
-        key, F.lit("duplicate").alias("kind"),
-        F.col(seq).cast("long").alias("first_seq"), F.col(seq).cast("long").alias("last_seq"), "n",
+    tallied = (
+        events.where(F.col(seq).isNotNull()).groupBy(key, F.col(seq).cast("long").alias("__seq"))
+        .agg(F.count("*").alias("__n"))
     )
-    steps = ordered_steps(events, key, seq, width).where(F.col("current") - F.col("previous") > 1)
-    gaps = steps.select(
-        key, F.lit("gap").alias("kind"),
-        (F.col("previous") + 1).cast("long").alias("first_seq"), (F.col("current") - 1).cast("long").alias("last_seq"),
-        (F.col("current") - F.col("previous") - 1).cast("long").alias("n"),
-    )
-    return duplicates.unionByName(gaps)
+    within, between = ordered_steps(tallied, key, "__seq", width)
+
+    def finding(test: Column, kind: str, first: Column, last: Column, n: Column) -> Column:
+        return F.when(test, F.struct(F.lit(kind).alias("kind"), first.alias("first_seq"), last.alias("last_seq"),
+                                     n.alias("n")))
+
+    def gap(previous: Column, current: Column) -> Column:
+        return finding(current - previous > 1, "gap", previous + 1, current - 1, current - previous - 1)
+
+    here, previous = F.col("__seq"), F.col("previous")
+    repeat = finding(F.col("__n") > 1, "duplicate", here, here, F.col("__n"))
+    inside = within.select(key, F.explode(F.array_compact(F.array(repeat, gap(previous, here)))).alias("f"))
+    across = between.select(key, gap(previous, F.col("current")).alias("f")).where(F.col("f").isNotNull())
+    return inside.unionByName(across).select(key, "f.*")
 
 
 def invariant_violations(checks: Sequence[tuple[DataFrame, str, Sequence[Rule]]]) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderweave.functions.numbers import clamped_lag
 from orderweave.operators.filters import consumer_groups_only
-from orderweave.session import broadcast_if_small
+from orderweave.session import small_side
 
 PLACE = ["topic", "partition_id"]
 NO_THRESHOLD = 2**63 - 1
@@ -19,7 +22,7 @@ def offset_join(committed: DataFrame, end: DataFrame) -> DataFrame:
     Few partitions carry very many groups, so a shuffle on the partition would be badly skewed: the end offsets
     (one row per topic partition) are broadcast after a size check.
     """
-    return committed.join(broadcast_if_small(end), PLACE, "left").select(
+    return committed.join(small_side(end, "log-end"), PLACE, "left").select(
         "group_id", *PLACE, "committed_offset",
         F.coalesce("end_offset", "committed_offset").alias("end_offset"),
     )
@@ -42,7 +45,7 @@ def group_total_lag(groups: DataFrame, committed: DataFrame, end: DataFrame) ->
 
     Without an end offset the difference is null, which ``greatest`` turns into 0: such a partition adds nothing.
     """
-    known = committed.join(broadcast_if_small(end), PLACE, "left").groupBy("group_id").agg(
+    known = committed.join(small_side(end, "log-end"), PLACE, "left").groupBy("group_id").agg(
         F.sum(clamped_lag(F.col("end_offset"), F.col("committed_offset"))).alias("__lag")
     )
     return consumer_groups_only(groups).join(known.withColumn("__seen", F.lit(True)), "group_id", "left").select(
@@ -66,3 +69,21 @@ def scale_advice(total_lag: DataFrame, per_replica: int = 1000, low: int = 1, hi
     return total_lag.select(
         "group_id", "total_lag", F.greatest(F.lit(low), F.least(F.lit(high), wanted)).cast("long").alias("replicas")
     )
+
+
+def progress_lag(progress: Mapping, group_id: str) -> list[dict]:
+    """Lag rows of a running query, read from one ``StreamingQueryProgress`` as JSON.
+
+    Kafka sources report their offsets as ``{topic: {partition: offset}}``: the end of the last batch is what has
+    been processed, and ``latestOffset`` is the log end. The rows are as few as the topic partitions.
+    """
+    rows = []
+    for source in progress["sources"]:
+        done, end = (json.loads(source[k]) if isinstance(source[k], str) else source[k]
+                     for k in ("endOffset", "latestOffset"))
+        for topic, parts in done.items():
+            for part, committed in parts.items():
+                last = end.get(topic, {}).get(part, committed)
+                rows.append({"group_id": group_id, "topic": topic, "partition_id": int(part),
+                             "committed_offset": committed, "end_offset": last, "lag": max(last - committed, 0)})
+    return rows

@@ -103,8 +103,14 @@ def insert_with_constraints(
     return checked.join(first, [key, seq], "left").select(*new.columns, status.alias("status"))
 
 
-def update_by_id(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Next snapshot with ``status``: unchanged, updated, or not_found for a change without a row."""
+def update_by_id(table: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Next snapshot with ``status``: unchanged, updated, or not_found for a change without a row.
+
+    Changes are unique on the key; where they may not be, ``order`` names the column by which the last one wins.
+    """
+    if order is not None:
+        row = F.struct(*table.columns)
+        changes = changes.groupBy(key).agg(F.max_by(row, order).alias("__row")).select("__row.*")
     old, new = table.alias("old"), changes.alias("new")
     hit = F.col(f"new.{key}").isNotNull()
     known = F.col(f"old.{key}").isNotNull()

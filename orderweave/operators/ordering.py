@@ -41,20 +41,20 @@ def ordered_index(df: DataFrame, keys: Sequence[str], order: str, out: str = "id
     )
 
 
-def ordered_steps(df: DataFrame, key: str, order: str, width: int = CELL_WIDTH) -> DataFrame:
-    """(key, previous, current) for consecutive *distinct* values of ``order`` inside each key."""
-    distinct = df.select(key, order).dropna().distinct().withColumn("__cell", cell_of(order, width))
+def ordered_steps(values: DataFrame, key: str, order: str, width: int = CELL_WIDTH) -> tuple[DataFrame, DataFrame]:
+    """Predecessors among the distinct values of ``order`` inside each key.
+
+    ``values`` holds each (key, order) once and may carry more columns. Returns the rows with ``previous`` taken
+    inside their cell (null for the first row of a cell), and (key, previous, current) for the steps from one cell
+    to the next.
+    """
+    cells = values.withColumn("__cell", cell_of(order, width))
     inside = W.partitionBy(key, "__cell").orderBy(order)
-    within = (
-        distinct.withColumn("previous", F.lag(order).over(inside))
-        .where(F.col("previous").isNotNull())
-        .select(key, "previous", F.col(order).alias("current"))
-    )
     across = W.partitionBy(key).orderBy("__cell")
     between = (
-        distinct.groupBy(key, "__cell").agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
+        cells.groupBy(key, "__cell").agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
         .withColumn("previous", F.lag("__hi").over(across))
         .where(F.col("previous").isNotNull())
         .select(key, "previous", F.col("__lo").alias("current"))
     )
-    return within.unionByName(between)
+    return cells.withColumn("previous", F.lag(order).over(inside)).drop("__cell"), between

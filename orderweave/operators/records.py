@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderweave.functions.messages import CORRUPT, request_to_json, with_request
 from orderweave.functions.numbers import clamped_seek
 from orderweave.functions.rules import Rule
-from orderweave.session import broadcast_if_small
+from orderweave.session import small_side
 
 # Header names and the suffix of a dead-letter topic.
 HEADER_BATCH = "batch-id"
@@ -111,6 +111,6 @@ def replay_from_offsets(records: DataFrame, start: DataFrame) -> DataFrame:
     ``start`` has one row per topic partition, far below the broadcast bound, which is checked. The eight or so
     partition keys would make a shuffle join badly skewed.
     """
-    return records.join(broadcast_if_small(start), ["topic", "partition_id"]).where(
+    return records.join(small_side(start, "start"), ["topic", "partition_id"]).where(
         F.col("offset_id") >= F.col("start_offset")
     )

@@ -68,7 +68,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` is small; otherwise leave the join to AQE."""
-    seen = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if seen <= max_rows else df
+def small_side(df: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A join side that is expected to be tiny: computed once, counted, and broadcast only if it really is.
+
+    It is written first, so that counting it and joining it do not run its plan twice. Above ``max_rows`` there is
+    no hint and the join is left to AQE.
+    """
+    written = materialize(df, label)
+    return F.broadcast(written) if written.count() <= max_rows else written

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderweave.functions import messages
 from orderweave.operators.filters import eligible_requests
@@ -18,6 +19,9 @@ from orderweave.schemas import MONEY
 TOPIC = "requests"
 PARTITIONS = 8
 
+#: Schemas seen so far: asking a file for its schema is a job of its own.
+_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
+
 
 class DriverTables:
     """Derived views over one folder of benchmark tables. Everything is lazy."""
@@ -27,7 +31,10 @@ class DriverTables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _KNOWN_SCHEMAS:
+            _KNOWN_SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_KNOWN_SCHEMAS[path]).parquet(path)
 
     def person(self) -> DataFrame:
         return self.raw("customer").select(
