@@ -41,8 +41,9 @@ from orderweave.operators.views import enrich_requests
 from orderweave.schemas import BACK_ORDER, CREDIT, DEBIT, ERROR, EXECUTED, MONEY, PENDING
 from orderweave.session import materialize, scratch
 
-#: Rows one task walks at a time, and the most chunks a layout is cut into.
+#: Rows one task walks at a time, the fewest worth a task of their own, and the most chunks of a layout.
 CHUNK_ROWS = 500_000
+SMALL_CHUNK_ROWS = 25_000
 MAX_CHUNKS = 50_000
 
 #: A walk may be limited to this many listed chunks, and this many limited walks follow a full one.
@@ -280,7 +281,7 @@ class _Layout:
 
 
 def _chunk_count(rows: int, spark: SparkSession, chunk_rows: int) -> int:
-    wanted = max(-(-rows // chunk_rows), min(spark.sparkContext.defaultParallelism, -(-rows // 2_000)))
+    wanted = max(-(-rows // chunk_rows), min(spark.sparkContext.defaultParallelism, -(-rows // SMALL_CHUNK_ROWS)))
     return max(1, min(MAX_CHUNKS, wanted))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderweave.functions.rules import Rule, violations
 from orderweave.operators.counts import request_count
-from orderweave.operators.ordering import CELL_WIDTH, ordered_steps
+from orderweave.operators.ordering import CELL_WIDTH, step_across, step_inside
 from orderweave.schemas import CREDIT, DEBIT, EXECUTED
 
 
@@ -70,11 +70,9 @@ def sequence_gaps(events: DataFrame, key: str, seq: str, width: int = CELL_WIDTH
 
     For a gap ``n`` is the number of missing values, for a duplicate the number of occurrences.
     """
-    tallied = (
-        events.where(F.col(seq).isNotNull()).groupBy(key, F.col(seq).cast("long").alias("__seq"))
-        .agg(F.count("*").alias("__n"))
-    )
-    within, between = ordered_steps(tallied, key, "__seq", width)
+    numbered = events.where(F.col(seq).isNotNull()).select(key, F.col(seq).cast("long").alias("__seq"))
+    tallied = numbered.groupBy(key, "__seq").agg(F.count("*").alias("__n"))
+    within, between = step_inside(tallied, key, "__seq", width), step_across(numbered, key, "__seq", width)
 
     def finding(test: Column, kind: str, first: Column, last: Column, n: Column) -> Column:
         return F.when(test, F.struct(F.lit(kind).alias("kind"), first.alias("first_seq"), last.alias("last_seq"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderweave.schemas import BACK_ORDER, EXECUTED, MONEY, RESULT
+from orderweave.session import materialize
 
 REFILL_RANGE = (1, 1000)
 
@@ -93,7 +94,8 @@ def insert_with_constraints(
         reason = F.when(broken, name).otherwise(reason)
     for column in reversed(not_null):
         reason = F.when(F.col(column).isNull(), "null_" + column).otherwise(reason)
-    checked = checked.withColumn("__reason", reason)
+    # Used twice below: written once, so that the joins run once.
+    checked = materialize(checked.select(*new.columns, reason.alias("__reason")), "checked")
 
     first = (
         checked.where(F.col("__reason").isNull()).groupBy(key).agg(F.min(seq).alias(seq))

@@ -41,20 +41,28 @@ def ordered_index(df: DataFrame, keys: Sequence[str], order: str, out: str = "id
     )
 
 
-def ordered_steps(values: DataFrame, key: str, order: str, width: int = CELL_WIDTH) -> tuple[DataFrame, DataFrame]:
-    """Predecessors among the distinct values of ``order`` inside each key.
+def step_inside(values: DataFrame, key: str, order: str, width: int = CELL_WIDTH) -> DataFrame:
+    """``previous``: the value of ``order`` before each row, null for the first row of a cell.
 
-    ``values`` holds each (key, order) once and may carry more columns. Returns the rows with ``previous`` taken
-    inside their cell (null for the first row of a cell), and (key, previous, current) for the steps from one cell
-    to the next.
+    ``values`` holds each (key, order) once, so a cell has at most ``width`` rows.
     """
-    cells = values.withColumn("__cell", cell_of(order, width))
     inside = W.partitionBy(key, "__cell").orderBy(order)
+    return (
+        values.withColumn("__cell", cell_of(order, width))
+        .withColumn("previous", F.lag(order).over(inside)).drop("__cell")
+    )
+
+
+def step_across(values: DataFrame, key: str, order: str, width: int = CELL_WIDTH) -> DataFrame:
+    """(key, previous, current) for the steps from one cell of a key to the next.
+
+    Only the ends of the cells matter, so repeated values do no harm and everything combines on the map side.
+    """
     across = W.partitionBy(key).orderBy("__cell")
-    between = (
-        cells.groupBy(key, "__cell").agg(F.min(order).alias("__lo"), F.max(order).alias("__hi"))
+    return (
+        values.withColumn("__cell", cell_of(order, width)).groupBy(key, "__cell")
+        .agg(F.min(order).alias("current"), F.max(order).alias("__hi"))
         .withColumn("previous", F.lag("__hi").over(across))
         .where(F.col("previous").isNotNull())
-        .select(key, "previous", F.col("__lo").alias("current"))
+        .select(key, "previous", "current")
     )
-    return cells.withColumn("previous", F.lag(order).over(inside)).drop("__cell"), between

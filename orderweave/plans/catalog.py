@@ -158,7 +158,7 @@ def _(t):
     return generate.gen_requests(t.spark, t.person(), t.product(), t.raw("events").count(), 50)
 
 
-@query("gen_inventory", "SELECT product_id + 1 AS inventory_id, product_id, 150 AS qty FROM product")
+@query("gen_inventory", "SELECT product_id + 1 AS inventory_id, product_id, CAST(150 AS BIGINT) AS qty FROM product")
 def _(t):
     return generate.gen_inventory(t.product(), 150)
 
@@ -838,7 +838,7 @@ def _(t):
 
 
 @query("sequence_gaps", """
-SELECT l_orderkey, 'duplicate' AS kind, l_linenumber AS first_seq, l_linenumber AS last_seq, count(*) AS n
+SELECT l_orderkey, 'duplicate' AS kind, CAST(l_linenumber AS BIGINT) AS first_seq, CAST(l_linenumber AS BIGINT) AS last_seq, count(*) AS n
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 UNION ALL
 SELECT l_orderkey, 'gap', prev + 1, l_linenumber - 1, l_linenumber - prev - 1
@@ -940,7 +940,7 @@ def _(t):
     return corroborate.partition_skew(t.record())
 
 
-@query("split_event_types", "SELECT event_type, count(*) AS n, sum(event_id) % 1000003 AS id_sum FROM events GROUP BY event_type")
+@query("split_event_types", "SELECT event_type, count(*) AS n, CAST(sum(event_id) % 1000003 AS BIGINT) AS id_sum FROM events GROUP BY event_type")
 def _(t):
     """One folder per type, read back and counted."""
     path = scratch(t.spark, "types")
@@ -958,7 +958,7 @@ def _(t):
 
 
 @query("checkpoint_events", """
-SELECT topic, partition_id, count(*) AS n, max(offset_id) AS max_offset, 0 AS batch_id
+SELECT topic, partition_id, count(*) AS n, max(offset_id) AS max_offset, CAST(0 AS BIGINT) AS batch_id
 FROM record GROUP BY topic, partition_id""")
 def _(t):
     """Progress rows of a stream that takes everything in one batch."""
