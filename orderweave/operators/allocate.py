@@ -19,6 +19,9 @@ How it is distributed
 * After the first round only the chunks that a changed decision or a changed entering state concerns are walked
   again; with few of them only their buckets are read.
 
+* If the number of changed decisions falls so slowly that rounds would take longer, the requests behind the
+  settled ones are finished in windows (see ``_in_windows``).
+
 The loop stops when no chunk is left to walk. At that point each decision equals the serial one given the earlier
 decisions, so by induction over the request order the whole result equals the serial result. Every round settles
 at least the first wrong request, so the loop ends; there is no cap.
@@ -26,6 +29,7 @@ at least the first wrong request, so the loop ends; there is no cap.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -33,6 +37,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderweave.functions.numbers import COST
 from orderweave.operators.filters import eligible_requests
@@ -46,6 +51,9 @@ CHUNK_ROWS = 500_000
 SMALL_CHUNK_ROWS = 25_000
 MAX_CHUNKS = 50_000
 
+#: Rounds to wait before windows are considered.
+PATIENCE = 3
+
 #: A walk may be limited to this many listed chunks, and this many limited walks follow a full one.
 MAX_LISTED = 2_000
 MAX_NARROW_WALKS = 10
@@ -91,14 +99,14 @@ def _walker(side: Side) -> Callable:
         carry = dict(zip(carried["id"].tolist(), carried["value"].tolist()))
         passes, before, segments = [], [], []
         current, state, segment = None, 0, None
-        columns = zip(rows[key].tolist(), rows[amount].tolist(), rows[opening].tolist(),
+        columns = zip(rows["request_id"].tolist(), rows[key].tolist(), rows[amount].tolist(), rows[opening].tolist(),
                       rows["is_credit"].tolist(), blocked)
-        for k, take, start, credit, stopped in columns:
+        for request, k, take, start, credit, stopped in columns:
             if k != current:
                 if segment:
                     segment[2] = state
                 current, state = k, carry.get(k, start)
-                segment = [k, state, state, wide, wide, False]
+                segment = [k, state, state, wide, wide, False, request]
                 segments.append(segment)
             before.append(state)
             if not credit:
@@ -121,7 +129,11 @@ def _walker(side: Side) -> Callable:
 
 
 def _round_task(side: Side, other: Side) -> Callable:
-    """Failures, the first and last key segment, and the chunks of the other side that a changed decision concerns."""
+    """What a chunk reports: its failures, its first and last key segment, and where its decisions changed.
+
+    A ``touched`` row names a chunk of the other side with the number (in ``key``) and the first of the changed
+    decisions that concern it.
+    """
     walk, other_chunk = _walker(side), other.chunk
 
     def task(key, rows, notes):
@@ -131,15 +143,16 @@ def _round_task(side: Side, other: Side) -> Callable:
             rows, passes, _, segments = walk(rows, notes)
             failing = rows.loc[[not p for p in passes]]
             ends = segments if len(segments) == 1 else [segments[0], segments[-1]]
-            out = [("segment", chunk, *end, 0, 0) for end in ends]
+            out = [("segment", chunk, *end, 0) for end in ends]
             out += [
                 ("failed", chunk, 0, 0, 0, 0, 0, False, request, there)
                 for request, there in zip(failing["request_id"].tolist(), failing[other_chunk].tolist())
             ]
             earlier = notes.loc[notes["kind"] == "earlier", "id"]
             changed = set(earlier.tolist()).symmetric_difference(failing["request_id"].tolist())
-            touched = rows.loc[rows["request_id"].isin(changed), other_chunk].unique().tolist()
-            out += [("touched", chunk, 0, 0, 0, 0, 0, False, 0, there) for there in touched]
+            touched = rows.loc[rows["request_id"].isin(changed)].groupby(other_chunk)["request_id"].agg(["size", "min"])
+            out += [("touched", chunk, n, 0, 0, 0, 0, False, first, there)
+                    for there, n, first in touched.itertuples()]
         names = ["kind", "chunk", "key", "entered", "left", "slack", "gap", "failed", "request_id", "other_chunk"]
         return pd.DataFrame(out, columns=names)
 
@@ -152,23 +165,23 @@ def _chainer() -> Callable:
     A shift ``d`` of the entering state keeps every decision while -slack <= d < gap and then moves the leaving
     state by ``d``. Beyond that the leaving state is only estimated and the chunk is marked open.
     """
-    names = ["chunk", "entered", "left", "slack", "gap", "failed"]
+    names = ["chunk", "entered", "left", "slack", "gap", "failed", "request_id"]
 
     def chain(segments):
         ordered = segments.sort_values("chunk")
         out, state = [], None
-        for chunk, entered, left, slack, gap, failed in ordered[names].itertuples(index=False):
+        for chunk, entered, left, slack, gap, failed, first in ordered[names].itertuples(index=False):
             if state is None:
                 state = left
                 continue
             shift = state - entered
             stands = -slack <= shift < gap
-            out.append((int(chunk), "carry", int(ordered["key"].iloc[0]), int(state), int(not stands)))
+            out.append((int(chunk), "carry", int(ordered["key"].iloc[0]), int(state), int(not stands), int(first)))
             if stands:
                 state = left + shift
             else:
                 state = left if failed else max(0, left + shift)
-        return pd.DataFrame(out, columns=["chunk", "kind", "id", "value", "open"])
+        return pd.DataFrame(out, columns=["chunk", "kind", "id", "value", "open", "first"])
 
     return chain
 
@@ -195,6 +208,8 @@ class _Layout:
         self.segments: DataFrame | None = None
         self.carry: DataFrame | None = None
         self.pending: set[int] | None = None  # chunks to walk next; None is all of them
+        self.changed = 0  # decisions that changed in the last walk
+        self.first_open = self.first_loose = _WIDE  # first request of an open segment; or that or changed
         self._narrow_walks = 0
 
     def _notes(self, blocked: DataFrame | None, earlier: bool) -> DataFrame:
@@ -242,12 +257,17 @@ class _Layout:
             segments = segments.unionByName(self.segments.where(others))
         self.failed, self.segments = failed, segments
         # At most two segments per chunk: the chain of a key is as short as its number of chunks.
-        self.carry = segments.groupBy("key").applyInPandas(_chainer(), _MESSAGE + ", open long")
-        # Chunk numbers only: both lists are bounded by MAX_CHUNKS.
-        found = self.carry.where("open = 1").select(F.lit(True).alias("here"), "chunk").unionByName(
-            walked.where("kind = 'touched'").select(F.lit(False).alias("here"), F.col("other_chunk").alias("chunk"))
-            .distinct()).collect()
+        self.carry = segments.groupBy("key").applyInPandas(_chainer(), _MESSAGE + ", open long, first long")
+        # One row per chunk: both lists are bounded by MAX_CHUNKS.
+        no = F.lit(0).cast("long")
+        found = self.carry.where("open = 1").select(F.lit(True).alias("here"), "chunk", no.alias("n"), "first").unionByName(
+            walked.where("kind = 'touched'").groupBy(F.col("other_chunk").alias("chunk"))
+            .agg(F.sum("key").alias("n"), F.min("request_id").alias("first"))
+            .select(F.lit(False).alias("here"), "chunk", "n", "first")).collect()
         self.pending = {r.chunk for r in found if r.here}
+        self.changed = sum(r.n for r in found)
+        self.first_loose = min((r.first for r in found), default=_WIDE)
+        self.first_open = min((r.first for r in found if r.here), default=_WIDE)
         return {r.chunk for r in found if not r.here}
 
     def touch(self, chunks: set[int]) -> None:
@@ -327,6 +347,105 @@ def _money(cents: str, name: str):
     return (F.col(cents).cast("decimal(20,0)") / 100).cast(COST).alias(name)
 
 
+def _settle(runs: DataFrame, goods: _Layout, money: _Layout, window_rows: int) -> int:
+    """Walk until nothing is left to walk, or until windows are the shorter way to the end.
+
+    Returns the first request that is not settled. All before it are: their decisions did not change in the last
+    round, and every segment they lie in stands.
+    """
+    earlier, rounds = None, 0
+    while goods.unsettled or money.unsettled:
+        money.changed, money.first_loose = 0, _WIDE
+        if goods.unsettled:
+            money.touch(goods.walk(money.failed))
+        if money.unsettled:
+            goods.touch(money.walk(goods.failed))
+        rounds += 1
+        first_loose = min(goods.first_open, money.first_loose)
+        if rounds >= PATIENCE and earlier and money.changed * 4 > earlier:
+            ratio = money.changed / earlier
+            rounds_left = math.log(money.changed + 1) / -math.log(ratio) if ratio < 1 else math.inf
+            loose = runs.where(F.col("request_id") >= first_loose).count()
+            if loose / window_rows < rounds_left:
+                return first_loose
+        earlier = money.changed
+    return _WIDE
+
+
+def _window_task() -> Callable:
+    """Both tests at once, one request after the other, over one window."""
+    kept = ["request_id", "product_id", "qty"]
+
+    def task(rows):
+        rows = rows.sort_values("request_id", ignore_index=True)
+        stocks, balances, out = {}, {}, []
+        columns = ["product_id", "person_id", "qty", "cost_cents", "is_credit", "stock_at", "cents_at"]
+        for what, who, qty, cost, credit, stock, cents in rows[columns].itertuples(index=False):
+            stock, cents = stocks.get(what, stock), balances.get(who, cents)
+            enough, rich = not credit or stock >= qty, not credit or cents >= cost
+            out.append((enough, stock, rich, cents))
+            if enough and rich:
+                sign = -1 if credit else 1
+                stocks[what], balances[who] = stock + sign * qty, cents + sign * cost
+        met = pd.DataFrame(out, columns=["stock_ok", "stock_met", "balance_ok", "balance_met"])
+        return pd.concat([
+            rows[kept], rows["is_credit"].rename("stock_credit"), met[["stock_ok", "stock_met"]],
+            rows[["person_id", "cost_cents"]], met[["balance_ok", "balance_met"]]], axis=1)
+
+    return task
+
+
+def _moved(executed: DataFrame) -> DataFrame:
+    """(key, side, delta) of executed rows."""
+    sign = F.when(F.col("is_credit"), -1).otherwise(1)
+    sides = F.array(*[
+        F.struct(F.lit(side.name).alias("side"), F.col(side.key).alias("key"), (sign * F.col(side.amount)).alias("delta"))
+        for side in (STOCK, BALANCE)
+    ])
+    return executed.select(F.explode(sides).alias("m")).groupBy("m.side", "m.key").agg(F.sum("m.delta").alias("delta"))
+
+
+def _shifted(rows: DataFrame, moved: DataFrame, side: Side, column: str) -> DataFrame:
+    delta = moved.where(F.col("side") == side.name).select(F.col("key").alias(side.key), "delta")
+    return rows.join(delta, side.key, "left").withColumn(
+        column, F.col(column) + F.coalesce("delta", F.lit(0))).drop("delta")
+
+
+def _in_windows(runs: DataFrame, goods: _Layout, money: _Layout, first: int, window_rows: int) -> DataFrame:
+    """Decide the requests from ``first`` on, window after window in request order.
+
+    Where scarce products and scarce persons depend on each other closely, rounds settle only a short stretch
+    each, because later decisions truly need the earlier ones. Then a window of bounded size is walked by one
+    task with both tests at once, and only the movement per key goes from one window to the next.
+    """
+    spark = runs.sparkSession
+    failed = goods.failed.select("request_id").unionByName(money.failed.select("request_id")).distinct()
+    before = runs.where(F.col("request_id") < first).join(failed, "request_id", "left_anti")
+    moved = materialize(_moved(before), "moved")
+    loose = runs.where(F.col("request_id") >= first).select(
+        "request_id", "product_id", "person_id", "qty", "cost_cents", "is_credit",
+        F.col("opening_stock").alias("stock_at"), F.col("opening_cents").alias("cents_at"))
+    windows = max(1, -(-loose.count() // window_rows))
+    path = scratch(spark, "windows")
+    loose.repartitionByRange(windows, "request_id").withColumn("window", F.spark_partition_id()).write.partitionBy(
+        "window").parquet(path)
+    schema = ("request_id long, product_id long, qty long, stock_credit boolean, stock_ok boolean, stock_met long, "
+              "person_id long, cost_cents long, balance_ok boolean, balance_met long")
+    layout = T.StructType([*loose.schema.fields, T.StructField("window", T.IntegerType())])
+    stored = spark.read.schema(layout).option("basePath", path).parquet(path)
+    out = scratch(spark, "window-out")
+    for number in range(windows):
+        rows = stored.where(F.col("window") == number)
+        rows = _shifted(_shifted(rows, moved, STOCK, "stock_at"), moved, BALANCE, "cents_at")
+        rows.groupBy("window").applyInPandas(_window_task(), schema).write.parquet(f"{out}/part={number}")
+        if number + 1 < windows:
+            done = spark.read.schema(schema).parquet(f"{out}/part={number}").where("stock_ok AND balance_ok")
+            fresh = _moved(done.withColumnRenamed("stock_credit", "is_credit"))
+            moved = materialize(
+                moved.unionByName(fresh).groupBy("side", "key").agg(F.sum("delta").alias("delta")), "moved")
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(out)
+
+
 def allocate_requests(request: DataFrame, inventory: DataFrame, product: DataFrame, person: DataFrame,
                       chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Decide every eligible request in request order; see the module text for the method.
@@ -343,13 +462,14 @@ def allocate_requests(request: DataFrame, inventory: DataFrame, product: DataFra
     runs = placed.where("runs")
     goods, money = _Layout(runs, STOCK, BALANCE, chunks), _Layout(runs, BALANCE, STOCK, chunks)
     try:
-        while goods.unsettled or money.unsettled:
-            if goods.unsettled:
-                money.touch(goods.walk(money.failed))
-            if money.unsettled:
-                goods.touch(money.walk(goods.failed))
+        first_loose = _settle(runs, goods, money, chunk_rows)
+        settled = F.col("request_id") < first_loose
         both = F.col("stock_ok") & F.col("balance_ok")
-        decided = goods.outcome(money.failed).join(money.outcome(goods.failed), "request_id").select(
+        met = goods.outcome(money.failed).where(settled).join(
+            money.outcome(goods.failed).where(settled).drop("balance_credit"), "request_id")
+        if first_loose < _WIDE:
+            met = met.unionByName(_in_windows(runs, goods, money, first_loose, chunk_rows))
+        decided = met.select(
             "request_id", "person_id", "product_id", "qty", _operation("stock_credit"),
             F.when(both, EXECUTED).otherwise(BACK_ORDER).alias("result"),
             F.when(~F.col("stock_ok"), "stock").when(~F.col("balance_ok"), "balance").alias("reason"),

@@ -93,20 +93,39 @@ def test_hand_made(spark, case):
     assert check(spark, requests, parents(stock, balance)) == expected
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_with_hot_keys_cut_into_many_chunks(spark, seed):
-    """One product and one person hold a third of the rows, and chunks of 40 rows cut both many times."""
+def skewed(seed, n):
+    """One product and one person hold a third of the rows each."""
     rnd = random.Random(seed)
+
     def key(n):
         return 0 if rnd.random() < 1 / 3 else rnd.randrange(n)
+
     requests = [(i, key(9), key(7), rnd.randint(1, 9), rnd.choice((10, 10, 10, 20)), rnd.choice((10, 10, 20, 30)))
-                for i in range(900)]
-    tables = parents({i: rnd.randint(0, 300) for i in range(6)}, {i: f"{rnd.randint(0, 900)}.50" for i in range(9)},
-                     {i: f"{i + 1}.25" for i in range(6)})
-    results = check(spark, requests, tables, chunk_rows=40)
+                for i in range(n)]
+    return requests, parents(
+        {i: rnd.randint(0, 300) for i in range(6)}, {i: f"{rnd.randint(0, 900)}.50" for i in range(9)},
+        {i: f"{i + 1}.25" for i in range(6)})
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_hot_keys_cut_into_many_chunks(spark, seed):
+    requests, tables = skewed(seed, 900)
+    results = check(spark, requests, tables, chunk_rows=150)
     assert {"stock", "balance"} <= {r[1] for r in results.values()}
 
 
+@pytest.mark.parametrize("windows", [False, True])
+def test_rounds_and_windows_agree_with_the_fold(spark, monkeypatch, windows):
+    """The same closely coupled requests, once by rounds to the end and once finished in windows."""
+    used = []
+    finish = A._in_windows
+    monkeypatch.setattr(A, "_in_windows", lambda *a: used.append(a[3]) or finish(*a))
+    monkeypatch.setattr(A, "PATIENCE", 1 if windows else 10**6)
+    requests, tables = skewed(3, 600)
+    check(spark, requests, tables, chunk_rows=200)
+    assert bool(used) == windows
+
+
 def test_stock_only_in_small_chunks_equals_one_chunk(spark, tables):
     args = tables.request().drop("ts"), tables.inventory(), tables.product(), tables.person()
     small, large = (
