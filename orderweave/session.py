@@ -60,12 +60,14 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: the lineage ends at files that outlive executors."""
-    spark = df.sparkSession
-    path = scratch(spark, label)
+def materialize(df: DataFrame, label: str, reader: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: the lineage ends at files that outlive executors.
+
+    ``reader`` is the session to go on with, by default that of ``df``.
+    """
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:

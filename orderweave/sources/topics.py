@@ -6,6 +6,7 @@ any source with the same columns, and tests feed them from files.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -93,7 +94,21 @@ def kafka_rows(outgoing: DataFrame) -> DataFrame:
 
 def replay_options(start: Mapping[str, Mapping[int, int]]) -> dict[str, str]:
     """Batch read from chosen offsets: ``{topic: {partition: offset}}``."""
-    import json
-
     return {"startingOffsets": json.dumps({t: {str(p): o for p, o in parts.items()} for t, parts in start.items()}),
             "endingOffsets": "latest"}
+
+
+def write_topic(outgoing: DataFrame, spec: TopicSpec, servers: str) -> None:
+    """Send a batch of outgoing records. Needs the Kafka connector; not tested here.
+
+    The sink is at least once: readers that must see a publication whole use the snapshot store instead.
+    """
+    kafka_rows(outgoing).write.format("kafka").options(**sink_options(spec, servers)).save()
+
+
+def stream_to_topic(values: DataFrame, spec: TopicSpec, servers: str, checkpoint: str):
+    """Start writing a stream of text values to a topic. Needs the Kafka connector; not tested here."""
+    return (
+        values.select("value").writeStream.format("kafka").options(**sink_options(spec, servers))
+        .option("checkpointLocation", checkpoint).start()
+    )

@@ -35,8 +35,9 @@ def handle_batch(store: SnapshotStore, batch: DataFrame, run_id: str, batch_id:
     run_key = f"{run_id}/{batch_id}"
     if store.committed(run_key):
         return False
-    spark = batch.sparkSession
-    split = materialize(dead_letter_split(batch, rules), "split")
+    # A micro-batch comes with a session that does not adapt its plans; the work goes on in the store's own.
+    spark = store.spark
+    split = materialize(dead_letter_split(batch, rules), "split", reader=spark)
     dead = split.where(F.col("error").isNotNull())
     control = split.groupBy("topic", "partition_id").agg(
         F.count("*").alias("n"), F.count("error").alias("n_failed"), F.max("offset_id").alias("max_offset")
