@@ -6,9 +6,11 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderweave import schemas as S
 from orderweave.operators import allocate as A
+from orderweave.session import materialize
 
 
 def serial(requests, inventory, product, person):
@@ -87,9 +89,15 @@ HAND_MADE = {
 }
 
 
-@pytest.mark.parametrize("case", HAND_MADE)
-def test_hand_made(spark, case):
-    requests, stock, balance, expected = HAND_MADE[case]
+def test_hand_made(spark):
+    """All cases in one run: each has its own products, persons and request ids."""
+    requests, stock, balance, expected = [], {}, {}, {}
+    for n, (case_requests, case_stock, case_balance, case_expected) in enumerate(HAND_MADE.values()):
+        base = n * 100
+        requests += [(r + base, who + base, what + base, *rest) for r, who, what, *rest in case_requests]
+        stock |= {k + base: v for k, v in case_stock.items()}
+        balance |= {k + base: v for k, v in case_balance.items()}
+        expected |= {k + base: v for k, v in case_expected.items()}
     assert check(spark, requests, parents(stock, balance)) == expected
 
 
@@ -133,6 +141,16 @@ def test_stock_only_in_small_chunks_equals_one_chunk(spark, tables):
     assert small == large
 
 
+def test_a_hot_key_is_cut_into_chunks_of_even_size(spark):
+    requests, tables = skewed(5, 4000)
+    rows = A._price(*frames(spark, requests, *tables)).where("runs")
+    placed = materialize(A._lay_out(A._lay_out(rows, A.STOCK, 10), A.BALANCE, 10), "placed")
+    for side in (A.STOCK, A.BALANCE):
+        sizes = [r["count"] for r in placed.groupBy(side.chunk).count().collect()]
+        assert max(sizes) < 2 * sum(sizes) / len(sizes)
+        assert placed.where(F.col(side.key) == 0).select(side.chunk).distinct().count() >= 3
+
+
 def test_walks_read_the_bucketed_layout_without_a_shuffle(spark, tables):
     request, inventory, product, person = tables.request(), tables.inventory(), tables.product(), tables.person()
     rows = A._price(request, inventory, product, person).where("runs")
