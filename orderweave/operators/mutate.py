@@ -85,8 +85,8 @@ def insert_with_constraints(
         mark = f"__has_{column}"
         checked = checked.join(parent.select(column).withColumn(mark, F.lit(True)), column, "left")
         missing.append((f"missing_{column.removesuffix('_id')}", F.col(mark).isNull()))
-    # The stored keys are unique, so probing them with distinct new keys keeps repeated keys out of this join.
-    taken = new.select(key).distinct().join(existing.select(key), key, "left_semi").withColumn("__taken", F.lit(True))
+    # Stored keys are unique: a key repeated in the batch only grows the left side, which AQE splits.
+    taken = existing.select(key).withColumn("__taken", F.lit(True))
     checked = checked.join(taken, key, "left")
 
     reason = F.when(F.col("__taken"), "duplicate_key")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderweave.functions.numbers import request_cost
+from orderweave.session import materialize
 
 REQUEST_PAGE_SIZES = (5, 50, 100, -1)
 INVENTORY_PAGE_SIZES = (5, 10, 15, -1)
@@ -47,11 +48,13 @@ def request_view_by_id(request: DataFrame, person: DataFrame, product: DataFrame
 def enrich_requests(request: DataFrame, inventory: DataFrame, product: DataFrame, person: DataFrame) -> DataFrame:
     """Attach stock, price, balance and cost; ``parents_found`` is false when any of the three is missing.
 
-    Stock and price share the product key and are joined first, so the request side is moved once per key.
+    Stock and price share the product key and are joined first, so the request side is moved once per key. That
+    small join is written down: read back it needs an exchange of its own, and only between two exchanges can AQE
+    split a hot product.
     """
-    goods = product.select("product_id", "price").join(
+    goods = materialize(product.select("product_id", "price").join(
         inventory.select("product_id", "inventory_id", F.col("qty").alias("stock")), "product_id"
-    )
+    ), "goods")
     return (
         request.join(goods, "product_id", "left")
         .join(person.select("person_id", "balance"), "person_id", "left")
