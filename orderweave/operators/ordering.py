@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orderweave.session import materialize
+
+#: Rows that one range of `running_total` holds, about.
+ROWS_PER_RANGE = 1 << 18
 #: Unique integers: a cell can hold no more rows than its width.
 CELL_WIDTH = 1 << 18
 
@@ -66,3 +70,38 @@ def step_across(values: DataFrame, key: str, order: str, width: int = CELL_WIDTH
         .where(F.col("previous").isNotNull())
         .select(key, "previous", "current")
     )
+
+
+def running_total(df: DataFrame, order: Sequence[str], out: str, by: Sequence[str] = (),
+                  value: Column | None = None) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` (by default the number of rows) over the earlier rows of the same ``by``.
+
+    Ranges hold equal numbers of rows whatever the spread of the order values, because rows with equal values are told
+    apart by a stored row number; nulls come first. The rows are written to the shared folder twice, as they came and
+    by range, so a lost executor changes no number.
+    """
+    spark, by = df.sparkSession, list(by)
+    value = F.lit(1) if value is None else value
+    came = materialize(
+        df.withColumns({"__row": F.monotonically_increasing_id(), "__value": value.cast("long")}), "unordered")
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(shuffle, -(-came.count() // ROWS_PER_RANGE))
+    order = [*order, "__row"]
+    ranged = materialize(
+        came.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()), "ordered")
+    base = (
+        ranged.groupBy(*[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)], F.col("__range").alias("__of"))
+        .agg(F.sum("__value").alias("__sum"))
+    )
+    group = [F.col(f"__by{i}") for i in range(len(by))] or [F.lit(0)]
+    ahead = W.partitionBy(*group).orderBy("__of").rowsBetween(W.unboundedPreceding, -1)
+    base = base.withColumn("__base", F.coalesce(F.sum("__sum").over(ahead), F.lit(0))).drop("__sum")
+    same = F.col("__range") == F.col("__of")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"__by{i}"))
+    inside = W.partitionBy(*by, "__range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return (
+        ranged.withColumn("__in", F.coalesce(F.sum("__value").over(inside), F.lit(0)))
+        .join(base, same)
+        .select(*df.columns, (F.col("__base") + F.col("__in")).alias(out))
+    )
