@@ -205,14 +205,13 @@ def fit(votes: DataFrame) -> list[float]:
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
-    """All columns and ``spans``: array of (kind, start, end, base), by kind as listed, then by start.
+    """All columns but the text, and ``spans``: array of (kind, start, end, base), by kind as listed, then by start.
 
-    The candidates of the corpus are written down once; the text is not. They are joined to nothing: the table written is
-    the given columns other than the text.
+    The candidates are written down once, without the text. A column named ``spans`` is replaced.
     """
     narrow = candidates(docs)
-    narrow = materialize(narrow.select(*[c for c in docs.columns if c != "text"], "__candidates"), "spans")
-    return _decide(narrow, narrow)
+    narrow = materialize(narrow.select(*[c for c in docs.columns if c not in ("text", "spans")], "__candidates"), "spans")
+    return _decide(narrow, narrow).withColumnRenamed("__spans", "spans")
 
 
 def _votes(marked: DataFrame) -> DataFrame:
@@ -231,7 +230,7 @@ def _decide(marked: DataFrame, corpus: DataFrame) -> DataFrame:
         apart = ~F.exists(everything, lambda b: b["base"] & (b["start"] < one["end"]) & (one["start"] < b["end"]))
         return one["base"] | (one["kind"].isin(*ADDED) & (score >= 0) & apart)
 
-    return marked.withColumn("spans", F.transform(F.filter(everything, stays), lambda one: F.struct(
+    return marked.withColumn("__spans", F.transform(F.filter(everything, stays), lambda one: F.struct(
         one["kind"].alias("kind"), one["start"].alias("start"), one["end"].alias("end"), one["base"].alias("base")))
     ).drop("__candidates")
 
@@ -262,7 +261,7 @@ def redact(docs: DataFrame) -> DataFrame:
     # only vote counts are gathered here; the texts are read again rather than written twice
     found = _decide(marked, materialize(candidates(docs.select("text")).select("__candidates").where(
         F.size("__candidates") > 0), "votes"))
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(
+    ordered = F.array_sort(F.transform("__spans", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -276,7 +275,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     rest = F.aggregate(ordered, start, replace, lambda state: F.concat(
         state["out"], F.substring(F.col("text"), state["at"] + 1, F.length("text"))))
-    out = found.withColumn("text", F.when(F.size("spans") > 0, rest).otherwise(F.col("text"))).drop("spans")
+    out = found.withColumn("text", F.when(F.size("__spans") > 0, rest).otherwise(F.col("text"))).drop("__spans")
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(

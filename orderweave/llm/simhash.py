@@ -64,17 +64,20 @@ def fingerprint(text: str | None, words: int) -> int:
     return int(np.packbits(ones).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id_column, fp long): the 64 bits as a signed number."""
-    out = docs.select(F.col(id_column), F.lit(0).cast("long").alias("fp")).schema
+def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text_column: str = "text",
+                 others: tuple[str, ...] = ()) -> DataFrame:
+    """(id_column, others, fp long): the 64 bits as a signed number."""
+    kept = (id_column, *others)
+    out = docs.select(*kept, F.lit(0).cast("long").alias("fp")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(x.as_py(), words) for x in batch.column(1)], np.uint64)
+            values = np.array([fingerprint(x.as_py(), words) for x in batch.column(len(kept))], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view(np.int64), pa.int64())], names=[id_column, "fp"])
+                [*(batch.column(i) for i in range(len(kept))), pa.array(values.view(np.int64), pa.int64())],
+                names=[*kept, "fp"])
 
-    return docs.select(id_column, text_column).mapInArrow(run, out)
+    return docs.select(*kept, text_column).mapInArrow(run, out)
 
 
 def _postings(distinct: DataFrame) -> DataFrame:
@@ -177,10 +180,10 @@ def fingerprint_links(distinct: DataFrame, max_bits: int, tile: int = TILE) -> D
     )
 
 
-def simhash_classes(docs: DataFrame, words: int, max_bits: int, id_column: str = "doc_id",
-                    text_column: str = "text", tile: int = TILE) -> DataFrame:
-    """(id, fp, component): one row per document; component is the smallest id that can be reached by links."""
-    marked = materialize(fingerprints(docs, words, id_column, text_column), "fingerprints")
+def simhash_classes(docs: DataFrame, words: int, max_bits: int, id_column: str = "doc_id", text_column: str = "text",
+                    others: tuple[str, ...] = (), tile: int = TILE) -> DataFrame:
+    """(id, others, fp, component): one row per document; component is the smallest id that can be reached by links."""
+    marked = materialize(fingerprints(docs, words, id_column, text_column, others), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min(id_column).alias("first")), "distinct-fingerprints")
     found = components(fingerprint_links(distinct.select("fp"), max_bits, tile))
     in_class = distinct.join(found, distinct.fp == found.node, "left").select(
@@ -189,20 +192,25 @@ def simhash_classes(docs: DataFrame, words: int, max_bits: int, id_column: str =
     least = materialize(in_class.groupBy("root").agg(F.min("first").alias("component")), "class-ids")
     named = materialize(
         in_class.join(least, "root").select(F.col("fp").alias("of"), "component"), "class-of-fingerprint")
-    return marked.join(named, marked.fp == named.of).select(id_column, "fp", "component")
+    return marked.join(named, marked.fp == named.of).select(id_column, *others, "fp", "component")
 
 
 def keep_first(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
-    """One document of each class stays, the one with the smallest doc_id; of rows that repeat its id and text, one stays.
+    """One document of each class stays, the one with the smallest doc_id; of rows that repeat its id, one stays.
 
-    A document whose class has no id at all stays.
+    Of a class that has no id at all, one document stays for each fingerprint.
     """
-    classes = materialize(simhash_classes(docs.select("doc_id", "text"), words, max_bits), "classes")
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component"))).groupBy(
-        F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__n"))
-    kept = materialize(kept, "kept")
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]))
-    single = joined.where("__n = 1").select(*[docs[c] for c in docs.columns])
+    narrow = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text"))
+    classes = simhash_classes(narrow, words, max_bits, others=("__text",))
+    first = classes.where(F.col("doc_id").eqNullSafe(F.col("component"))).groupBy(
+        "doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp"), "__text").agg(F.count("*").alias("n"))
+    kept = materialize(
+        first.groupBy(F.col("doc_id").alias("__kept"), "fp").agg(F.min(F.struct("__text", "n")).alias("one"))
+        .select("__kept", F.col("one.__text").alias("__of"), F.col("one.n").alias("__n")), "kept")
+    joined = docs.withColumn("__text", F.xxhash64(F.coalesce("text", F.lit("")))).join(
+        kept, F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.col("__text") == F.col("__of")))
+    single = joined.where("__n = 1").select(*docs.columns)
     if not kept.where("__n > 1").head(1):
         return single
-    return single.union(joined.where("__n > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id", "text"]))
+    return single.union(
+        joined.where("__n > 1").select(*docs.columns, "__text").dropDuplicates(["doc_id", "__text"]).drop("__text"))

@@ -1,17 +1,17 @@
 """Toxicity scores by weak supervision.
 
-1. Voters. Lexicon words are mined from labelled documents (a bounded sample, `MAX_LABELLED`): words whose document
-   frequencies in the two classes differ far beyond chance. They are dealt to `LEXICON_VOTERS` lexicon voters in order of
-   strength. Pattern voters look at shouting, runs of marks, symbol noise and short texts.
+1. Voters. Lexicon terms are mined from labelled documents (a bounded sample, `MAX_LABELLED`): words and word beginnings
+   whose document frequencies in the two classes differ far beyond chance. They are dealt to `LEXICON_VOTERS` lexicon voters
+   in order of strength. Pattern voters look at shouting, runs of marks, symbol noise and short texts.
 2. A generative label model learns each voter's accuracy by expectation maximisation over the counts of all vote
    patterns of all documents (at most 2**voters, whatever the input), where labelled documents keep their label. Voters
    that still agree beyond what the model explains share their weight, by the measured residual correlation.
-3. A linear classifier over the lexicon words and the pattern votes is trained on the posteriors of a bounded sample of
+3. A linear classifier over the lexicon terms, their share of the text and the pattern votes is trained on the posteriors of a bounded sample of
    documents (`MAX_FIT`) and scores every document.
 
-Each document's text is read once, whole; what is written down is the short list of its lexicon words and votes.
+Each document's text is read once, whole; what is written down is the short list of its lexicon terms and votes.
 
-Defined cases: a null or empty text has no lexicon words and is scored by its pattern votes; repeated rows get equal
+Defined cases: a null or empty text has no lexicon terms and is scored by its pattern votes; repeated rows get equal
 scores; null doc_ids are scored and never used as labelled; labels other than 0 and 1, and ids with contradicting labels,
 are not used; without labelled documents of both classes every score is 0; empty tables give no rows; other columns are left out.
 """
@@ -29,9 +29,13 @@ from orderweave.session import materialize
 #: Labelled documents that words are mined from, and documents the classifier is fitted on: bounds of the samples.
 MAX_LABELLED = 20_000
 MAX_FIT = 20_000
-#: Words kept, and the least evidence for one: log-likelihood ratio and documents of the class it speaks for.
-MAX_WORDS, MIN_EVIDENCE, MIN_DOCUMENTS = 64, 15.0, 3
-LEXICON_VOTERS = 8
+#: Terms kept, and the least evidence for one: log-likelihood ratio and documents of the class it speaks for.
+MAX_TERMS, MIN_EVIDENCE, MIN_DOCUMENTS = 256, 15.0, 3
+#: Letters of a word beginning; longer words give both the word and its beginning with a star.
+BEGINNING = 5
+LEXICON_VOTERS = 12
+#: Words added to a text's own when the share of its terms is taken.
+SHORTEST = 20
 EM_ROUNDS, FIT_ROUNDS, RIDGE = 50, 50, 1e-3
 
 PATTERN_VOTERS = ("shouting", "marks", "noise", "short")
@@ -41,6 +45,12 @@ def words_of(text: Column) -> Column:
     return F.split(F.lower(text), r"[^\p{L}\p{N}']+")
 
 
+def terms_of(words: Column) -> Column:
+    beginnings = F.transform(
+        F.filter(words, lambda w: F.length(w) > BEGINNING), lambda w: F.concat(F.substring(w, 1, BEGINNING), F.lit("*")))
+    return F.concat(words, beginnings)
+
+
 def pattern_votes(text: Column) -> list[Column]:
     """One boolean for each pattern voter."""
     length = F.greatest(F.length(text), F.lit(1))
@@ -65,9 +75,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def mine_words(docs: DataFrame, sample: DataFrame) -> list[str]:
-    """Words that speak for label 1, strongest first."""
+    """Terms that speak for label 1, strongest first."""
     chosen = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
-        "y", F.array_distinct(words_of(F.coalesce("text", F.lit("")))).alias("words"))
+        "y", F.array_distinct(terms_of(words_of(F.coalesce("text", F.lit(""))))).alias("words"))
     chosen = materialize(chosen, "labelled")
     sizes = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -90,26 +100,28 @@ def mine_words(docs: DataFrame, sample: DataFrame) -> list[str]:
     best = (
         counts.withColumn("evidence", evidence)
         .where((F.col("evidence") >= MIN_EVIDENCE) & (a / F.lit(float(pos)) > 2 * b / F.lit(float(neg))))
-        .orderBy(F.col("evidence").desc(), "word").limit(MAX_WORDS)
+        .orderBy(F.col("evidence").desc(), "word").limit(MAX_TERMS)
     )
     return [r["word"] for r in best.collect()]
 
 
 def marked(docs: DataFrame, words: list[str], sample: DataFrame) -> DataFrame:
-    """doc_id, y (or null), hits (lexicon words in the text) and votes (bits: lexicon voters, then pattern voters)."""
+    """doc_id, y (or null), hits (lexicon terms of the text), n_words and votes (bits: lexicon, then pattern voters)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lexicon = F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
     votes = F.lit(0)
     for n, vote in enumerate(pattern_votes(text)):
         votes = votes + F.when(vote, 1 << (LEXICON_VOTERS + n)).otherwise(0)
     found = docs.select(
-        "doc_id", F.array_sort(F.array_intersect(words_of(text), lexicon)).alias("hits"), votes.alias("votes"))
+        "doc_id", F.array_sort(F.array_intersect(terms_of(words_of(text)), lexicon)).alias("hits"),
+        F.size(words_of(text)).alias("n_words"), votes.alias("votes"))
     for n in range(LEXICON_VOTERS):
         group = words[n::LEXICON_VOTERS]
         if group:
             hit = F.arrays_overlap("hits", F.array(*map(F.lit, group)))
             found = found.withColumn("votes", F.col("votes") + F.when(hit, 1 << n).otherwise(0))
-    return found.join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left").select("doc_id", "y", "hits", "votes")
+    return found.join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left").select(
+        "doc_id", "y", "hits", "n_words", "votes")
 
 
 def _bits(votes: np.ndarray, voters: int) -> np.ndarray:
@@ -191,19 +203,23 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # a bounded sample by hash, half of it from documents with a lexicon word if there are so many
     picked = []
     for has in (F.size("hits") > 0, F.size("hits") == 0):
-        picked += seen.where(has).select("hits", "votes", F.coalesce("y", F.lit(-1)).alias("y")).orderBy(
+        picked += seen.where(has).select("hits", "n_words", "votes", F.coalesce("y", F.lit(-1)).alias("y")).orderBy(
             F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT // 2).collect()
     place = {w: i for i, w in enumerate(words)}
-    x = np.zeros((len(picked), len(words) + len(PATTERN_VOTERS)))
+    x = np.zeros((len(picked), len(words) + len(PATTERN_VOTERS) + 1))
     for i, r in enumerate(picked):
         x[i, [place[w] for w in r["hits"]]] = 1
-        x[i, len(words):] = [(r["votes"] >> (LEXICON_VOTERS + k)) & 1 for k in range(len(PATTERN_VOTERS))]
-    w = _fit_linear(x, model.posterior(np.array([r["votes"] for r in picked], np.int64)))
+        x[i, len(words):-1] = [(r["votes"] >> (LEXICON_VOTERS + k)) & 1 for k in range(len(PATTERN_VOTERS))]
+        x[i, -1] = math.log((1 + len(r["hits"])) / (SHORTEST + r["n_words"]))
+    known = np.array([r["y"] for r in picked])
+    believed = model.posterior(np.array([r["votes"] for r in picked], np.int64))
+    w = _fit_linear(x, np.where(known >= 0, known, believed))
 
     weights = F.create_map(*[c for word, v in zip(words, w) for c in (F.lit(word), F.lit(float(v)))])
     total = F.lit(float(w[-1])) + F.aggregate(
         "hits", F.lit(0.0), lambda sum_, word: sum_ + F.element_at(weights, word))
-    for k, v in enumerate(w[len(words):-1]):
+    total = total + F.log((1 + F.size("hits")) / (SHORTEST + F.col("n_words"))) * F.lit(float(w[-2]))
+    for k, v in enumerate(w[len(words):-2]):
         total = total + F.shiftright("votes", LEXICON_VOTERS + k).bitwiseAND(F.lit(1)) * F.lit(float(v))
     score = 1.0 / (1.0 + F.exp(-total))
     return seen.select("doc_id", score.alias("score")).withColumn(

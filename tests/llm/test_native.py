@@ -67,7 +67,7 @@ def test_items_in_documents(spark):
                                                    (None, passage(21, 20))]
     inside = passage(20, 60).split()
     rows = texts() + stored("documents", "doc_id + 1000, text") + [
-        (300, passage(30, 3000) + " " + " ".join(inside).upper() + ". " + passage(31, 2000)),
+        (300, passage(30, 3000) + " " + " ".join(inside).replace("e", "E") + ". " + passage(31, 2000)),
         (301, " ".join(inside[:54])), (302, " ".join(inside[:49])), (303, " ".join(inside[:30])),
         (304, " ".join(inside[:30])), (304, " ".join(inside[26:])), (305, passage(21, 20))]
     by_doc = defaultdict(set)
@@ -83,7 +83,7 @@ def test_items_in_documents(spark):
     items_df = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.find_items(frame(spark, rows), items_df)
     assert {tuple(r)[:4] for r in got.collect()} == want
-    assert {d for d, *_ in want} >= {300, 301, 304, 305} and 302 in {d for d, *_ in want} | {302}
+    assert {d for d, *_ in want} >= {300, 301, 304, 305}
     left = decontaminate.remove_contaminated(frame(spark, rows), items_df)
     assert Counter(r["doc_id"] for r in left.collect()) == Counter(
         d for d, _ in rows if d not in {w[0] for w in want})

@@ -102,4 +102,5 @@ def test_one_of_each_class_stays(spark, docs):
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(7) == 0 and ids.count(6) == 1 and len(ids) == len(set(ids))
+    assert [r["text"] for r in kept.where("doc_id IS NULL").collect()] == ["no id here"]
     assert simhash.keep_first(empty(spark), 4, 4).collect() == []
