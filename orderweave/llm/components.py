@@ -8,6 +8,7 @@ tables in the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +55,22 @@ def components(edges: DataFrame) -> DataFrame:
         edges = materialize(_small_star(_large_star(edges)), "links")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def flatten(label: np.ndarray) -> None:
+    """Lets every position's label be the smallest position of its tree."""
+    while True:
+        short = label[label]
+        if np.array_equal(short, label):
+            return
+        label[:] = short
+
+
+def join_trees(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    """Joins, inside one task, the trees of positions u and v; ``label`` starts as the positions themselves."""
+    while u.size:
+        flatten(label)
+        ru, rv = label[u], label[v]
+        apart = ru != rv
+        u, v, ru, rv = u[apart], v[apart], ru[apart], rv[apart]
+        np.minimum.at(label, np.maximum(ru, rv), np.minimum(ru, rv))

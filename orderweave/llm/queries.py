@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderweave.llm import decontaminate, licenses, pieces, pii, repeats, sharding, simhash, tokenstore, toxicity
+from orderweave.llm import decontaminate, hnsw, licenses, pieces, pii, repeats, sharding, simhash, tokenstore, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.embedding_classes(_table(spark, sf_dir, "embeddings"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": shards,
     "op5_license_scan": license_scan,
     "op6_simhash_dedup": simhash_dedup,
+    "op7_embedding_dedup": embedding_dedup,
     "op8_decontamination": decontamination,
     "op9_token_store": token_store,
     "op10_suffix_dedup": suffix_dedup,

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderweave.llm.components import components
+from orderweave.llm.components import components, flatten, join_trees
 from orderweave.session import materialize
 
 #: Fingerprints of one list that one task compares with each other.
@@ -105,20 +105,6 @@ def _tiles(postings: DataFrame, tile: int) -> DataFrame:
         "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "fp")
 
 
-def _hook(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
-    """Joins the trees of u and v; a label is the smallest position of its tree."""
-    while u.size:
-        while True:
-            short = label[label]
-            if np.array_equal(short, label):
-                break
-            label[:] = short
-        ru, rv = label[u], label[v]
-        apart = ru != rv
-        u, v, ru, rv = u[apart], v[apart], ru[apart], rv[apart]
-        np.minimum.at(label, np.maximum(ru, rv), np.minimum(ru, rv))
-
-
 def _forest(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links inside each run of equal keys, as trees. Pairs are compared at distance 1, 2, ... along the runs."""
     n = len(fps)
@@ -135,13 +121,9 @@ def _forest(keys: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarra
         shared = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
         alive_pairs = shared >= 8 - max_bits
         near = alive[alive_pairs][np.bitwise_count(differ[alive_pairs]) <= max_bits]
-        _hook(label, near, near + step)
+        join_trees(label, near, near + step)
         step += 1
-    while True:
-        short = label[label]
-        if np.array_equal(short, label):
-            break
-        label = short
+    flatten(label)
     hung = np.flatnonzero(label != np.arange(n))
     return fps[hung], fps[label[hung]]
 
