@@ -142,8 +142,8 @@ def _layer(x: np.ndarray, order: np.ndarray, m: int, entries) -> np.ndarray:
         source, target = source[target >= 0], target[target >= 0]
         touched = np.unique(target)
         old_from, old_to = np.repeat(touched, m), links[touched].ravel()
-        pairs = np.unique(np.stack([np.r_[target, old_from[old_to >= 0]], np.r_[source, old_to[old_to >= 0]]]), axis=1)
-        a, b = pairs
+        pairs = np.unique(np.r_[target, old_from[old_to >= 0]] * len(x) + np.r_[source, old_to[old_to >= 0]])
+        a, b = pairs // len(x), pairs % len(x)
         near = np.einsum("ij,ij->i", x[a], x[b])
         by = np.lexsort((-near, a))
         a, b, near = a[by], b[by], near[by]
