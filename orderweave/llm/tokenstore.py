@@ -41,9 +41,10 @@ MAGIC = b"OWT1"
 ONES = np.array([bin(x).count("1") for x in range(256)], np.int64)
 
 
-#: Words of printable ASCII without apostrophe and "<": lower case, digits and the rest never join into one token there.
-PLAIN_WORD = re.compile("[!-&(-;=-~]+")
-PLAIN_PARTS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
+#: Words of printable ASCII without apostrophe and "<", and composed Latin letters: runs of letters, single digits and runs
+#: of the rest never join into one token there.
+PLAIN_WORD = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+PLAIN_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 @lru_cache(maxsize=2)
@@ -55,13 +56,17 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     on first use that the file treats plain words so.
     """
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
-    model_only = Tokenizer(tokenizer.model)
+    model_only, model_of_bytes = Tokenizer(tokenizer.model), Tokenizer(tokenizer.model)
+    model_of_bytes.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
     known: dict[str, bytes] = {"": b""}
     parts_known: dict[str, bytes] = {}
 
     def packed(encoder, words: list[str]) -> dict[str, bytes]:
+        if not words:
+            return {}
         found = encoder.encode_batch_fast(words, add_special_tokens=False)
         return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
 
@@ -71,10 +76,11 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
         if len(parts_known) + len(fresh) > CACHED_WORDS:
             parts_known.clear()
             fresh = list({p for parts in cut.values() for p in parts})
-        parts_known.update(packed(model_only, fresh))
+        parts_known.update(packed(model_only, [p for p in fresh if p.isascii()]))
+        parts_known.update(packed(model_of_bytes, [p for p in fresh if not p.isascii()]))
         return {w: b"".join([parts_known[p] for p in parts]) for w, parts in cut.items()}
 
-    probe = ["Word,", "A1b22!?", "x", "...", "UPPER-lower_9", "tokenization(s)", "##"]
+    probe = ["Word,", "A1b22!?", "x", "...", "UPPER-lower_9", "tokenization(s)", "##", "Élève,", "straße", "ÿ"]
     splits_plainly = plainly(probe) == packed(tokenizer, probe)
 
     def encode(text: str) -> bytes:
