@@ -15,6 +15,7 @@ one after the other, each with its own ids; an empty table gives no blocks; othe
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -58,6 +59,7 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
     tokenizer = Tokenizer.from_file(path)
     model_only, model_of_bytes = Tokenizer(tokenizer.model), Tokenizer(tokenizer.model)
     model_of_bytes.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
