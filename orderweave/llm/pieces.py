@@ -209,25 +209,21 @@ def piece_encoder(model: PieceModel) -> Callable[[str], array]:
             out.frombytes(search(normal))
             return out
         if normal[0] == MARK and MARK + MARK not in normal and normal[-1] != MARK:
-            segments = normal[1:].split(MARK)  # each has one mark before it
-            mark = MARK
-        else:
-            segments, mark = runs.findall(normal), ""
-        found = list(map(known.get, segments)) if mark else [None] * len(segments)
-        if None in found:
-            if len(known) > CACHED_WORDS:
+            words = normal[1:].split(MARK)  # each has one mark before it
+            fresh = set(words).difference(known)
+            if len(known) + len(fresh) > CACHED_WORDS:
                 known.clear()
-            for n, ids in enumerate(found):
-                if ids is None:
-                    segment = segments[n]
-                    word = segment if mark else segment[1:] if segment[:1] == MARK and segment[1:2] not in ("", MARK) else None
-                    ids = known.get(word) if word is not None else None
-                    if ids is None:
-                        ids = search(mark + segment)
-                        if word is not None and len(word) <= CACHED_LENGTH:
-                            known[word] = ids
-                    found[n] = ids
-        out.frombytes(b"".join(found))
+                fresh = set(words)
+            for word in fresh:
+                known[word] = search(MARK + word)
+            out.frombytes(b"".join(map(known.__getitem__, words)))
+            for word in fresh:
+                if len(word) > CACHED_LENGTH:
+                    del known[word]
+            return out
+        for segment in runs.findall(normal):
+            plain = segment[:1] == MARK and segment[1:2] not in ("", MARK)
+            out.frombytes(known.get(segment[1:]) or search(segment) if plain else search(segment))
         return out
 
     return encode

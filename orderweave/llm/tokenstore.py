@@ -19,6 +19,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,6 +36,8 @@ CHUNK_BITS = 8
 RANK_STEP = 512
 #: A block is closed when it holds this many ids; it can pass it by one document.
 BLOCK_IDS = 1 << 20
+#: Documents encoded at a time.
+ENCODED = 64
 #: Words a worker remembers; a longer word is encoded each time.
 CACHED_WORDS, CACHED_LENGTH = 1 << 20, 48
 
@@ -49,8 +52,8 @@ PLAIN_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> Callable[[str], bytes]:
-    """Text to the little-endian 32-bit ids of the tokenizer file, without special tokens added.
+def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Texts to the little-endian 32-bit ids of the tokenizer file, without special tokens added.
 
     One encoder, with its cache, serves all tasks of a worker process. Plain words go to the model of the file part by
     part, since normalising and splitting them is known; all others take the whole tokenizer. `splits_plainly` checks
@@ -63,21 +66,21 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     tokenizer = Tokenizer.from_file(path)
     model_only, model_of_bytes = Tokenizer(tokenizer.model), Tokenizer(tokenizer.model)
     model_of_bytes.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-    known: dict[str, bytes] = {"": b""}
+    known: dict[str, bytes] = {}
     parts_known: dict[str, bytes] = {}
 
     def packed(encoder, words: list[str]) -> dict[str, bytes]:
         if not words:
             return {}
         found = encoder.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
+        return {w: array("I", e.ids).tobytes() for w, e in zip(words, found)}
 
     def plainly(words: list[str]) -> dict[str, bytes]:
         cut = {w: PLAIN_PARTS.findall(w.lower()) for w in words}
-        fresh = list({p for parts in cut.values() for p in parts if p not in parts_known})
+        fresh = {p for parts in cut.values() for p in parts}
         if len(parts_known) + len(fresh) > CACHED_WORDS:
             parts_known.clear()
-            fresh = list({p for parts in cut.values() for p in parts})
+        fresh.difference_update(parts_known)
         parts_known.update(packed(model_only, [p for p in fresh if p.isascii()]))
         parts_known.update(packed(model_of_bytes, [p for p in fresh if not p.isascii()]))
         return {w: b"".join([parts_known[p] for p in parts]) for w, parts in cut.items()}
@@ -85,20 +88,20 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     probe = ["Word,", "A1b22!?", "x", "...", "UPPER-lower_9", "tokenization(s)", "##", "Élève,", "straße", "ÿ"]
     splits_plainly = plainly(probe) == packed(tokenizer, probe)
 
-    def encode(text: str) -> bytes:
-        words = text.split(" ")
-        found = list(map(known.get, words))
-        if None in found:
-            fresh = list({w for w, ids in zip(words, found) if ids is None})
-            plain = [w for w in fresh if PLAIN_WORD.fullmatch(w)] if splits_plainly else []
-            new = plainly(plain)
-            new.update(packed(tokenizer, [w for w in fresh if w not in new]))
-            found = [new[w] if ids is None else ids for w, ids in zip(words, found)]
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                known[""] = b""
-            known.update((w, ids) for w, ids in new.items() if len(w) <= CACHED_LENGTH)
-        return b"".join(found)
+    def encode(texts: list[str]) -> list[bytes]:
+        cut = [text.split(" ") for text in texts]
+        fresh = set().union(*cut).difference(known)
+        if len(known) + len(fresh) > CACHED_WORDS:
+            known.clear()
+            fresh = set().union(*cut)
+        plain = [w for w in fresh if PLAIN_WORD.fullmatch(w)] if splits_plainly else []
+        known.update(plainly(plain))
+        known.update(packed(tokenizer, [w for w in fresh if w not in known]))
+        out = [b"".join(map(known.__getitem__, words)) for words in cut]
+        for w in fresh:
+            if len(w) > CACHED_LENGTH:
+                del known[w]
+        return out
 
     return encode
 
@@ -217,16 +220,17 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, b
                 pa.array([total], pa.int64()), pa.array([payload], pa.binary())], names=STORED.names)
 
         for batch in batches:
-            for one, doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                part = one
-                ids = encode(text or "") + end
-                names.append(doc_id)
-                counts.append(len(ids) // 4)
-                held.append(ids)
-                total += counts[-1]
-                if total >= block_ids:
-                    yield close()
-                    number, names, counts, held, total = number + 1, [], [], [], 0
+            for begin in range(0, batch.num_rows, ENCODED):
+                parts, doc_ids, texts = (c.to_pylist() for c in batch.slice(begin, ENCODED).columns)
+                part = parts[0]
+                for doc_id, ids in zip(doc_ids, encode([text or "" for text in texts])):
+                    names.append(doc_id)
+                    held += [ids, end]
+                    counts.append(len(ids) // 4 + 1)
+                    total += counts[-1]
+                    if total >= block_ids:
+                        yield close()
+                        number, names, counts, held, total = number + 1, [], [], [], 0
         if names:
             yield close()
 

@@ -70,7 +70,7 @@ def test_pieces(staged):
     model = pieces.PieceModel(corpus_pipeline.PIECE_MODEL)
     after = dict(rows_of(staged[4]))
     got = staged[5].collect()
-    assert Counter(r["doc_id"] for r in got) == Counter(after)
+    assert Counter(r["doc_id"] for r in got) == Counter(list(after))
     for r in sorted(got, key=lambda r: r["doc_id"])[:12]:
         assert r["ids"] == best_cut(model, model.normalise(after[r["doc_id"]])) and r["round_trip"]
 

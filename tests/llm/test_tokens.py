@@ -27,7 +27,7 @@ def tokenizer():
 def test_words_encode_as_the_whole_text(tokenizer):
     encode = tokenstore.word_encoder(WORD_TOKENIZER)
     for text in ODD + [t or "" for _, t in texts()] + [t for _, t in stored("documents", "doc_id, text")]:
-        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=60, deadline=None)
