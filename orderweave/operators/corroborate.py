@@ -48,15 +48,19 @@ def count_reconcile(request: DataFrame) -> DataFrame:
 
 
 def state_checksum(table: DataFrame, key: str, columns: Sequence[str], buckets: int = 16) -> DataFrame:
-    """Fingerprint per key bucket: row count and the sum of the leading 32 bits of each row's SHA-256.
+    """Fingerprint per key bucket: row count and, as text, the sum of the leading 60 bits of each row's SHA-256.
 
-    The sum does not depend on row order, so partial sums combine on the map side and only ``buckets`` rows travel.
+    Each value is written with its length before it, and null as a dash, so different rows never read alike. The sum does
+    not depend on row order, so partial sums combine on the map side and only ``buckets`` rows travel.
     """
-    canonical = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in (key, *columns)]
-    digest = F.sha2(F.concat_ws("|", *canonical), 256)
-    prefix = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    def written(column: str) -> Column:
+        value = F.col(column).cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    digest = F.sha2(F.concat(*[written(c) for c in (key, *columns)]), 256)
+    leading = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
     return table.groupBy(F.pmod(key, F.lit(buckets)).cast("long").alias("bucket")).agg(
-        F.count("*").alias("n"), F.sum(prefix).alias("checksum")
+        F.count("*").alias("n"), F.sum(leading).cast("string").alias("checksum")
     )
 
 
@@ -101,13 +105,16 @@ def invariant_violations(checks: Sequence[tuple[DataFrame, str, Sequence[Rule]]]
 
 
 def movement_reconcile(executed: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
-    """Products whose change in stock is not the signed quantity of their executed requests."""
+    """Products whose change in stock is not the signed quantity of their executed requests.
+
+    A product that moved and is in neither snapshot is reported too, with no actual change.
+    """
     signed = F.when(F.col("operation") == CREDIT, -F.col("qty")).when(F.col("operation") == DEBIT, F.col("qty"))
     moved = executed.where(F.col("result") == EXECUTED).groupBy("product_id").agg(F.sum(signed).alias("__moved"))
     return (
         before.select("product_id", F.col("qty").alias("qty_before"))
         .join(after.select("product_id", F.col("qty").alias("qty_after")), "product_id", "full_outer")
-        .join(moved, "product_id", "left")
+        .join(moved, "product_id", "full_outer")
         .withColumn("expected_change", F.coalesce("__moved", F.lit(0)).cast("long"))
         .withColumn("actual_change", F.col("qty_after") - F.col("qty_before"))
         .where(~F.col("actual_change").eqNullSafe(F.col("expected_change")))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderweave.schemas import BACK_ORDER, EXECUTED, MONEY, RESULT
+from orderweave.schemas import BACK_ORDER, EXECUTED, MONEY, PENDING, RESULT
 from orderweave.session import materialize
 
 REFILL_RANGE = (1, 1000)
@@ -72,12 +72,15 @@ def insert_with_constraints(
     seq: str,
     not_null: list[str],
     parents: Mapping[str, DataFrame],
+    unique: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
     """Each new row with ``status``: accepted, or the constraint that refuses it.
 
     Rows are taken in ``seq`` order, so the first valid row of a key wins and later ones are duplicates.
     ``parents`` maps a foreign-key column to the table that owns it (unique on the column of the same name).
     Winners are joined back on (key, seq), so a key repeated any number of times stays spread over tasks.
+    ``unique`` lists further sets of columns that may occur once, in the table and among the new rows; a row with a
+    null in such a set meets no other. Of new rows with equal values, the first one that no stored row refuses wins.
     """
     checked = new
     missing: list[tuple[str, Column]] = []
@@ -89,7 +92,14 @@ def insert_with_constraints(
     taken = existing.select(key).withColumn("__taken", F.lit(True))
     checked = checked.join(taken, key, "left")
 
-    reason = F.when(F.col("__taken"), "duplicate_key")
+    for n, columns in enumerate(unique):
+        stored = existing.select(*columns).distinct().withColumn(f"__taken{n}", F.lit(True))
+        checked = checked.join(stored, list(columns), "left")
+
+    reason = F.lit(None).cast("string")
+    for n, columns in reversed(list(enumerate(unique))):
+        reason = F.when(F.col(f"__taken{n}"), "duplicate_" + "_".join(columns)).otherwise(reason)
+    reason = F.when(F.col("__taken"), "duplicate_key").otherwise(reason)
     for name, broken in reversed(missing):
         reason = F.when(broken, name).otherwise(reason)
     for column in reversed(not_null):
@@ -101,8 +111,19 @@ def insert_with_constraints(
         checked.where(F.col("__reason").isNull()).groupBy(key).agg(F.min(seq).alias(seq))
         .withColumn("__first", F.lit(True))
     )
-    status = F.coalesce("__reason", F.when(F.col("__first"), "accepted").otherwise("duplicate_in_batch"))
-    return checked.join(first, [key, seq], "left").select(*new.columns, status.alias("status"))
+    judged, wins = checked.join(first, [key, seq], "left"), F.coalesce("__first", F.lit(False))
+    for n, columns in enumerate(unique):
+        own = (
+            checked.where(F.col("__reason").isNull()).dropna(subset=list(columns)).groupBy(*columns)
+            .agg(F.min(seq).alias(seq)).withColumn(f"__own{n}", F.lit(True))
+        )
+        judged = judged.join(materialize(own, "first-values"), [*columns, seq], "left")
+        no_value = F.lit(False)
+        for column in columns:
+            no_value = no_value | F.col(column).isNull()
+        wins = wins & (F.coalesce(f"__own{n}", F.lit(False)) | no_value)
+    status = F.coalesce("__reason", F.when(wins, "accepted").otherwise("duplicate_in_batch"))
+    return judged.select(*new.columns, status.alias("status"))
 
 
 def update_by_id(table: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -150,25 +171,42 @@ def delete_all(table: DataFrame, key: str, children: list[DataFrame]) -> tuple[D
 
 
 def conditional_credit(inventory: DataFrame, credit: DataFrame) -> DataFrame:
-    """One credit per inventory row, subtracted only if the stock covers it; otherwise BACK_ORDER."""
+    """A credit is subtracted only if the stock covers it; otherwise BACK_ORDER.
+
+    One update of a row at a time: of several credits of one inventory row the first by request id is decided, the
+    others stay PENDING for a try on the next snapshot. Allocation in request order decides them all at once.
+    """
+    first = credit.groupBy("inventory_id").agg(F.min("request_id").alias("__first"))
     enough = F.col("qty") >= F.col("credit_qty")
-    return inventory.join(credit, "inventory_id").select(
+    turn = F.col("request_id") == F.col("__first")
+    # its own exchange on both sides of each join, so that a row with very many credits can be split
+    guarded = materialize(inventory.join(first, "inventory_id"), "guarded")
+    return guarded.join(credit, "inventory_id").select(
         "inventory_id", "request_id", F.col("qty").alias("qty_before"),
-        F.when(enough, F.col("qty") - F.col("credit_qty")).otherwise(F.col("qty")).alias("qty_after"),
-        F.when(enough, EXECUTED).otherwise(BACK_ORDER).alias("result"),
+        F.when(turn & enough, F.col("qty") - F.col("credit_qty")).otherwise(F.col("qty")).alias("qty_after"),
+        F.when(~turn, PENDING).when(enough, EXECUTED).otherwise(BACK_ORDER).alias("result"),
     )
 
 
-def optimistic_update(table: DataFrame, changes: DataFrame, key: str, column: str) -> DataFrame:
+def optimistic_update(table: DataFrame, changes: DataFrame, key: str, column: str,
+                      order: str | None = None) -> DataFrame:
     """Apply a change only where its expected version is the stored one.
 
     Changes: (key, expected_version, new value). Status: applied (version moves on), stale (to be retried) or
-    missing.
+    missing. Of several changes that expect the stored version, the first by ``order``, a column that tells the
+    changes of a key apart, is applied and the others are stale; without ``order`` the one with the smallest value.
     """
+    order = order or "__new"
     changes = changes.withColumnRenamed(column, "__new")
+    first = changes.groupBy(key, "expected_version").agg(F.min(F.struct(order, "__new")).alias("__first"))
+    first = materialize(first.select(
+        F.col(key).alias("__key"), F.col("expected_version").alias("version"), "__first"), "first-changes")
+    stored = materialize(
+        table.join(first, (F.col(key) == F.col("__key")) & (first["version"] == table["version"]), "left")
+        .select(*[table[c] for c in table.columns], "__first"), "versions")
     known = F.col("version").isNotNull()
-    fits = F.col("version") == F.col("expected_version")
-    return changes.join(table, key, "left").select(
+    fits = (F.col("version") == F.col("expected_version")) & F.struct(order, "__new").eqNullSafe(F.col("__first"))
+    return changes.join(stored, key, "left").select(
         key,
         F.when(~known, "missing").when(fits, "applied").otherwise("stale").alias("status"),
         F.when(fits, F.col("__new")).otherwise(F.col(column)).alias(column),

@@ -70,6 +70,21 @@ def page(df: DataFrame, order: str, key: str, number: int, size: int, descending
     return ranked if size < 0 else ranked.offset(number * size).limit(size)
 
 
+def page_after(df: DataFrame, order: str, key: str, size: int, last: tuple | None = None,
+               descending: bool = False) -> DataFrame:
+    """The next ``size`` rows behind ``last``, the (order value, key) of the last row seen; None begins.
+
+    Unlike a page number, this costs the same for the millionth page as for the first: each task keeps ``size`` rows.
+    ``order`` is not null.
+    """
+    first = F.col(order).desc() if descending else F.col(order).asc()
+    if last is not None:
+        value, seen = (F.lit(v) for v in last)
+        beyond = F.col(order) < value if descending else F.col(order) > value
+        df = df.where(beyond | ((F.col(order) == value) & (F.col(key) > seen)))
+    return df.orderBy(first, F.col(key)).limit(size)
+
+
 def page_requests(view: DataFrame, order: str, number: int = 0, size: int = 5, descending: bool = False) -> DataFrame:
     if size not in REQUEST_PAGE_SIZES:
         raise ValueError(f"page size must be one of {REQUEST_PAGE_SIZES}")

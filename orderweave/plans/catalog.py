@@ -13,7 +13,7 @@ from orderweave.operators import allocate, corroborate, counts, filters, lag, mu
 from orderweave.plans.oracle import with_views
 from orderweave.session import scratch, use_utc
 from orderweave.sources import generate, reports
-from orderweave.sources.driver_tables import PARTITIONS, TOPIC, DriverTables
+from orderweave.sources.driver_tables import PARTITIONS, DriverTables
 from orderweave.sources.snapshots import SnapshotStore
 from orderweave.streaming import flows, runs
 
@@ -399,11 +399,11 @@ def _(t):
 
 
 @query("clamped_seek", """
-SELECT group_id, topic, partition_id, least(committed_offset, end_offset) AS start_offset
-FROM committed JOIN log_end USING (topic, partition_id)""")
+SELECT group_id, topic, partition_id, least(committed_offset, coalesce(end_offset, committed_offset)) AS start_offset
+FROM committed LEFT JOIN log_end USING (topic, partition_id)""")
 def _(t):
     joined = lag.offset_join(t.committed(), records.log_end(t.record()))
-    return joined.where(F.col("topic") == TOPIC).select(
+    return joined.select(
         "group_id", "topic", "partition_id",
         numbers.clamped_seek(F.col("committed_offset"), F.col("end_offset")).alias("start_offset"))
 
@@ -625,26 +625,31 @@ def _(t):
 
 
 @query("conditional_credit", """
-SELECT inventory_id, request_id, i.qty AS qty_before,
-       CASE WHEN i.qty >= f.credit THEN i.qty - f.credit ELSE i.qty END AS qty_after,
-       CASE WHEN i.qty >= f.credit THEN 30 ELSE 20 END AS result
-FROM inventory i JOIN (SELECT product_id, max(request_id) AS request_id, arg_max(qty, request_id) * 8 AS credit
-                       FROM request WHERE operation = 10 GROUP BY product_id) f USING (product_id)""")
-def _(t):
-    """The last credit of each product, eight times as large so that some stocks fall short."""
-    last = t.request().where(F.col("operation") == S.CREDIT).groupBy("product_id").agg(
-        F.max("request_id").alias("request_id"), (F.max_by("qty", "request_id") * 8).alias("credit_qty"))
-    keyed = last.join(t.inventory().select("product_id", "inventory_id"), "product_id").drop("product_id")
+SELECT inventory_id, request_id, qty AS qty_before,
+       CASE WHEN turn AND qty >= credit THEN qty - credit ELSE qty END AS qty_after,
+       CASE WHEN NOT turn THEN 10 WHEN qty >= credit THEN 30 ELSE 20 END AS result
+FROM (SELECT inventory_id, i.qty, r.qty * 8 AS credit, request_id,
+             request_id = min(request_id) OVER (PARTITION BY product_id) AS turn
+      FROM inventory i JOIN request r USING (product_id) WHERE operation = 10)""")
+def _(t):
+    """All credits of each product, eight times as large so that some stocks fall short."""
+    credits = t.request().where(F.col("operation") == S.CREDIT).select(
+        "product_id", "request_id", (F.col("qty") * 8).alias("credit_qty"))
+    keyed = credits.join(t.inventory().select("product_id", "inventory_id"), "product_id").drop("product_id")
     return mutate.conditional_credit(t.inventory(), keyed)
 
 
 @query("optimistic_update", """
 SELECT c.inventory_id,
-       CASE WHEN i.qty IS NULL THEN 'missing' WHEN i.inventory_id % 3 = c.expected THEN 'applied' ELSE 'stale' END AS status,
-       CASE WHEN i.inventory_id % 3 = c.expected THEN 500 ELSE i.qty END AS qty,
-       CASE WHEN i.inventory_id % 3 = c.expected THEN i.inventory_id % 3 + 1 ELSE i.inventory_id % 3 END AS version
-FROM (SELECT p_partkey + 1 AS inventory_id, p_partkey % 3 AS expected FROM part WHERE p_partkey % 4 = 0
-      UNION ALL SELECT p_partkey + 1, (p_partkey + 1) % 3 FROM part WHERE p_partkey % 4 = 1) c
+       CASE WHEN i.qty IS NULL THEN 'missing' WHEN i.inventory_id % 3 = c.expected AND c.n = c.first THEN 'applied'
+            ELSE 'stale' END AS status,
+       CASE WHEN i.inventory_id % 3 = c.expected AND c.n = c.first THEN 500 + c.n ELSE i.qty END AS qty,
+       CASE WHEN i.inventory_id % 3 = c.expected AND c.n = c.first THEN i.inventory_id % 3 + 1
+            ELSE i.inventory_id % 3 END AS version
+FROM (SELECT *, min(n) OVER (PARTITION BY inventory_id, expected) AS first FROM (
+        SELECT p_partkey + 1 AS inventory_id, (p_partkey + CASE WHEN p_partkey % 4 = 0 THEN 0 ELSE 1 END) % 3 AS expected,
+               unnest([1, 2]) AS n
+        FROM part WHERE p_partkey % 4 < 2)) c
 LEFT JOIN inventory i ON i.inventory_id = c.inventory_id""")
 def _(t):
     part = F.col("p_partkey")
@@ -652,8 +657,8 @@ def _(t):
     changes = t.raw("part").where(part % 4 < 2).select(
         (part + 1).alias("inventory_id"),
         F.when(part % 4 == 0, part % 3).otherwise((part + 1) % 3).alias("expected_version"),
-        F.lit(500).cast("long").alias("qty"))
-    return mutate.optimistic_update(stored, changes, "inventory_id", "qty")
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("n")).withColumn("qty", (F.col("n") + 500).cast("long"))
+    return mutate.optimistic_update(stored, changes, "inventory_id", "qty", order="n")
 
 
 # -- ordered and stateful work --------------------------------------------------------------------------------
@@ -819,9 +824,12 @@ def _(t):
 
 
 def _checksum_sql(table: str) -> str:
+    written = " || ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+        for c in ("product_id", "code", "description", "price"))
     return f"""
 SELECT product_id % 16 AS bucket, count(*) AS n, CAST(sum(CAST('0x' || substr(sha256(
-       CAST(product_id AS VARCHAR) || '|' || code || '|' || description || '|' || CAST(price AS VARCHAR)), 1, 8) AS BIGINT)) AS BIGINT) AS checksum
+       {written}), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum
 FROM {table} GROUP BY product_id % 16"""
 
 
