@@ -6,8 +6,8 @@ block is one binary value: header, document directory, then for each level its c
 hold whole documents in ascending doc_id order and are stored as Parquet rows (part, block, n_docs, n_ids, payload),
 so that any store Spark writes to will do.
 
-Texts are encoded by the given tokenizer file. A space always separates its words, so each different space-free word goes
-through the tokenizer once per worker while it stays in a bounded cache; the ids equal those of the whole text (tested).
+Texts are encoded by the given tokenizer file. White space always separates its words, so each different part of a text
+is encoded once per worker while it stays in a bounded cache; the ids equal those of the whole text (tested).
 
 Defined cases: a null or empty text has the end id alone; null doc_ids come first; rows that repeat an id are written
 one after the other, each with its own ids; an empty table gives no blocks; other columns are left out.
@@ -37,27 +37,29 @@ RANK_STEP = 512
 #: A block is closed when it holds this many ids; it can pass it by one document.
 BLOCK_IDS = 1 << 20
 #: Documents encoded at a time.
-ENCODED = 64
+ENCODED = 256
 #: Words a worker remembers; a longer word is encoded each time.
-CACHED_WORDS, CACHED_LENGTH = 1 << 20, 48
+CACHED_WORDS, CACHED_LENGTH = 1 << 21, 48
 
 MAGIC = b"OWT1"
 ONES = np.array([bin(x).count("1") for x in range(256)], np.int64)
 
 
-#: Words of printable ASCII without apostrophe and "<", and composed Latin letters: runs of letters, single digits and runs
-#: of the rest never join into one token there.
-PLAIN_WORD = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
-PLAIN_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Texts of white space, printable ASCII without apostrophe and "<", and composed Latin letters: there, runs of letters,
+#: single digits and runs of the rest never join into one token.
+PLAIN = re.compile("[ \\t\\n\\r!-&(-;=-~À-ÖØ-öø-ÿ]*")
+PLAIN_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^ \\t\\n\\ra-z0-9ß-öø-ÿ]+")
+#: Stands before a word that is not plain, among the parts of a text; no plain part begins with it.
+ODD = "\0"
 
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """Texts to the little-endian 32-bit ids of the tokenizer file, without special tokens added.
 
-    One encoder, with its cache, serves all tasks of a worker process. Plain words go to the model of the file part by
-    part, since normalising and splitting them is known; all others take the whole tokenizer. `splits_plainly` checks
-    on first use that the file treats plain words so.
+    One encoder, with its cache, serves all tasks of a worker process. Plain texts are cut into parts that go to the
+    model of the file, since normalising and splitting them is known; other words, between spaces, take the whole tokenizer.
+    `splits_plainly` checks on first use that the file treats plain texts so.
     """
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
@@ -67,42 +69,43 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     model_only, model_of_bytes = Tokenizer(tokenizer.model), Tokenizer(tokenizer.model)
     model_of_bytes.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
     known: dict[str, bytes] = {}
-    parts_known: dict[str, bytes] = {}
-
-    def packed(encoder, words: list[str]) -> dict[str, bytes]:
-        if not words:
-            return {}
-        found = encoder.encode_batch_fast(words, add_special_tokens=False)
-        return {w: array("I", e.ids).tobytes() for w, e in zip(words, found)}
-
-    def plainly(words: list[str]) -> dict[str, bytes]:
-        cut = {w: PLAIN_PARTS.findall(w.lower()) for w in words}
-        fresh = {p for parts in cut.values() for p in parts}
-        if len(parts_known) + len(fresh) > CACHED_WORDS:
-            parts_known.clear()
-        fresh.difference_update(parts_known)
-        parts_known.update(packed(model_only, [p for p in fresh if p.isascii()]))
-        parts_known.update(packed(model_of_bytes, [p for p in fresh if not p.isascii()]))
-        return {w: b"".join([parts_known[p] for p in parts]) for w, parts in cut.items()}
-
-    probe = ["Word,", "A1b22!?", "x", "...", "UPPER-lower_9", "tokenization(s)", "##", "Élève,", "straße", "ÿ"]
-    splits_plainly = plainly(probe) == packed(tokenizer, probe)
+
+    def learn(encoder, keys: list[str], skip: int = 0) -> None:
+        if keys:
+            found = encoder.encode_batch_fast([k[skip:] for k in keys] if skip else keys, add_special_tokens=False)
+            known.update((k, array("I", e.ids).tobytes()) for k, e in zip(keys, found))
+
+    def parts_of(text: str) -> list[str]:
+        if splits_plainly and PLAIN.fullmatch(text):
+            return PLAIN_PARTS.findall(text.lower())
+        out: list[str] = []
+        for word in text.split(" "):
+            if splits_plainly and PLAIN.fullmatch(word):
+                out += PLAIN_PARTS.findall(word.lower())
+            else:
+                out.append(ODD + word)
+        return out
 
     def encode(texts: list[str]) -> list[bytes]:
-        cut = [text.split(" ") for text in texts]
+        cut = [parts_of(text) for text in texts]
         fresh = set().union(*cut).difference(known)
         if len(known) + len(fresh) > CACHED_WORDS:
             known.clear()
             fresh = set().union(*cut)
-        plain = [w for w in fresh if PLAIN_WORD.fullmatch(w)] if splits_plainly else []
-        known.update(plainly(plain))
-        known.update(packed(tokenizer, [w for w in fresh if w not in known]))
-        out = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for w in fresh:
-            if len(w) > CACHED_LENGTH:
-                del known[w]
+        learn(model_only, [p for p in fresh if p.isascii() and p[0] != ODD])
+        learn(model_of_bytes, [p for p in fresh if not p.isascii() and p[0] != ODD])
+        learn(tokenizer, [p for p in fresh if p[0] == ODD], 1)
+        out = [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        for part in fresh:
+            if len(part) > CACHED_LENGTH:
+                del known[part]
         return out
 
+    splits_plainly = True
+    probe = ["Word, A1b22!?\nx ... UPPER-lower_9  tokenization(s) ##", "Élève,\tstraße ÿ 10.5 "]
+    whole = [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(probe, add_special_tokens=False)]
+    splits_plainly = encode(probe) == whole
+    known.clear()
     return encode
 
 
