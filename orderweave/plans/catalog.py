@@ -740,7 +740,7 @@ def _(t):
 def _(t):
     """All stored records through a streaming run: dead letters, allocation, new state, closing report."""
     store = runs.open_store(SnapshotStore(t.spark, scratch(t.spark, "run")), t.inventory(), t.person())
-    return runs.process_run(store, _record_stream(t), "run-1", t.product())
+    return runs.process_run(store, _record_stream(t), "run-1", t.product(), published=t.record())
 
 
 @query("keyed_state_update", """
@@ -766,7 +766,7 @@ def _(t):
     """Two batches are written, one is committed: readers see that one only."""
     store = SnapshotStore(t.spark, scratch(t.spark, "visible"))
     flows.publish_requests(store, t.request().where(F.col("result") == S.PENDING), PARTITIONS, "batch-1")
-    store.stage("records", records.outgoing(
+    store.stage_part("records", records.outgoing(
         filters.eligible_requests(t.request()).where(F.col("result") == S.BACK_ORDER), PARTITIONS, "batch-2"))
     return messages.with_request(store.load_log("records").drop("request_id")).select("batch_id", "msg_key", *FIELDS)
 

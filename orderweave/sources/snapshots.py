@@ -1,9 +1,10 @@
 """Versioned snapshots of several tables that change together.
 
-Every version of a table is written to a folder of its own and never overwritten. A *commit* is one small record
-that names the folder of every table; readers look at commits only, so a change of several tables shows up at once
-or not at all. A commit carries a key: committing the same key again does nothing, which makes a replayed
-micro-batch harmless. One writer at a time is assumed.
+Every version of a table is written to a folder of its own and never overwritten. Logs grow by parts, each a partition of
+the log's folder. A *commit* is one small record that names the folder of every table and the new parts; readers look at
+commits only, so a change of several tables shows up at once or not at all. A commit carries a key: committing the same
+key again does nothing, which makes a replayed micro-batch harmless. Every folder has a fresh name, so what a crash left
+behind is neither read nor in the way. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ _COMMIT = "version long, run_key string, tables map<string,string>, added map<st
 
 
 class SnapshotStore:
-    """Tables below ``root``: ``data/`` holds versions, ``commits/`` one record per commit."""
+    """Below ``root``: ``data/`` holds table versions, ``logs/`` parts of logs, ``commits/`` one record per commit."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -55,15 +56,18 @@ class SnapshotStore:
         latest = self._latest()
         paths = dict(latest["tables"]) if latest else {}
         paths.update({name: self.stage(name, df) for name, df in (tables or {}).items()})
-        logs = {name: self.stage(name, df) for name, df in (added or {}).items()}
+        logs = {name: self.stage_part(name, df) for name, df in (added or {}).items()}
         version = (latest["version"] if latest else 0) + 1
         self.publish(version, run_key, paths, logs)
         return True
 
     def publish(self, version: int, run_key: str, paths: Mapping[str, str], logs: Mapping[str, str]) -> None:
-        """The one write that makes a version visible; it fails if the version exists."""
+        """The one write that makes a version visible; a version that is there already is refused."""
+        commits = self._commits()
+        if commits is not None and not commits.where(F.col("version") == version).isEmpty():
+            raise RuntimeError(f"version {version} exists")
         record = self.spark.createDataFrame([(version, run_key, dict(paths), dict(logs))], _COMMIT)
-        record.coalesce(1).write.mode("error").json(f"{self.root}/commits/{version:012d}")
+        record.coalesce(1).write.mode("error").json(f"{self.root}/commits/{version:012d}-{uuid.uuid4().hex}")
 
     def stage(self, name: str, df: DataFrame) -> str:
         """Write a new folder that no reader sees until a commit names it."""
@@ -71,16 +75,30 @@ class SnapshotStore:
         df.write.parquet(path)
         return path
 
+    def stage_part(self, name: str, df: DataFrame) -> str:
+        """Write a new part of a log that no reader sees until a commit names it."""
+        part = f"p{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.root}/logs/{name}/part={part}")
+        return part
+
     def load(self, name: str) -> DataFrame:
         """The table as of the latest commit."""
         return self.spark.read.parquet(self._latest()["tables"][name])
 
     def load_log(self, name: str, empty: Callable[[], DataFrame] | None = None) -> DataFrame:
-        """All committed additions to a log; parts without a commit stay invisible. One path per commit."""
+        """All committed additions to a log; parts without a commit stay invisible."""
+        try:
+            log = self.spark.read.parquet(f"{self.root}/logs/{name}")
+        except AnalysisException as error:
+            if empty is not None and error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return empty()
+            raise
         commits = self._commits()
-        paths = [] if commits is None else [
-            r["p"] for r in commits.select(F.col("added")[name].alias("p")).where("p IS NOT NULL").collect()
-        ]
-        if not paths and empty is not None:
-            return empty()
-        return self.spark.read.parquet(*paths)
+        if commits is None:
+            return log.limit(0).drop("part")
+        return log.join(commits.select(F.col("added")[name].alias("part")), "part", "left_semi").drop("part")
+
+    def added_by(self, run_key: str, name: str) -> DataFrame:
+        """What one commit added to a log; only that part is read."""
+        part = self._commits().where(F.col("run_key") == run_key).select(F.col("added")[name].alias("part")).first()["part"]
+        return self.spark.read.parquet(f"{self.root}/logs/{name}/part={part}")

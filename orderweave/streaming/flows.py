@@ -91,7 +91,7 @@ def publish_requests(store: SnapshotStore, request: DataFrame, partitions: int,
         "request_id", "msg_key", "msg_value", "partition_id", "headers", F.lit(batch_id).alias("batch_id")
     )
     store.commit(f"publish/{batch_id}", added={"records": records})
-    return store.load_log("records").where(F.col("batch_id") == batch_id).count()
+    return store.added_by(f"publish/{batch_id}", "records").count()
 
 
 def keyed_state_update(changes: DataFrame, key: str, value: str, label: str = "keyed-state") -> DataFrame:

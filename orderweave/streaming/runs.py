@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,14 +10,18 @@ from pyspark.sql import functions as F
 
 from orderweave.functions.rules import Rule
 from orderweave.operators.allocate import CHUNK_ROWS, allocate_requests, next_inventory, next_person
+from orderweave.operators.corroborate import compact_latest
 from orderweave.operators.counts import with_run_state
 from orderweave.operators.records import dead_letter_split, dedup_requests, unprocessed
-from orderweave.schemas import BACK_ORDER, REQUEST
+from orderweave.schemas import BACK_ORDER, REQUEST, RUN_STATE
 from orderweave.session import materialize
 from orderweave.sources.snapshots import SnapshotStore
 from orderweave.streaming.flows import run_batches
 
 CONTROL = "run_id string, batch_id long, topic string, partition_id int, n long, n_failed long, max_offset long"
+DELIVERED = "run_id string, request_id long, n long"
+OUTCOME_IDS = "request_id long, run_id string, result int"
+STATE = "run_id string, version long, run_state int, message string"
 
 
 def open_store(store: SnapshotStore, inventory: DataFrame, person: DataFrame) -> SnapshotStore:
@@ -25,6 +30,40 @@ def open_store(store: SnapshotStore, inventory: DataFrame, person: DataFrame) ->
     return store
 
 
+def _done(store: SnapshotStore, run_id: str) -> DataFrame:
+    """Requests with any outcome in this run or a final one in an earlier run."""
+    outcomes = store.load_log("outcome", lambda: store.spark.createDataFrame([], OUTCOME_IDS))
+    return outcomes.where((F.col("run_id") == run_id) | (F.col("result") != BACK_ORDER)).select("request_id")
+
+
+def _note_state(store: SnapshotStore, run_id: str, key: str, state: str, message: str | None = None) -> None:
+    row = [(run_id, store.version() + 1, RUN_STATE[state], message)]
+    store.commit(f"{run_id}/{key}", added={"run_state": store.spark.createDataFrame(row, STATE)})
+
+
+def run_state(store: SnapshotStore, run_id: str) -> DataFrame:
+    """The last recorded state of a run, with the message of a failure."""
+    states = store.load_log("run_state", lambda: store.spark.createDataFrame([], STATE))
+    return compact_latest(states.where(F.col("run_id") == run_id), "run_id", "version")
+
+
+def _report(store: SnapshotStore, run_id: str, published: DataFrame | None) -> DataFrame:
+    """Published, processed and failed records, each counted at a place of its own: the publication (or what the stream
+    delivered), the deliveries whose request has an outcome, and the dead letters."""
+    spark, of_run, none = store.spark, F.col("run_id") == run_id, F.lit(0).cast("long")
+    control = store.load_log("control", lambda: spark.createDataFrame([], CONTROL)).where(of_run)
+    delivered = store.load_log("delivered", lambda: spark.createDataFrame([], DELIVERED)).where(of_run)
+    handled = delivered.join(_done(store, run_id), "request_id", "left_semi")
+    sent = control.select("n") if published is None else published.agg(F.count("*").alias("n"))
+    marks = (
+        sent.select(F.col("n").alias("sent"), none.alias("ok"), none.alias("bad"))
+        .unionByName(handled.select(none.alias("sent"), F.col("n").alias("ok"), none.alias("bad")))
+        .unionByName(control.select(none.alias("sent"), none.alias("ok"), F.col("n_failed").alias("bad")))
+    )
+    names = {"nbr_published": "sent", "nbr_processed": "ok", "nbr_processed_with_error": "bad"}
+    return with_run_state(marks.agg(*[F.coalesce(F.sum(c), none).alias(name) for name, c in names.items()]))
+
+
 def handle_batch(store: SnapshotStore, batch: DataFrame, run_id: str, batch_id: int, product: DataFrame,
                  rules: Sequence[Rule] = (), chunk_rows: int = CHUNK_ROWS) -> bool:
     """Apply one micro-batch. A batch that was committed before is skipped, so a replay has no effect.
@@ -44,25 +83,28 @@ def handle_batch(store: SnapshotStore, batch: DataFrame, run_id: str, batch_id:
     ).select(F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("long").alias("batch_id"), "*")
 
     columns = REQUEST.fieldNames()
-    first = dedup_requests(split.where(F.col("error").isNull()), order=("partition_id", "offset_id"))
-    outcomes = store.load_log("outcome", lambda: spark.createDataFrame([], "request_id long, run_id string, result int"))
-    done = outcomes.where((F.col("run_id") == run_id) | (F.col("result") != BACK_ORDER)).select("request_id")
-    fresh = materialize(unprocessed(first, done).select(*columns), "fresh")
+    sound = split.where(F.col("error").isNull())
+    delivered = sound.groupBy("request_id").agg(F.count("*").alias("n")).select(F.lit(run_id).alias("run_id"), "*")
+    first = dedup_requests(sound, order=("partition_id", "offset_id"))
+    fresh = materialize(unprocessed(first, _done(store, run_id)).select(*columns), "fresh")
     inventory, person = store.load("inventory"), store.load("person")
     decided = allocate_requests(fresh, inventory, product, person, chunk_rows)
     return store.commit(
         run_key,
         tables={"inventory": next_inventory(inventory, decided), "person": next_person(person, decided)},
-        added={"outcome": decided.withColumn("run_id", F.lit(run_id)), "dead_letter": dead, "control": control},
+        added={"outcome": decided.withColumn("run_id", F.lit(run_id)), "dead_letter": dead, "control": control,
+               "delivered": delivered},
     )
 
 
 def process_run(store: SnapshotStore, records: DataFrame, run_id: str, product: DataFrame,
-                rules: Sequence[Rule] = (), chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                rules: Sequence[Rule] = (), chunk_rows: int = CHUNK_ROWS, published: DataFrame | None = None) -> DataFrame:
     """Process all records once and report the run: counts and final state.
 
-    A run id that has finished is refused. The streaming checkpoint lies beside the store, so an interrupted run
-    goes on with the batch it was in; its commit key keeps that batch from counting twice.
+    ``published`` has one row per record sent; a record that never came through leaves the run EXECUTING. A failure is
+    recorded with its message and raised. A run id that has finished is refused. The streaming checkpoint lies beside
+    the store, so an interrupted run goes on with the batch it was in; its commit key keeps that batch from counting
+    twice.
     """
     if store.committed(f"{run_id}/closed"):
         raise RuntimeError(f"run {run_id} is not ready: it has been closed")
@@ -70,12 +112,16 @@ def process_run(store: SnapshotStore, records: DataFrame, run_id: str, product:
     def handle(batch: DataFrame, batch_id: int) -> None:
         handle_batch(store, batch, run_id, batch_id, product, rules, chunk_rows)
 
-    run_batches(records, handle, run_id, checkpoint=f"{store.root}/streams/{run_id}")
-    spark = product.sparkSession
-    control = store.load_log("control", lambda: spark.createDataFrame([], CONTROL))
-    total, bad = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_failed"), F.lit(0))
-    report = with_run_state(control.where(F.col("run_id") == run_id).agg(
-        total.alias("nbr_published"), (total - bad).alias("nbr_processed"), bad.alias("nbr_processed_with_error")
-    ))
-    store.commit(f"{run_id}/closed", added={"run_log": report.select(F.lit(run_id).alias("run_id"), "*")})
+    attempt = uuid.uuid4().hex
+    _note_state(store, run_id, f"started/{attempt}", "EXECUTING")
+    try:
+        run_batches(records, handle, run_id, checkpoint=f"{store.root}/streams/{run_id}")
+    except Exception as error:
+        _note_state(store, run_id, f"failed/{attempt}", "EXCEPTION", str(error))
+        raise
+    report = materialize(_report(store, run_id, published), "report", reader=store.spark)
+    final = report.select(F.lit(run_id).alias("run_id"), F.lit(store.version() + 1).cast("long").alias("version"),
+                          F.col("run_state").cast("int").alias("run_state"), F.lit(None).cast("string").alias("message"))
+    store.commit(f"{run_id}/closed", added={
+        "run_log": report.select(F.lit(run_id).alias("run_id"), "*"), "run_state": final})
     return store.load_log("run_log").where(F.col("run_id") == run_id).drop("run_id")

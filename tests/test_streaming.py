@@ -79,6 +79,26 @@ def test_empty_run_completes(spark, tables):
     assert [tuple(r) for r in report.collect()] == [(0, 0, 0, S.RUN_STATE["COMPLETED"])]
 
 
+def test_lost_record_and_failure_show(spark, tables, monkeypatch):
+    path = scratch(spark, "few")
+    sent = tables.record().where("request_id < 20")
+    sent.where("request_id <> 7").write.parquet(path)
+    stream = flows.file_stream(spark, path, sent.schema)
+    store = store_for(tables)
+    report = runs.process_run(store, stream, "lost", tables.product(), published=sent).first()
+    assert report["nbr_published"] == report["nbr_processed"] + report["nbr_processed_with_error"] + 1
+    assert report["run_state"] == runs.run_state(store, "lost").first()["run_state"] == S.RUN_STATE["EXECUTING"]
+
+    def broken(*_args, **_more):
+        raise ValueError("no such batch")
+
+    monkeypatch.setattr(runs, "handle_batch", broken)
+    with pytest.raises(Exception):
+        runs.process_run(store, stream, "broken", tables.product())
+    last = runs.run_state(store, "broken").first()
+    assert last["run_state"] == S.RUN_STATE["EXCEPTION"] and "no such batch" in last["message"]
+
+
 def test_stop_and_restart_lose_nothing(spark, tables):
     path, schema = staged(tables, 2)
     out = scratch(spark, "restart")
@@ -141,6 +161,6 @@ def test_uncommitted_batch_is_invisible_and_publishing_twice_is_once(spark, tabl
     store = SnapshotStore(spark, scratch(spark, "publish"))
     n = flows.publish_requests(store, tables.request(), PARTITIONS, "b1", "replay")
     assert flows.publish_requests(store, tables.request(), PARTITIONS, "b1", "replay") == n == store.load_log("records").count()
-    store.stage("records", store.load_log("records").withColumn("batch_id", F.lit("b2")))
+    store.stage_part("records", store.load_log("records").withColumn("batch_id", F.lit("b2")))
     assert [r.batch_id for r in store.load_log("records").select("batch_id").distinct().collect()] == ["b1"]
     assert store.load_log("records").where(records.header("replay-id") == "replay").count() == n

@@ -224,6 +224,16 @@ def test_store_shows_whole_commits_only(spark):
         store.publish(2, "c", {}, {})
 
 
+def test_half_made_commit_is_neither_read_nor_in_the_way(spark):
+    store, one = SnapshotStore(spark, scratch(spark, "crash")), spark.range(1)
+    spark.range(1).write.parquet(f"{store.root}/commits/000000000001-gone/_temporary/0")
+    spark.range(5).write.parquet(f"{store.root}/logs/log/part=gone/_temporary/0")
+    assert store.version() == 0 and not store.committed("a")
+    assert store.load_log("log", lambda: spark.range(0)).count() == 0
+    assert store.commit("a", {"x": one}, {"log": one}) and store.version() == 1
+    assert store.load("x").count() == store.load_log("log").count() == store.added_by("a", "log").count() == 1
+
+
 @pytest.mark.parametrize("bad", [
     {"name": " "}, {"name": "__consumer_offsets"}, {"name": "a b"}, {"name": "a", "dead_letter": "_schemas"},
     {"name": "a", "partitions": 0}, {"name": "a", "retry_attempts": 0}, {"name": "a", "retry_interval_ms": 0},
