@@ -31,7 +31,7 @@ from orderweave.llm.components import components, flatten, join_trees
 from orderweave.session import materialize
 
 THRESHOLD = 0.93
-SHARD = 4096
+SHARD = 16_384
 #: Links of a node in the lowest layer and in the others, and the beams for building and searching.
 LINKS, UPPER_LINKS = 32, 16
 BUILD_BEAM, SEARCH_BEAM = 64, 48
@@ -39,6 +39,8 @@ RECALL = 0.98
 AUDIT_EVERY = 100
 #: Nodes inserted, and queries searched, together; nodes of a beam expanded at a time.
 BATCH, STEP = 256, 4
+#: Cells of the matrix of links that are unpacked at a time.
+CELLS = 1 << 20
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -183,36 +185,46 @@ class Graph:
 
     def links_of(self, queries: np.ndarray, threshold: float, beam: int) -> np.ndarray:
         """Found links, as a matrix of queries by nodes."""
-        hits = np.zeros((len(queries), len(self.x)), bool)
+        return np.unpackbits(self.packed_links_of(queries, threshold, beam), axis=1, count=len(self.x)).view(bool)
+
+    def packed_links_of(self, queries: np.ndarray, threshold: float, beam: int) -> np.ndarray:
+        """Found links, as a matrix of queries by nodes with eight nodes a byte."""
+        packed = np.zeros((len(queries), (len(self.x) + 7) // 8), np.uint8)
         upper = self.layers[:-1]
         for begin in range(0, len(queries), BATCH):
-            rows = np.arange(begin, min(begin + BATCH, len(queries)))
+            block = queries[begin:begin + BATCH]
+            hits = np.zeros((len(block), len(self.x)), bool)
+            rows = np.arange(len(block))
             at = np.full(len(rows), self.top)
             for links in upper:
-                at = _beam(self.x, links, queries[rows], at, 1)[0][:, 0]
+                at = _beam(self.x, links, block, at, 1)[0][:, 0]
             width = beam
             while rows.size:
-                def note(r: np.ndarray, nodes: np.ndarray, cosine: np.ndarray, rows: np.ndarray = rows) -> None:
+                def note(r: np.ndarray, nodes: np.ndarray, cosine: np.ndarray, rows: np.ndarray = rows,
+                         hits: np.ndarray = hits) -> None:
                     i, j = np.nonzero(cosine >= threshold)
                     hits[rows[r[i]], nodes[i, j]] = True
 
                 width = min(width, len(self.x))
-                _, cosine = _beam(self.x, self.layers[-1], queries[rows], at, width, note)
+                _, cosine = _beam(self.x, self.layers[-1], block[rows], at, width, note)
                 if width == len(self.x):
-                    hits[rows] |= queries[rows] @ self.x.T >= threshold
+                    hits[rows] |= block[rows] @ self.x.T >= threshold
                     break
                 full = cosine[:, -1] >= threshold
                 rows, at, width = rows[full], at[full], 2 * width
-        return hits
+            packed[begin:begin + len(block)] = np.packbits(hits, axis=1)
+        return packed
 
 
 def search(graph: Graph, queries: np.ndarray, audited: np.ndarray, threshold: float) -> np.ndarray:
-    """Links of all queries; the beam is widened until the audited queries have enough of theirs."""
+    """Links of all queries, packed; the beam is widened until the audited queries have enough of theirs."""
     beam = SEARCH_BEAM
-    exact = queries[audited] @ graph.x.T >= threshold
+    exact = np.concatenate([
+        np.packbits(queries[audited[b:b + BATCH]] @ graph.x.T >= threshold, axis=1) for b in range(0, len(audited), BATCH)])
+    wanted = RECALL * np.bitwise_count(exact).sum(dtype=np.int64)
     while True:
-        hits = graph.links_of(queries, threshold, beam)
-        if (hits[audited] & exact).sum() >= RECALL * exact.sum() or beam >= len(graph.x):
+        hits = graph.packed_links_of(queries, threshold, beam)
+        if np.bitwise_count(hits[audited] & exact).sum(dtype=np.int64) >= wanted or beam >= len(graph.x):
             return hits
         beam *= 2
 
@@ -245,27 +257,35 @@ def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, Graph]:
     return ids, counts, graph
 
 
+def _either_way(there: np.ndarray, back: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Blocks of rows of the links found from either side, with the first row's place; both matrices are packed."""
+    step = max(8, CELLS // width // 8 * 8)
+    for begin in range(0, len(there), step):
+        hits = np.unpackbits(there[begin:begin + step], axis=1, count=width).view(bool)
+        turned = np.unpackbits(back[:, begin // 8:(begin + step) // 8], axis=1)[:, :len(hits)].view(bool)
+        yield begin, hits | turned.T
+
+
 def _pair(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("shard")
         sides = [_unpack(g.as_py()) for g in table.column("graph")]
         ids_a, counts_a, a = sides[0]
         ids_b, counts_b, b = sides[-1]
-        hits = search(b, a.x, _audited(ids_a), threshold)
-        if len(sides) == 1:
-            hits |= hits.T
-            np.fill_diagonal(hits, False)
-            found = [(ids_a, hits @ counts_a)]
-            ids = ids_a
-        else:
-            hits |= search(a, b.x, _audited(ids_b), threshold).T
-            found = [(ids_a, hits @ counts_b), (ids_b, hits.T @ counts_a)]
-            ids = np.r_[ids_a, ids_b]
+        single = len(sides) == 1
+        there = search(b, a.x, _audited(ids_a), threshold)
+        back = there if single else search(a, b.x, _audited(ids_b), threshold)
+        ids, shift = (ids_a, 0) if single else (np.r_[ids_a, ids_b], len(ids_a))
+        linked_a, linked_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
         label = np.arange(len(ids))
-        shift = 0 if len(sides) == 1 else len(ids_a)
-        for begin in range(0, len(hits), BATCH):
-            i, j = np.nonzero(hits[begin:begin + BATCH])
+        for begin, hits in _either_way(there, back, len(ids_b)):
+            if single:
+                np.fill_diagonal(hits[:, begin:], False)
+            linked_a[begin:begin + len(hits)] = hits @ counts_b
+            linked_b += counts_a[begin:begin + len(hits)] @ hits
+            i, j = np.nonzero(hits)
             join_trees(label, i + begin, j + shift)
+        found = [(ids_a, linked_a)] if single else [(ids_a, linked_a), (ids_b, linked_b)]
         flatten(label)
         hung = np.flatnonzero(label != np.arange(len(ids)))
         u, n = (np.concatenate(c) for c in zip(*found))

@@ -73,3 +73,12 @@ def test_recall_on_a_large_shard():
     found = graph.links_of(x, 0.93, hnsw.SEARCH_BEAM)
     assert not (found & ~exact).any()
     assert (found & exact).sum() / exact.sum() >= 0.98
+
+
+def test_blocks_of_both_directions(monkeypatch):
+    rng = np.random.default_rng(3)
+    there, back = rng.random((83, 37)) < 0.1, rng.random((37, 83)) < 0.1
+    monkeypatch.setattr(hnsw, "CELLS", 300)
+    blocks = list(hnsw._either_way(np.packbits(there, axis=1), np.packbits(back, axis=1), 37))
+    assert [b for b, _ in blocks] == list(range(0, 83, 8))
+    assert np.array_equal(np.concatenate([h for _, h in blocks]), there | back.T)
