@@ -121,8 +121,12 @@ def _spread(x: np.ndarray, nodes: np.ndarray, cosine: np.ndarray, m: int) -> np.
 
 
 def _layer(x: np.ndarray, order: np.ndarray, m: int, entries) -> np.ndarray:
-    """Links (-1: none) of all nodes in ``order``; entries(queries) names nodes among those inserted first."""
-    links = np.full((len(x) + 1, m), -1)
+    """Links (-1: none) of all nodes in ``order``; entries(queries) names nodes among those inserted first.
+
+    While the layer grows a node may hold half as many links again, so it chooses anew only after ``m / 2`` links back.
+    """
+    room = m + m // 2
+    links = np.full((len(x) + 1, room), -1)
     for begin in range(0, len(order), BATCH):
         new = order[begin:begin + BATCH]
         inside = x[new] @ x[new].T
@@ -138,12 +142,12 @@ def _layer(x: np.ndarray, order: np.ndarray, m: int, entries) -> np.ndarray:
             nodes, cosine = np.take_along_axis(nodes, best, axis=1), np.take_along_axis(cosine, best, axis=1)
         if not nodes.shape[1]:
             continue
-        links[new] = _spread(x, nodes, cosine, m)
+        links[new, :m] = _spread(x, nodes, cosine, m)
         # links back; nodes with too many choose again
-        source, target = np.repeat(new, m), links[new].ravel()
+        source, target = np.repeat(new, m), links[new, :m].ravel()
         source, target = source[target >= 0], target[target >= 0]
         touched = np.unique(target)
-        old_from, old_to = np.repeat(touched, m), links[touched].ravel()
+        old_from, old_to = np.repeat(touched, room), links[touched].ravel()
         pairs = np.unique(np.r_[target, old_from[old_to >= 0]] * len(x) + np.r_[source, old_to[old_to >= 0]])
         a, b = pairs // len(x), pairs % len(x)
         near = np.einsum("ij,ij->i", x[a], x[b])
@@ -155,10 +159,18 @@ def _layer(x: np.ndarray, order: np.ndarray, m: int, entries) -> np.ndarray:
         row = np.searchsorted(touched, a[fits])
         nodes, cosine = np.full((len(touched), 2 * m), -1), np.full((len(touched), 2 * m), -np.inf)
         nodes[row, rank[fits]], cosine[row, rank[fits]] = b[fits], near[fits]
-        for part in range(0, len(touched), BATCH):
-            at = slice(part, part + BATCH)
-            links[touched[at]] = _spread(x, nodes[at], cosine[at], m)
-    return links[:-1] if len(links) > 1 else links
+        links[touched] = nodes[:, :room]
+        full = np.flatnonzero(nodes[:, room] >= 0)
+        for part in range(0, len(full), BATCH):
+            at = full[part:part + BATCH]
+            links[touched[at], :m], links[touched[at], m:] = _spread(x, nodes[at], cosine[at], m), -1
+    # lists beyond m links are in order, best first
+    over = np.flatnonzero(links[:-1, m] >= 0)
+    for part in range(0, len(over), BATCH):
+        at = over[part:part + BATCH]
+        cosine = np.where(links[at] >= 0, np.einsum("ij,ikj->ik", x[at], x[links[at]]), -np.inf)
+        links[at, :m] = _spread(x, links[at], cosine, m)
+    return links[:-1, :m]
 
 
 class Graph:
