@@ -217,11 +217,11 @@ class Graph:
                     i, j = np.nonzero(cosine >= threshold)
                     hits[rows[r[i]], nodes[i, j]] = True
 
-                width = min(width, len(self.x))
-                _, cosine = _beam(self.x, self.layers[-1], block[rows], at, width, note)
-                if width == len(self.x):
+                if width >= len(self.x) or width > beam and width * LINKS >= len(self.x):
+                    # such a beam would meet nearly every node by its links; one product meets all
                     hits[rows] |= block[rows] @ self.x.T >= threshold
                     break
+                _, cosine = _beam(self.x, self.layers[-1], block[rows], at, width, note)
                 full = cosine[:, -1] >= threshold
                 rows, at, width = rows[full], at[full], 2 * width
             packed[begin:begin + len(block)] = np.packbits(hits, axis=1)
