@@ -1,6 +1,6 @@
 """Toxicity scores by weak supervision.
 
-1. Voters. Lexicon terms are mined from labelled documents (a bounded sample, `MAX_LABELLED`): words and word beginnings
+1. Voters. Lexicon terms are mined from all labelled documents: words and word beginnings
    whose document frequencies in the two classes differ far beyond chance. They are dealt to `LEXICON_VOTERS` lexicon voters
    in order of strength. Pattern voters look at shouting, runs of marks, symbol noise and short texts.
 2. A generative label model learns each voter's accuracy by expectation maximisation over the counts of all vote
@@ -9,7 +9,8 @@
 3. A linear classifier over the lexicon terms, their share of the text and the pattern votes is trained on the posteriors of a bounded sample of
    documents (`MAX_FIT`) and scores every document.
 
-Each document's text is read once, whole; what is written down is the short list of its lexicon terms and votes.
+Labels are joined, not collected: their number is not bounded. The texts of labelled documents are read twice, whole, for the
+term frequencies and for the votes; what is written down is the short list of a document's lexicon terms and votes.
 
 Defined cases: a null or empty text has no lexicon terms and is scored by its pattern votes; repeated rows get equal
 scores; null doc_ids are scored and never used as labelled; labels other than 0 and 1, and ids with contradicting labels,
@@ -26,8 +27,7 @@ from pyspark.sql import functions as F
 
 from orderweave.session import materialize
 
-#: Labelled documents that words are mined from, and documents the classifier is fitted on: bounds of the samples.
-MAX_LABELLED = 20_000
+#: Documents the classifier is fitted on: bound of the sample.
 MAX_FIT = 20_000
 #: Terms kept, and the least evidence for one: log-likelihood ratio and documents of the class it speaks for.
 MAX_TERMS, MIN_EVIDENCE, MIN_DOCUMENTS = 256, 15.0, 3
@@ -60,31 +60,30 @@ def pattern_votes(text: Column) -> list[Column]:
     return [capitals > length * 0.3, marks > length * 0.05, noise > length * 0.1, F.length(text) < 100]
 
 
-def labelled_sample(labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
-    """(id, y): at most ``limit`` labelled ids, chosen by hash."""
-    from_labels = (
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """(id, y): every labelled id whose labels agree."""
+    return (
         labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("id")).agg(F.min("toxic").alias("y"), F.max("toxic").alias("hi"))
         .where("y = hi").drop("hi")
     )
-    return from_labels.orderBy(F.xxhash64("id"), "id").limit(limit)
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def mine_words(docs: DataFrame, sample: DataFrame) -> list[str]:
-    """Terms that speak for label 1, strongest first."""
-    chosen = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
-        "y", F.array_distinct(terms_of(words_of(F.coalesce("text", F.lit(""))))).alias("words"))
-    chosen = materialize(chosen, "labelled")
+def mine_words(docs: DataFrame, known: DataFrame) -> list[str]:
+    """Terms that speak for label 1, strongest first, by their frequencies in all labelled documents."""
+    # by shuffle whatever the size: the labels of a partition are the smaller side, so texts need no sort
+    chosen = docs.join(known.hint("shuffle_hash"), F.col("doc_id") == F.col("id"))
     sizes = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     if not pos or not neg:
         return []
     counts = (
-        chosen.select("y", F.explode("words").alias("word")).where(F.length("word") > 1)
+        chosen.select("y", F.explode(F.array_distinct(terms_of(words_of(F.coalesce("text", F.lit("")))))).alias("word"))
+        .where(F.length("word") > 1)
         .groupBy("word").agg(F.sum("y").alias("a"), F.count("*").alias("n"))
         .where(F.col("a") >= MIN_DOCUMENTS).withColumn("b", F.col("n") - F.col("a"))
     )
@@ -105,7 +104,7 @@ def mine_words(docs: DataFrame, sample: DataFrame) -> list[str]:
     return [r["word"] for r in best.collect()]
 
 
-def marked(docs: DataFrame, words: list[str], sample: DataFrame) -> DataFrame:
+def marked(docs: DataFrame, words: list[str], known: DataFrame) -> DataFrame:
     """doc_id, y (or null), hits (lexicon terms of the text), n_words and votes (bits: lexicon, then pattern voters)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lexicon = F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
@@ -120,7 +119,7 @@ def marked(docs: DataFrame, words: list[str], sample: DataFrame) -> DataFrame:
         if group:
             hit = F.arrays_overlap("hits", F.array(*map(F.lit, group)))
             found = found.withColumn("votes", F.col("votes") + F.when(hit, 1 << n).otherwise(0))
-    return found.join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left").select(
+    return found.join(known.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", "y", "hits", "n_words", "votes")
 
 
@@ -188,10 +187,10 @@ def _fit_linear(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, score and predicted of every document; ``labels`` are those that may be learned from."""
-    sample = materialize(labelled_sample(labels), "labelled-ids")
+    labelled = materialize(usable_labels(labels), "labelled-ids")
     narrow = docs.select("doc_id", "text")
-    words = mine_words(narrow, sample)
-    seen = materialize(marked(narrow, words, sample), "votes")
+    words = mine_words(narrow, labelled)
+    seen = materialize(marked(narrow, words, labelled), "votes")
     if not words:
         return seen.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
 

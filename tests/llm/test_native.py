@@ -152,3 +152,21 @@ def test_toxicity_of_odd_tables(spark):
     assert got == {i: int(i % 3 == 0) for i in range(100, 200)}
     left = toxicity.remove_toxic(frame(spark, train), spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert {r["doc_id"] for r in left.collect()} == {i for i in range(100, 200) if i % 3}
+
+
+def test_all_labels_are_learned_from(spark):
+    """A word that only documents beyond the first 20,000 labels (by hash) hold is mined, and every label counts."""
+    from pyspark.sql import functions as F
+
+    ids = [r[0] for r in spark.range(24_000).orderBy(F.xxhash64("id"), "id").collect()]
+    word = {d: ("nasty" if n < 400 else "fine") if n < 20_000 else ("vile" if n < 20_400 else "fine")
+            for n, d in enumerate(ids)}
+    rows = [(d, f"{word[d]} {'calm' if d % 2 else 'quiet'} day number{d % 50}") for d in ids]
+    labels = spark.createDataFrame([(d, int(w != "fine")) for d, w in word.items()], "doc_id long, toxic int")
+    docs, known = frame(spark, rows), toxicity.usable_labels(labels)
+    words = toxicity.mine_words(docs, known)
+    assert set(words) == {"nasty", "vile"}
+    seen = toxicity.marked(docs, words, known)
+    assert {r["y"]: r["n"] for r in seen.groupBy("y").agg(F.count("*").alias("n")).collect()} == {0: 23_200, 1: 800}
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(docs, labels).collect()}
+    assert got == {d: int(w != "fine") for d, w in word.items()}
