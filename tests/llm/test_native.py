@@ -170,3 +170,29 @@ def test_all_labels_are_learned_from(spark):
     assert {r["y"]: r["n"] for r in seen.groupBy("y").agg(F.count("*").alias("n")).collect()} == {0: 23_200, 1: 800}
     got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(docs, labels).collect()}
     assert got == {d: int(w != "fine") for d, w in word.items()}
+
+
+def test_licenses_inside_texts(spark):
+    """Licences of several paragraphs inside a long document, and notices inside a line."""
+    mit = licenses.TEMPLATES["MIT-text"].replace("conditions: The", "conditions:\n\nThe").replace(
+        "Software. THE", "Software.\n\nTHE")
+    bsd = licenses.TEMPLATES["BSD-3-Clause"].replace("met: 1.", "met:\n\n1.").replace(" 2. ", "\n\n2. ").replace(
+        " 3. ", "\n\n3. ").replace(" THIS SOFTWARE IS PROVIDED BY", "\n\nTHIS SOFTWARE IS PROVIDED BY")
+    long = passage(40, 3000)
+    notice = "Released under the MIT License."
+    rows = [(1, f"{long}\n\n{mit}\n\n{long}"), (2, f"{long}\n\n{bsd}\n\n{long}"),
+            (3, "This project is released under the MIT License."),
+            (4, "Released under the MIT License. See LICENSE for details."),
+            (5, f"{long} {notice} {long} {notice} {long}"), (6, notice), (7, f"{passage(41, 30)} İ {notice} {long}"),
+            (8, f"{long}\n\n{mit}\n\n{long}\n\n{mit}\n\n{long}"), (9, long)]
+    got = defaultdict(list)
+    for r in licenses.find_licenses(frame(spark, rows)).collect():
+        got[r["doc_id"]].append((r["unit"], r["position"], r["license"], round(r["dice"], 6)))
+    text = dict(rows)
+    second = text[5].index(notice, text[5].index(notice) + 1)
+    assert {d: sorted(f) for d, f in got.items()} == {
+        1: [("run", text[1].index(mit), "MIT-text", 1.0)], 2: [("run", text[2].index(bsd), "BSD-3-Clause", 1.0)],
+        3: [("run", text[3].index("released"), "MIT", 1.0)], 4: [("run", 0, "MIT", 1.0)],
+        5: [("run", text[5].index(notice), "MIT", 1.0), ("run", second, "MIT", 1.0)], 6: [("line", 0, "MIT", 1.0)],
+        7: [("run", text[7].index(notice), "MIT", 1.0)],
+        8: [("run", text[8].index(mit), "MIT-text", 1.0), ("run", text[8].rindex(mit), "MIT-text", 1.0)]}
