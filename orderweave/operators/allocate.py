@@ -504,6 +504,33 @@ def allocate_stock_only(request: DataFrame, inventory: DataFrame, product: DataF
     return _finish(request, placed.where("NOT runs"), decided)
 
 
+def credit_in_order(inventory: DataFrame, credit: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Guarded credits, any number to an inventory row: each is subtracted if the stock that the earlier ones left
+    covers it, otherwise it is a BACK_ORDER and takes nothing.
+
+    Credits: (inventory_id, request_id, credit_qty) with unique request ids and quantities that are not null; those
+    without an inventory row give none, as in ``mutate.conditional_credit``. One resource: the walk of ``allocate_stock_only``.
+    """
+    # The walk calls its key product_id; here it is the inventory row. Its own exchange on both sides of the join.
+    opened = credit.join(inventory.select("inventory_id", "qty"), "inventory_id").select(
+        F.col("inventory_id").alias("product_id"), "request_id", F.col("credit_qty").cast("long").alias("qty"),
+        F.lit(True).alias("is_credit"), F.col("qty").cast("long").alias("opening_stock"))
+    opened = materialize(opened, "opened")
+    chunks = _chunk_count(opened.count(), credit.sparkSession, chunk_rows)
+    goods = _Layout(materialize(_lay_out(opened, STOCK, chunks), "credits"), STOCK, STOCK, chunks)
+    try:
+        while goods.unsettled:
+            goods.walk(None)
+        met = F.col("stock_met")
+        decided = materialize(goods.outcome(None).select(
+            F.col("product_id").alias("inventory_id"), "request_id", met.alias("qty_before"),
+            F.when(F.col("stock_ok"), met - F.col("qty")).otherwise(met).alias("qty_after"),
+            F.when(F.col("stock_ok"), EXECUTED).otherwise(BACK_ORDER).alias("result")), "credited")
+    finally:
+        goods.drop()
+    return decided
+
+
 def executed_movement(decided: DataFrame, key: str, amount: str) -> DataFrame:
     """Signed movement per key: what a CREDIT takes and a DEBIT gives back.
 

@@ -624,6 +624,12 @@ def _(t):
         kept.select(F.lit("person").alias("entity"), "*"))
 
 
+def _large_credits(t: DriverTables) -> DataFrame:
+    credits = t.request().where(F.col("operation") == S.CREDIT).select(
+        "product_id", "request_id", (F.col("qty") * 8).alias("credit_qty"))
+    return credits.join(t.inventory().select("product_id", "inventory_id"), "product_id").drop("product_id")
+
+
 @query("conditional_credit", """
 SELECT inventory_id, request_id, qty AS qty_before,
        CASE WHEN turn AND qty >= credit THEN qty - credit ELSE qty END AS qty_after,
@@ -633,10 +639,27 @@ FROM (SELECT inventory_id, i.qty, r.qty * 8 AS credit, request_id,
       FROM inventory i JOIN request r USING (product_id) WHERE operation = 10)""")
 def _(t):
     """All credits of each product, eight times as large so that some stocks fall short."""
-    credits = t.request().where(F.col("operation") == S.CREDIT).select(
-        "product_id", "request_id", (F.col("qty") * 8).alias("credit_qty"))
-    keyed = credits.join(t.inventory().select("product_id", "inventory_id"), "product_id").drop("product_id")
-    return mutate.conditional_credit(t.inventory(), keyed)
+    return mutate.conditional_credit(t.inventory(), _large_credits(t))
+
+
+@query("conditional_credits", """
+SELECT inventory_id, request_id, met AS qty_before, CASE WHEN met >= credit THEN met - credit ELSE met END AS qty_after,
+       CASE WHEN met >= credit THEN 30 ELSE 20 END AS result
+FROM (
+  WITH RECURSIVE turns AS (
+    SELECT inventory_id, i.qty, r.qty * 8 AS credit, request_id,
+           row_number() OVER (PARTITION BY inventory_id ORDER BY request_id) AS n
+    FROM inventory i JOIN request r USING (product_id) WHERE operation = 10
+  ), steps AS (
+    SELECT inventory_id, request_id, credit, n, qty AS met FROM turns WHERE n = 1
+    UNION ALL
+    SELECT u.inventory_id, u.request_id, u.credit, u.n, CASE WHEN s.met >= s.credit THEN s.met - s.credit ELSE s.met END
+    FROM steps s JOIN turns u ON u.inventory_id = s.inventory_id AND u.n = s.n + 1
+  )
+  SELECT * FROM steps)""")
+def _(t):
+    """The same credits, every one of them answered in request order."""
+    return allocate.credit_in_order(t.inventory(), _large_credits(t))
 
 
 @query("optimistic_update", """

@@ -51,6 +51,29 @@ def test_two_credits_do_not_oversell(spark):
     assert got == {10: (1, 30), 11: (5, 10)}
 
 
+def test_every_credit_of_a_row_is_answered(spark):
+    """Several credits of one row, a hot row cut into many chunks, against the plain serial fold."""
+    import random
+
+    from orderweave.operators import allocate
+
+    rng = random.Random(5)
+    stock = {1: 900, 2: 40, 3: 0, 4: 7}
+    credits = [(1 if rng.random() < 0.7 else rng.randint(2, 5), n, rng.randint(1, 9)) for n in rng.sample(range(9000), 400)]
+    left, want = dict(stock), {}
+    for key, n, qty in sorted(credits, key=lambda c: c[1]):
+        if key in left:
+            ok = left[key] >= qty
+            want[n] = (key, left[key], left[key] - qty * ok, 30 if ok else 20)
+            left[key] -= qty * ok
+    inventory = spark.createDataFrame([(k, k, q) for k, q in stock.items()], "inventory_id long, product_id long, qty long")
+    credit = spark.createDataFrame(credits, "inventory_id long, request_id long, credit_qty long")
+    got = allocate.credit_in_order(inventory, credit, chunk_rows=20).collect()
+    assert len(got) == len(want)
+    assert {r["request_id"]: (r["inventory_id"], r["qty_before"], r["qty_after"], r["result"]) for r in got} == want
+    assert {30, 20} == {r["result"] for r in got if r["inventory_id"] == 1}
+
+
 def test_one_of_two_changes_is_applied(spark):
     table = spark.createDataFrame([(1, 7, 3), (2, 8, 1)], "id long, v long, version long")
     changes = spark.createDataFrame([(1, 3, 100, 2), (1, 3, 200, 1), (1, 2, 5, 0), (2, 9, 1, 1), (3, 0, 1, 1)],
