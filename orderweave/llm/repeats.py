@@ -156,7 +156,7 @@ class Windows:
         self.size += n
 
     def ordered(self, rank: np.ndarray):
-        """Values in suffix order, equal ones by document rank and place; which are first and which last of them."""
+        """Values in the order of their window hashes, equal ones by document rank and place; which are first and which last of them."""
         values, doc, place, twice = (np.concatenate(x) for x in zip(*self.parts))
         order = np.lexsort((place, rank[doc], values))
         values, doc, place, twice = values[order], doc[order], place[order], twice[order]
