@@ -789,8 +789,8 @@ def _(t):
     """Two batches are written, one is committed: readers see that one only."""
     store = SnapshotStore(t.spark, scratch(t.spark, "visible"))
     flows.publish_requests(store, t.request().where(F.col("result") == S.PENDING), PARTITIONS, "batch-1")
-    store.stage_part("records", records.outgoing(
-        filters.eligible_requests(t.request()).where(F.col("result") == S.BACK_ORDER), PARTITIONS, "batch-2"))
+    store.stage_part("records", flows.publication(
+        t.request().where(F.col("result") == S.BACK_ORDER), PARTITIONS, "batch-2"))
     return messages.with_request(store.load_log("records").drop("request_id")).select("batch_id", "msg_key", *FIELDS)
 
 

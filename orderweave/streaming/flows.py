@@ -81,16 +81,20 @@ def dedup_stream(requests: DataFrame, processed: DataFrame) -> DataFrame:
     return requests.dropDuplicates(["request_id"]).join(processed.select("request_id"), "request_id", "left_anti")
 
 
+def publication(request: DataFrame, partitions: int, batch_id: str, replay_id: str | None = None,
+                keyed: bool = True) -> DataFrame:
+    """The records one publication adds to the log."""
+    return outgoing(eligible_requests(request), partitions, batch_id, replay_id, keyed).select(
+        "request_id", "msg_key", "msg_value", "partition_id", "headers", F.lit(batch_id).alias("batch_id"))
+
+
 def publish_requests(store: SnapshotStore, request: DataFrame, partitions: int, batch_id: str,
                      replay_id: str | None = None, keyed: bool = True) -> int:
     """Publish all eligible requests or none: readers of the log see the batch once its commit record exists.
 
     Returns the number published, read from the written batch.
     """
-    records = outgoing(eligible_requests(request), partitions, batch_id, replay_id, keyed).select(
-        "request_id", "msg_key", "msg_value", "partition_id", "headers", F.lit(batch_id).alias("batch_id")
-    )
-    store.commit(f"publish/{batch_id}", added={"records": records})
+    store.commit(f"publish/{batch_id}", added={"records": publication(request, partitions, batch_id, replay_id, keyed)})
     return store.added_by(f"publish/{batch_id}", "records").count()
 
 

@@ -21,6 +21,11 @@ from orderweave.streaming.flows import run_batches
 CONTROL = "run_id string, batch_id long, topic string, partition_id int, n long, n_failed long, max_offset long"
 DELIVERED = "run_id string, request_id long, n long"
 OUTCOME_IDS = "request_id long, run_id string, result int"
+#: What the dead-letter log keeps of a record, whatever else the source delivers; what a source lacks is null.
+DEAD_LETTER = {
+    "topic": "string", "partition_id": "int", "offset_id": "long", "msg_key": "string", "msg_value": "string",
+    "headers": "array<struct<key:string,value:binary>>", "record_id": "string", "error": "string", "target_topic": "string",
+}
 STATE = "run_id string, version long, run_state int, message string"
 
 
@@ -30,10 +35,17 @@ def open_store(store: SnapshotStore, inventory: DataFrame, person: DataFrame) ->
     return store
 
 
-def _done(store: SnapshotStore, run_id: str) -> DataFrame:
-    """Requests with any outcome in this run or a final one in an earlier run."""
+def _done(store: SnapshotStore, run_id: str, asked: DataFrame) -> DataFrame:
+    """Of the ids in ``asked``: those with any outcome in this run or a final one in an earlier run.
+
+    Only ids, run and result of the history are read, and they are met with ``asked`` first: where that is small, as in a
+    micro-batch, Spark sends it to the history and shuffles nothing of the latter.
+    """
     outcomes = store.load_log("outcome", lambda: store.spark.createDataFrame([], OUTCOME_IDS))
-    return outcomes.where((F.col("run_id") == run_id) | (F.col("result") != BACK_ORDER)).select("request_id")
+    return (
+        outcomes.where((F.col("run_id") == run_id) | (F.col("result") != BACK_ORDER)).select("request_id")
+        .join(asked.select("request_id"), "request_id", "left_semi").distinct()
+    )
 
 
 def _note_state(store: SnapshotStore, run_id: str, key: str, state: str, message: str | None = None) -> None:
@@ -43,7 +55,7 @@ def _note_state(store: SnapshotStore, run_id: str, key: str, state: str, message
 
 def run_state(store: SnapshotStore, run_id: str) -> DataFrame:
     """The last recorded state of a run, with the message of a failure."""
-    states = store.load_log("run_state", lambda: store.spark.createDataFrame([], STATE))
+    states = store.load_log("run_state", lambda: store.spark.createDataFrame([], STATE), run_id=run_id)
     return compact_latest(states.where(F.col("run_id") == run_id), "run_id", "version")
 
 
@@ -51,9 +63,9 @@ def _report(store: SnapshotStore, run_id: str, published: DataFrame | None) -> D
     """Published, processed and failed records, each counted at a place of its own: the publication (or what the stream
     delivered), the deliveries whose request has an outcome, and the dead letters."""
     spark, of_run, none = store.spark, F.col("run_id") == run_id, F.lit(0).cast("long")
-    control = store.load_log("control", lambda: spark.createDataFrame([], CONTROL)).where(of_run)
-    delivered = store.load_log("delivered", lambda: spark.createDataFrame([], DELIVERED)).where(of_run)
-    handled = delivered.join(_done(store, run_id), "request_id", "left_semi")
+    control = store.load_log("control", lambda: spark.createDataFrame([], CONTROL), run_id=run_id).where(of_run)
+    delivered = store.load_log("delivered", lambda: spark.createDataFrame([], DELIVERED), run_id=run_id).where(of_run)
+    handled = delivered.join(_done(store, run_id, delivered), "request_id", "left_semi")
     sent = control.select("n") if published is None else published.agg(F.count("*").alias("n"))
     marks = (
         sent.select(F.col("n").alias("sent"), none.alias("ok"), none.alias("bad"))
@@ -77,7 +89,8 @@ def handle_batch(store: SnapshotStore, batch: DataFrame, run_id: str, batch_id:
     # A micro-batch comes with a session that does not adapt its plans; the work goes on in the store's own.
     spark = store.spark
     split = materialize(dead_letter_split(batch, rules), "split", reader=spark)
-    dead = split.where(F.col("error").isNotNull())
+    dead = split.where(F.col("error").isNotNull()).select(*[
+        (F.col(c) if c in split.columns else F.lit(None)).cast(kind).alias(c) for c, kind in DEAD_LETTER.items()])
     control = split.groupBy("topic", "partition_id").agg(
         F.count("*").alias("n"), F.count("error").alias("n_failed"), F.max("offset_id").alias("max_offset")
     ).select(F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("long").alias("batch_id"), "*")
@@ -85,8 +98,8 @@ def handle_batch(store: SnapshotStore, batch: DataFrame, run_id: str, batch_id:
     columns = REQUEST.fieldNames()
     sound = split.where(F.col("error").isNull())
     delivered = sound.groupBy("request_id").agg(F.count("*").alias("n")).select(F.lit(run_id).alias("run_id"), "*")
-    first = dedup_requests(sound, order=("partition_id", "offset_id"))
-    fresh = materialize(unprocessed(first, _done(store, run_id)).select(*columns), "fresh")
+    first = materialize(dedup_requests(sound, order=("partition_id", "offset_id")).select(*columns), "first")
+    fresh = materialize(unprocessed(first, _done(store, run_id, first)), "fresh")
     inventory, person = store.load("inventory"), store.load("person")
     decided = allocate_requests(fresh, inventory, product, person, chunk_rows)
     return store.commit(
@@ -124,4 +137,4 @@ def process_run(store: SnapshotStore, records: DataFrame, run_id: str, product:
                           F.col("run_state").cast("int").alias("run_state"), F.lit(None).cast("string").alias("message"))
     store.commit(f"{run_id}/closed", added={
         "run_log": report.select(F.lit(run_id).alias("run_id"), "*"), "run_state": final})
-    return store.load_log("run_log").where(F.col("run_id") == run_id).drop("run_id")
+    return store.load_log("run_log", run_id=run_id).where(F.col("run_id") == run_id).drop("run_id")

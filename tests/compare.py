@@ -7,6 +7,8 @@ import decimal
 
 import duckdb
 
+#: The smallest of the given tables.
+FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
 

@@ -11,7 +11,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-TABLES = "/root/testdata/sf0.001"
+from compare import FOLDER  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,4 +30,4 @@ def spark():
 def tables(spark):
     from orderweave.sources.driver_tables import DriverTables
 
-    return DriverTables(spark, TABLES)
+    return DriverTables(spark, FOLDER)

@@ -12,7 +12,7 @@ from orderweave.operators import corroborate, counts, filters, lag, mutate, reco
 from orderweave.operators.ordering import ordered_index
 from orderweave.session import materialize, scratch
 from orderweave.sources import generate, reports
-from orderweave.sources.snapshots import SnapshotStore
+from orderweave.sources.snapshots import LogSchemaError, SnapshotStore
 from orderweave.sources.topics import TopicSpec, kafka_rows, replay_options, sink_options, source_options
 
 
@@ -257,3 +257,35 @@ def test_delete_all_is_refused_with_children(spark, tables):
     assert left.count() == 150 and report.first().status == "refused"
     left, report = mutate.delete_all(tables.request(), "request_id", [])
     assert left.count() == 0 and left.schema == tables.request().schema and report.first().rows_after == 0
+
+
+def test_parts_without_a_commit_concern_no_reader(spark):
+    """Other columns, other types and a broken file lie in the log's folder; readers see the committed part's columns."""
+    for _ in range(6):  # folder names are random, so their order is too
+        store = SnapshotStore(spark, scratch(spark, "visible"))
+        store.stage_part("log", spark.range(3).select(F.lit("x").alias("other")))
+        store.stage_part("log", spark.range(3).select(F.col("id").cast("string").alias("a"), F.lit(2).alias("b")))
+        spark.range(1).select(F.lit("no parquet").alias("value")).write.text(f"{store.root}/logs/log/broken.parquet")
+        assert store.commit("a", added={"log": spark.range(2).select(F.col("id").alias("a"), F.lit(1).alias("b"))})
+        store.stage_part("log", spark.range(9).select(F.lit(1).alias("c")))
+        log = store.load_log("log")
+        assert log.columns == ["a", "b"] and sorted(map(tuple, log.collect())) == [(0, 1), (1, 1)]
+
+
+def test_a_part_of_another_schema_is_refused(spark):
+    store, one = SnapshotStore(spark, scratch(spark, "schema")), spark.range(1)
+    store.commit("r/1", {"x": one}, {"log": one})
+    for other in (one.withColumn("more", F.lit(1)), one.select(F.col("id").cast("int"))):
+        with pytest.raises(LogSchemaError):
+            store.commit("r/2", {"x": spark.range(5)}, {"log": other})
+    with pytest.raises(LogSchemaError):
+        store.publish(2, "r/2", {}, {"unheard": store.stage_part("unheard", one)})
+    assert store.version() == 1 and store.load("x").count() == 1
+    assert store.commit("s/1", added={"log": spark.range(7).where("id > 4")}) and store.load_log("log").count() == 3
+    assert store.load_log("log", since=1).count() == 2 and store.load_log("log", until=1).count() == 1
+    assert store.load_log("log", run_id="r").count() == 1 and store.load_log("log", run_id="q").columns == ["id"]
+    assert store.load("x", version=1).count() == 1
+    with pytest.raises(KeyError):
+        store.load_log("nothing")
+    with pytest.raises(KeyError):
+        store.load("x", version=9)
