@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderweave.llm import decontaminate, hnsw, licenses, pieces, pii, repeats, sharding, simhash, tokenstore, toxicity
+from orderweave.llm import (
+    decontaminate, hnsw, licenses, pieces, pii, repeats, sharding, simhash, tokenstore, topk, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,10 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(_table(spark, sf_dir, "documents"), REPEAT_BYTES, keep="none")
 
 
+def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": toxicity_scores,
     "op2_sentencepiece": sentencepiece,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": decontamination,
     "op9_token_store": token_store,
     "op10_suffix_dedup": suffix_dedup,
+    "op13_topk_search": topk_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -107,4 +113,16 @@ WITH w AS (
 )
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
 FROM c JOIN n USING (item_id) WHERE n_shared >= ceil(n_item * 0.8 - 1e-9)""",
+    "op13_topk_search": """
+WITH w AS (
+  SELECT row_number() OVER () AS row, vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), p AS (
+  SELECT q.row AS query, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM w q JOIN w c ON q.row <> c.row WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
 }
