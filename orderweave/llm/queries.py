@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderweave.llm import (
-    decontaminate, hnsw, licenses, pieces, pii, repeats, sharding, simhash, tokenstore, topk, toxicity)
+    crosstok, decontaminate, hnsw, licenses, pieces, pii, repeats, sharding, simhash, tokenstore, topk, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 SHARDS = 16
@@ -76,6 +77,10 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(_table(spark, sf_dir, "documents"), REPEAT_BYTES, keep="none")
 
 
+def cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align_documents(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
+
+
 def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": decontamination,
     "op9_token_store": token_store,
     "op10_suffix_dedup": suffix_dedup,
+    "op11_cross_tokenizer": cross_tokenizer,
     "op13_topk_search": topk_search,
 }
 

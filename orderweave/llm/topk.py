@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -102,7 +103,7 @@ def _match(k: int, together: int):
         if not len(queries) or not len(rows):
             return out_schema.empty_table()
         # ids in order, rows without one behind: equal scores then go by place
-        rows = rows.take(pa.compute.sort_indices(rows, [("vec_id", "ascending"), ("row", "ascending")]))
+        rows = rows.take(pc.sort_indices(rows, [("vec_id", "ascending"), ("row", "ascending")]))
         lengths, values = _sparse(rows.column("weights"))
         asked, wanted = _sparse(queries.column("weights"))
         bound = _largest(values) * _largest(wanted) * max(1, min(int(lengths.max()), int(asked.max())))
