@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderweave.llm import (
-    crosstok, decontaminate, hnsw, licenses, pieces, pii, repeats, sharding, simhash, tokenstore, topk, toxicity)
+    crosstok, decontaminate, hnsw, licenses, phrases, pieces, pii, repeats, sharding, simhash, tokenstore, topk,
+    toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +82,10 @@ def cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosstok.align_documents(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
 
 
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(_table(spark, sf_dir, "documents"))
+
+
 def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_store": token_store,
     "op10_suffix_dedup": suffix_dedup,
     "op11_cross_tokenizer": cross_tokenizer,
+    "op12_collocations": collocations,
     "op13_topk_search": topk_search,
 }
 
@@ -119,6 +125,38 @@ WITH w AS (
 )
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
 FROM c JOIN n USING (item_id) WHERE n_shared >= ceil(n_item * 0.8 - 1e-9)""",
+    "op12_collocations": """
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), s AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w
+), g AS (
+  SELECT lang, w[i:i + m - 1] AS g, count(*) AS a FROM s, range(1, 6) AS sizes(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+), n AS (
+  SELECT lang, sum(a) AS n FROM g WHERE len(g) = 1 GROUP BY lang
+), c AS (
+  SELECT lang, g, a FROM g WHERE len(g) > 1 AND a >= 100
+), around AS (
+  SELECT DISTINCT c.lang, c.g FROM c JOIN c b ON c.lang = b.lang AND c.a <= b.a
+    AND (b.g[1:-2] = c.g OR b.g[2:] = c.g)
+), cuts AS (
+  SELECT c.lang, c.g, c.a, n.n, k, l.a AS l, r.a AS r,
+         CAST((1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM c JOIN n USING (lang), range(1, 5) AS ks(k), g l, g r
+  WHERE k < len(c.g) AND l.lang = c.lang AND r.lang = c.lang AND l.g = c.g[1:k] AND r.g = c.g[k + 1:]
+), least AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, n, min(struct_pack(score := score, k := k, l := l, r := r)) AS cut
+  FROM cuts ANTI JOIN around USING (lang, g) GROUP BY lang, g, a, n
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, encode(phrase)) AS rank FROM least
+)
+SELECT lang, rank, phrase, a, cut.l AS l, cut.r AS r, CAST(n AS BIGINT) AS n, cut.score AS score
+FROM ranked WHERE rank <= 2000""",
     "op13_topk_search": """
 WITH w AS (
   SELECT row_number() OVER () AS row, vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS w
