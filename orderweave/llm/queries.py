@@ -133,25 +133,33 @@ WITH d AS (
   SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
 ), w AS (
   SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
-), s AS (
-  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w
 ), g AS (
-  SELECT lang, w[i:i + m - 1] AS g, count(*) AS a FROM s, range(1, 6) AS sizes(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+  SELECT lang, m, g, count(*) AS a
+  FROM (SELECT lang, m, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, len(w) - m + 2)]) AS g
+        FROM w, range(1, 6) AS sizes(m))
+  GROUP BY lang, m, g
 ), n AS (
-  SELECT lang, sum(a) AS n FROM g WHERE len(g) = 1 GROUP BY lang
+  SELECT lang, sum(a) AS n FROM g WHERE m = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM g WHERE a >= 100
 ), c AS (
-  SELECT lang, g, a FROM g WHERE len(g) > 1 AND a >= 100
+  SELECT lang, m, g, string_split(g, ' ') AS w, a FROM often WHERE m > 1
 ), around AS (
-  SELECT DISTINCT c.lang, c.g FROM c JOIN c b ON c.lang = b.lang AND c.a <= b.a
-    AND (b.g[1:-2] = c.g OR b.g[2:] = c.g)
+  SELECT lang, g, max(a) AS around
+  FROM (SELECT lang, unnest([array_to_string(w[1:m - 1], ' '), array_to_string(w[2:], ' ')]) AS g, a FROM c WHERE m > 2)
+  GROUP BY lang, g
+), kept AS (
+  SELECT c.* FROM c LEFT JOIN around USING (lang, g) WHERE around IS NULL OR 100 * around < 100 * c.a
+), parts AS (
+  SELECT lang, g, a, k, array_to_string(w[1:k], ' ') AS lg, array_to_string(w[k + 1:], ' ') AS rg
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)
 ), cuts AS (
-  SELECT c.lang, c.g, c.a, n.n, k, l.a AS l, r.a AS r,
-         CAST((1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
-  FROM c JOIN n USING (lang), range(1, 5) AS ks(k), g l, g r
-  WHERE k < len(c.g) AND l.lang = c.lang AND r.lang = c.lang AND l.g = c.g[1:k] AND r.g = c.g[k + 1:]
+  SELECT p.lang, p.g, p.a, n.n, k, l.a AS l, r.a AS r, CAST((1000::HUGEINT * p.a * n.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM parts p JOIN n ON n.lang = p.lang
+  JOIN often l ON l.lang = p.lang AND l.g = p.lg JOIN often r ON r.lang = p.lang AND r.g = p.rg
 ), least AS (
-  SELECT lang, array_to_string(g, ' ') AS phrase, a, n, min(struct_pack(score := score, k := k, l := l, r := r)) AS cut
-  FROM cuts ANTI JOIN around USING (lang, g) GROUP BY lang, g, a, n
+  SELECT lang, g AS phrase, a, n, min(struct_pack(score := score, k := k, l := l, r := r)) AS cut
+  FROM cuts GROUP BY lang, g, a, n
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, encode(phrase)) AS rank FROM least
 )

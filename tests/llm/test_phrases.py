@@ -54,8 +54,8 @@ def some_rows():
     return rows + [("en", None), ("en", ""), ("fr", "..."), ("fr", None), (None, " one ")] + [("de", t) for _, t in texts()]
 
 
-@pytest.mark.parametrize("sizes", [phrases.Sizes(), phrases.Sizes(500, 40), phrases.Sizes(2000, 100)])
-@pytest.mark.parametrize("longest,percent", [(5, 100), (3, 60), (2, 100)])
+@pytest.mark.parametrize("sizes,longest,percent", [
+    (phrases.Sizes(), 5, 100), (phrases.Sizes(500, 40), 5, 100), (phrases.Sizes(2000, 100), 3, 60), (phrases.Sizes(500, 40), 2, 100)])
 def test_same_as_plain_counting(spark, sizes, longest, percent):
     rows = some_rows()
     docs = spark.createDataFrame(
