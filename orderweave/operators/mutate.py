@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,48 @@ def apply_movement(table: DataFrame, key: str, column: str, movement: DataFrame)
     return _shift(table, key, column, movement, 1)
 
 
+class Change(NamedTuple):
+    """``snapshot``: the table afterwards. ``judged``: every row or id asked for, with its ``status``, written down."""
+
+    snapshot: DataFrame
+    judged: DataFrame
+
+    def affected(self) -> DataFrame:
+        """status and n: how many rows or ids met which fate."""
+        return self.judged.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def first_come(rows: DataFrame, seq: str, groups: Sequence[Sequence[str]]) -> DataFrame:
+    """``seq`` of the rows a row-by-row insert in ``seq`` order takes, where rows may not share the values of any group.
+
+    A row is taken if no row taken earlier shares its values in some group; a null in a group shares with nothing. In a
+    round, rows that are first of all undecided ones in each of their groups are taken, and rows that share a value with
+    one of these are refused; what is left waits for the next round. The earliest undecided row is always taken, so it
+    ends; there are as many rounds as the longest chain of rows that each wait for the one before, mostly one or two.
+    Values are joined as one row each, written down, so a value that very many rows have stays split over tasks.
+    """
+    columns = list(dict.fromkeys(c for g in groups for c in g))
+    left = materialize(rows.select(seq, *columns), "undecided")
+    taken = left.limit(0).select(seq)
+    while not left.isEmpty():
+        firsts, judged, wins = [], left, F.lit(True)
+        for n, group in enumerate(groups):
+            firsts.append(materialize(
+                left.dropna(subset=list(group)).groupBy(*group).agg(F.min(seq).alias(f"__first{n}")), "first-values"))
+            judged = judged.join(firsts[n], list(group), "left")
+            wins &= F.col(f"__first{n}").isNull() | (F.col(f"__first{n}") == F.col(seq))
+        judged = materialize(judged.select(seq, *columns, wins.alias("__wins")), "judged")
+        winners = judged.where("__wins").select(seq)
+        rest, free = judged.where("NOT __wins"), F.lit(True)
+        for n, group in enumerate(groups):
+            gone = firsts[n].join(winners, F.col(f"__first{n}") == F.col(seq), "left_semi")
+            rest = rest.join(materialize(gone.withColumn(f"__gone{n}", F.lit(True)), "gone").drop(f"__first{n}"), list(group), "left")
+            free &= F.col(f"__gone{n}").isNull()
+        left = materialize(rest.where(free).select(seq, *columns), "undecided")
+        taken = taken.unionByName(winners)
+    return taken
+
+
 def insert_with_constraints(
     new: DataFrame,
     existing: DataFrame,
@@ -76,12 +119,13 @@ def insert_with_constraints(
 ) -> DataFrame:
     """Each new row with ``status``: accepted, or the constraint that refuses it.
 
-    Rows are taken in ``seq`` order, so the first valid row of a key wins and later ones are duplicates.
-    ``parents`` maps a foreign-key column to the table that owns it (unique on the column of the same name).
-    Winners are joined back on (key, seq), so a key repeated any number of times stays spread over tasks.
+    The answer is that of inserting row by row in ``seq`` order, a number that tells the new rows apart: a refused row
+    stands in nobody's way. ``parents`` maps a foreign-key column to the table that owns it (unique on the column of the
+    same name). Winners are joined back on (key, seq), so a key repeated any number of times stays spread over tasks.
     ``unique`` lists further sets of columns that may occur once, in the table and among the new rows; a row with a
-    null in such a set meets no other. Of new rows with equal values, the first one that no stored row refuses wins.
+    null in such a set meets no other. A null key is refused.
     """
+    not_null = list(dict.fromkeys([key, *not_null]))
     checked = new
     missing: list[tuple[str, Column]] = []
     for column, parent in parents.items():
@@ -107,37 +151,56 @@ def insert_with_constraints(
     # Used twice below: written once, so that the joins run once.
     checked = materialize(checked.select(*new.columns, reason.alias("__reason")), "checked")
 
-    first = (
-        checked.where(F.col("__reason").isNull()).groupBy(key).agg(F.min(seq).alias(seq))
-        .withColumn("__first", F.lit(True))
-    )
-    judged, wins = checked.join(first, [key, seq], "left"), F.coalesce("__first", F.lit(False))
-    for n, columns in enumerate(unique):
-        own = (
-            checked.where(F.col("__reason").isNull()).dropna(subset=list(columns)).groupBy(*columns)
-            .agg(F.min(seq).alias(seq)).withColumn(f"__own{n}", F.lit(True))
-        )
-        judged = judged.join(materialize(own, "first-values"), [*columns, seq], "left")
-        no_value = F.lit(False)
-        for column in columns:
-            no_value = no_value | F.col(column).isNull()
-        wins = wins & (F.coalesce(f"__own{n}", F.lit(False)) | no_value)
+    valid = checked.where(F.col("__reason").isNull())
+    if unique:
+        first = materialize(first_come(valid, seq, [[key], *unique]), "taken").withColumn("__first", F.lit(True))
+        judged = checked.join(first, seq, "left")
+    else:
+        first = valid.groupBy(key).agg(F.min(seq).alias(seq)).withColumn("__first", F.lit(True))
+        judged = checked.join(first, [key, seq], "left")
+    wins = F.coalesce("__first", F.lit(False))
     status = F.coalesce("__reason", F.when(wins, "accepted").otherwise("duplicate_in_batch"))
     return judged.select(*new.columns, status.alias("status"))
 
 
-def update_by_id(table: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
+def insert_rows(table: DataFrame, new: DataFrame, key: str, seq: str, not_null: list[str],
+                parents: Mapping[str, DataFrame], unique: Sequence[Sequence[str]] = ()) -> Change:
+    """The table with the rows that `insert_with_constraints` accepts; columns a new row lacks are null."""
+    judged = materialize(insert_with_constraints(new, table, key, seq, not_null, parents, unique), "inserted")
+    fields = [(F.col(f.name) if f.name in new.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema]
+    return Change(table.unionByName(judged.where("status = 'accepted'").select(*fields)), judged)
+
+
+def update_by_id(table: DataFrame, changes: DataFrame, key: str, order: str | None = None,
+                 unique: Sequence[Sequence[str]] = ()) -> DataFrame:
     """Next snapshot with ``status``: unchanged, updated, or not_found for a change without a row.
 
     Changes are unique on the key; where they may not be, ``order`` names the column by which the last one wins.
+    ``unique`` lists sets of columns that may occur once (a null meets no other). A change is refused as ``duplicate_...``,
+    and its row stays, if another stored row has its values, even one that changes too; of changes with equal values, the
+    one with the smallest key that is not refused otherwise is made and the others are ``duplicate_in_batch``.
     """
     if order is not None:
         row = F.struct(*table.columns)
         changes = changes.groupBy(key).agg(F.max_by(row, order).alias("__row")).select("__row.*")
+    refusal = F.lit(None).cast("string")
+    if unique:
+        changes = changes.select(*table.columns)
+        for n, columns in enumerate(unique):
+            stored = table.select(*columns, F.col(key).alias(f"__holder{n}"))
+            changes = changes.join(stored, list(columns), "left")
+            refusal = F.coalesce(refusal, F.when(F.col(f"__holder{n}") != F.col(key), "duplicate_" + "_".join(columns)))
+        known = changes.join(table.select(key), key, "left_semi")
+        changes = materialize(changes.select(*table.columns, refusal.alias("__refusal")), "changes")
+        valid = changes.where("__refusal IS NULL").join(known.select(key), key, "left_semi")
+        made = materialize(first_come(valid, key, unique), "made").withColumn("__made", F.lit(True))
+        changes = changes.join(made, key, "left")
+        refusal = F.coalesce(F.col("new.__refusal"), F.when(F.col("new.__made").isNull(), "duplicate_in_batch"))
     old, new = table.alias("old"), changes.alias("new")
-    hit = F.col(f"new.{key}").isNotNull()
     known = F.col(f"old.{key}").isNotNull()
-    status = F.when(~known, "not_found").when(hit, "updated").otherwise("unchanged")
+    asked = F.col(f"new.{key}").isNotNull()
+    hit = asked & (refusal.isNull() | ~known)
+    status = F.when(~known, "not_found").when(hit, "updated").when(asked, refusal).otherwise("unchanged")
     fields = [
         F.when(hit, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in table.columns
     ]
@@ -161,6 +224,12 @@ def delete_restrict(table: DataFrame, ids: DataFrame, key: str, children: list[D
     return asked.select(key, status.alias("status"))
 
 
+def delete_rows(table: DataFrame, ids: DataFrame, key: str, children: list[DataFrame]) -> Change:
+    """The table without the ids that `delete_restrict` lets go."""
+    judged = materialize(delete_restrict(table, ids, key, children), "deleted")
+    return Change(table.join(judged.where("status = 'deleted'").select(key), key, "left_anti").select(*table.columns), judged)
+
+
 def delete_all(table: DataFrame, key: str, children: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(empty snapshot, or the table unchanged when any child row points to it; one-row report)."""
     refused = any(not child.where(F.col(key).isNotNull()).isEmpty() for child in children)

@@ -566,16 +566,75 @@ FROM (SELECT n.*, CASE WHEN n.qty IS NULL THEN 'null_qty'
       FROM {_NEW_REQUESTS} n)""")
 def _(t):
     """New requests made from all parts: some keys exist, some repeat, some parents and quantities are missing."""
+    return mutate.insert_with_constraints(
+        _new_requests(t), t.request(), "request_id", "seq", ["qty"], {"person_id": t.person(), "product_id": t.product()})
+
+
+def _new_requests(t: DriverTables) -> DataFrame:
     part = F.col("p_partkey")
     copies = F.when(part % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    new = t.raw("part").withColumn("n", F.explode(copies)).select(
+    return t.raw("part").withColumn("n", F.explode(copies)).select(
         (part * 2 + F.col("n")).alias("seq"),
         F.when(part % 13 == 0, part).otherwise(part + 10_000_000).alias("request_id"),
         F.when(part % 11 == 0, part + 50_000_000).otherwise(part % 10).alias("person_id"),
         F.when(part % 10 == 0, part + 1_000_000).otherwise(part).alias("product_id"),
         F.when(part % 17 != 0, F.col("p_size")).alias("qty"))
-    return mutate.insert_with_constraints(
-        new, t.request(), "request_id", "seq", ["qty"], {"person_id": t.person(), "product_id": t.product()})
+
+
+@query("insert_snapshot", f"""
+SELECT * FROM (
+WITH a AS (
+  SELECT request_id, person_id, product_id, qty,
+         row_number() OVER (PARTITION BY request_id ORDER BY seq) AS turn
+  FROM {_NEW_REQUESTS} n
+  WHERE qty IS NOT NULL AND person_id IN (SELECT person_id FROM person)
+    AND product_id IN (SELECT product_id FROM product) AND request_id NOT IN (SELECT request_id FROM request)
+)
+SELECT request_id, person_id, product_id, qty FROM request
+UNION ALL SELECT request_id, person_id, product_id, qty FROM a WHERE turn = 1)""")
+def _(t):
+    """The requests after that insert."""
+    return mutate.insert_rows(
+        t.request().select("request_id", "person_id", "product_id", "qty"), _new_requests(t), "request_id", "seq", ["qty"],
+        {"person_id": t.person(), "product_id": t.product()}).snapshot
+
+
+#: Two new products for each part: the first takes the next part's description as code, the second the same id again.
+_NEW_PRODUCTS = """(
+SELECT p_partkey * 2 + n AS seq, 10000000 + p_partkey + n * (p_partkey % 2) AS product_id,
+       CASE WHEN p_partkey % 4 = 0 THEN p_name || '#' || CAST(p_partkey AS VARCHAR)
+            ELSE 'new#' || CAST((p_partkey + n) // 3 AS VARCHAR) END AS code
+FROM part, (SELECT 0 AS n UNION ALL SELECT 1))"""
+
+
+@query("insert_unique", f"""
+SELECT * FROM (
+WITH RECURSIVE v AS (
+  SELECT seq, product_id, code, row_number() OVER (ORDER BY seq) AS turn
+  FROM {_NEW_PRODUCTS} n WHERE code NOT IN (SELECT code FROM product)
+), near AS (
+  SELECT a.turn, coalesce(bool_or(b.turn = a.turn - 1), false) AS c1, coalesce(bool_or(b.turn = a.turn - 2), false) AS c2,
+         coalesce(bool_or(b.turn = a.turn - 3), false) AS c3, coalesce(bool_or(b.turn = a.turn - 4), false) AS c4,
+         coalesce(bool_or(b.turn = a.turn - 5), false) AS c5
+  FROM v a LEFT JOIN v b ON b.turn < a.turn AND b.turn >= a.turn - 5 AND (b.code = a.code OR b.product_id = a.product_id)
+  GROUP BY a.turn
+), steps AS (
+  SELECT CAST(0 AS BIGINT) AS turn, false AS t, false AS t1, false AS t2, false AS t3, false AS t4
+  UNION ALL
+  SELECT n.turn, NOT (c1 AND s.t OR c2 AND s.t1 OR c3 AND s.t2 OR c4 AND s.t3 OR c5 AND s.t4), s.t, s.t1, s.t2, s.t3
+  FROM steps s JOIN near n ON n.turn = s.turn + 1
+)
+SELECT n.seq, n.product_id, n.code,
+       CASE WHEN v.seq IS NULL THEN 'duplicate_code' WHEN s.t THEN 'accepted' ELSE 'duplicate_in_batch' END AS status
+FROM {_NEW_PRODUCTS} n LEFT JOIN v USING (seq) LEFT JOIN steps s ON s.turn = v.turn)""")
+def _(t):
+    """New products with chained conflicts of ids and codes; equal ones are at most five valid rows apart."""
+    part, n = F.col("p_partkey"), F.col("n")
+    new = t.raw("part").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+        (part * 2 + n).alias("seq"), (10_000_000 + part + n * (part % 2)).alias("product_id"),
+        F.when(part % 4 == 0, F.concat("p_name", F.lit("#"), part.cast("string")))
+        .otherwise(F.concat(F.lit("new#"), F.floor((part + n) / 3).cast("string"))).alias("code"))
+    return mutate.insert_with_constraints(new, t.product(), "product_id", "seq", [], {}, unique=[["code"]])
 
 
 def _product_change(t: DriverTables) -> DataFrame:
@@ -612,6 +671,17 @@ def _(t):
     return mutate.delete_restrict(t.product(), ids, "product_id", [t.request(), t.inventory()])
 
 
+@query("delete_snapshot", """
+SELECT product_id, code FROM product p
+WHERE product_id NOT IN (SELECT p_partkey * 7 + CASE WHEN p_partkey % 2 = 0 THEN 0 ELSE 149 END FROM part)
+   OR product_id IN (SELECT product_id FROM request UNION SELECT product_id FROM inventory)""")
+def _(t):
+    """The products that are left after that."""
+    part = F.col("p_partkey")
+    ids = t.raw("part").select((part * 7 + F.when(part % 2 == 0, 0).otherwise(149)).alias("product_id"))
+    return mutate.delete_rows(t.product(), ids, "product_id", [t.request(), t.inventory()]).snapshot.select("product_id", "code")
+
+
 @query("delete_all", """
 SELECT 'request' AS entity, count(*) AS rows_before, 0 AS rows_after, 'deleted' AS status FROM request
 UNION ALL SELECT 'person', count(*), count(*), 'refused' FROM person""")
