@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderweave.functions.rules import Rule, violations
+from orderweave.operators.allocate import allocate_requests, next_inventory, next_person
 from orderweave.operators.counts import request_count
 from orderweave.operators.ordering import CELL_WIDTH, step_across, step_inside
 from orderweave.schemas import CREDIT, DEBIT, EXECUTED
@@ -35,6 +36,60 @@ def replay_and_diff(expected: DataFrame, stored: DataFrame, key: str, column: st
     return left.join(right, key, "full_outer").where(~F.col("expected").eqNullSafe(F.col("stored")))
 
 
+def replay_state(request: DataFrame, product: DataFrame, opening: tuple[DataFrame, DataFrame],
+                 stored: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """(resource, id, expected, stored) where stored stock or balance is not what the log gives from the opening versions.
+
+    ``opening`` and ``stored`` are versions of inventory and person, the log goes through the allocation once for both.
+    """
+    inventory, person = opening
+    decided = allocate_requests(request, inventory, product, person)
+    sides = [
+        ("stock", "product_id", "qty", next_inventory(inventory, decided), stored[0]),
+        ("balance", "person_id", "balance", next_person(person, decided), stored[1]),
+    ]
+    found = [
+        replay_and_diff(expected, kept, key, column).select(
+            F.lit(name).alias("resource"), F.col(key).alias("id"), F.col("expected").cast("decimal(20,2)").alias("expected"),
+            F.col("stored").cast("decimal(20,2)").alias("stored"))
+        for name, key, column, expected, kept in sides
+    ]
+    return found[0].unionByName(found[1])
+
+
+def totals_reconcile(decided: DataFrame, stock: tuple[DataFrame, DataFrame], money: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """One row for stock and one for balance: total before, total moved by executed requests, total after, and whether they agree.
+
+    ``stock`` and ``money`` are the versions of inventory and person before and after.
+    """
+    wide = "decimal(38,2)"
+    sign = F.when(F.col("operation") == CREDIT, -1).otherwise(1)
+    fresh = decided.where((F.col("result") == EXECUTED) & F.col("stock_before").isNotNull())
+    rows = []
+    for name, column, amount, (before, after) in (("stock", "qty", "qty", stock), ("balance", "balance", "cost", money)):
+        def total(df: DataFrame, value: Column) -> DataFrame:
+            return df.agg(F.coalesce(F.sum(value), F.lit(0)).cast(wide).alias("v"))
+
+        # three one-row tables; a join on a constant would do the same
+        rows.append(
+            total(before, F.col(column)).select(F.lit(name).alias("resource"), F.col("v").alias("opening"))
+            .join(total(fresh, sign * F.col(amount)).select(F.lit(name).alias("resource"), F.col("v").alias("moved")), "resource")
+            .join(total(after, F.col(column)).select(F.lit(name).alias("resource"), F.col("v").alias("closing")), "resource"))
+    both = rows[0].unionByName(rows[1])
+    return both.withColumn("reconciled", F.col("opening") + F.col("moved") == F.col("closing"))
+
+
+def shadow_results(primary: DataFrame, shadow: DataFrame) -> DataFrame:
+    """Requests on whose result or reason two processors of one log disagree; one that only one of them has shows up too."""
+    fields = ("result", "reason")
+    old = primary.select("request_id", F.lit(True).alias("__old"), *[F.col(c).alias(f"primary_{c}") for c in fields])
+    new = shadow.select("request_id", F.lit(True).alias("__new"), *[F.col(c).alias(f"shadow_{c}") for c in fields])
+    same = F.col("__old").eqNullSafe(F.col("__new"))
+    for c in fields:
+        same &= F.col(f"primary_{c}").eqNullSafe(F.col(f"shadow_{c}"))
+    return old.join(new, "request_id", "full_outer").where(~same).drop("__old", "__new")
+
+
 def count_reconcile(request: DataFrame) -> DataFrame:
     """Do the status counts add up to the number of rows, with nothing unknown?"""
     buckets = ["nbr_pending", "nbr_back_order", "nbr_executed", "nbr_error", "nbr_unknown"]

@@ -15,7 +15,7 @@ from orderweave.session import scratch, use_utc
 from orderweave.sources import generate, reports
 from orderweave.sources.driver_tables import PARTITIONS, DriverTables
 from orderweave.sources.snapshots import SnapshotStore
-from orderweave.streaming import flows, runs
+from orderweave.streaming import flows, runs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -847,6 +847,37 @@ def _(t):
     return flows.keyed_state_update(events.request().select("product_id", moved), "product_id", "moved")
 
 
+@query("keyed_read_change_write", """
+SELECT product_id, CAST(sum(moved) AS BIGINT) AS total, count(*) AS changes, min(moved) AS largest_take,
+       max(request_id) AS last_request
+FROM (SELECT r.*, CASE WHEN operation = 20 THEN qty ELSE -qty END AS moved FROM request r) GROUP BY product_id""")
+def _(t):
+    """Per product a state of four numbers, changed by a function, over several micro-batches of the request stream."""
+    path = scratch(t.spark, "read-change-write")
+    moved = t.request().select("product_id", "request_id", F.when(F.col("operation") == S.DEBIT, F.col("qty"))
+                               .otherwise(-F.col("qty")).cast("long").alias("moved"))
+    moved.repartition(8, "request_id").write.parquet(f"{path}/in")
+    stream = flows.file_stream(t.spark, f"{path}/in", moved.schema, 4)
+
+    def change(held, rows):
+        total, changes, take, last = held
+        return (total + int(rows["moved"].sum()), changes + len(rows), min(take, int(rows["moved"].min())),
+                max(last, int(rows["request_id"].max())))
+
+    return state.mutate_state(stream, "product_id", "total long, changes long, largest_take long, last_request long",
+                              lambda key: (0, 0, 1 << 62, -1), change, path)
+
+
+@query("dedup_stream_bounded", "SELECT DISTINCT request_id, topic, partition_id, offset_id FROM delivered")
+def _(t):
+    """All deliveries as a stream of several batches; the state forgets a request, the log of processed ones does not."""
+    store = SnapshotStore(t.spark, scratch(t.spark, "bounded"))
+    deliveries = t.delivery().select("request_id", "topic", "partition_id", "offset_id", "attempt")
+    deliveries.repartition(6, "attempt", "offset_id").write.parquet(f"{store.root}/in")
+    stream = flows.file_stream(t.spark, f"{store.root}/in", deliveries.schema, 3)
+    return state.dedup_bounded(store, stream.drop("attempt"), "dedup", "0 seconds")
+
+
 @query("stream_upper", "SELECT upper(event_type) AS value FROM events")
 def _(t):
     return flows.run_to_files(
@@ -968,6 +999,67 @@ def _(t):
         (stock, "inventory_id", [rules.num_min("qty", 0)]), (money, "person_id", [rules.num_min("balance", 0)])])
 
 
+@query("totals_reconcile", """
+SELECT 'stock' AS resource, CAST((SELECT sum(qty) FROM inventory) AS DECIMAL(38,2)) AS opening,
+       CAST(coalesce(sum(CASE WHEN operation = 10 THEN -qty ELSE qty END), 0) AS DECIMAL(38,2)) AS moved,
+       CAST((SELECT sum(qty) FROM inventory) + coalesce(sum(CASE WHEN operation = 10 THEN -qty ELSE qty END), 0) - 1 AS DECIMAL(38,2)) AS closing,
+       false AS reconciled
+FROM allocated WHERE result = 30 AND cost IS NOT NULL
+UNION ALL
+SELECT 'balance', CAST((SELECT sum(balance) FROM person) AS DECIMAL(38,2)),
+       CAST(coalesce(sum(CASE WHEN operation = 10 THEN -cost ELSE cost END), 0) AS DECIMAL(38,2)),
+       CAST((SELECT sum(balance) FROM person) + coalesce(sum(CASE WHEN operation = 10 THEN -cost ELSE cost END), 0) AS DECIMAL(38,2)), true
+FROM allocated WHERE result = 30 AND cost IS NOT NULL""")
+def _(t):
+    """Totals of stock and money before and after an allocation; one unit of stock is lost on purpose."""
+    request, inventory, product, person = _tables(t)
+    decided = allocate.allocate_requests(request, inventory, product, person)
+    stock = allocate.next_inventory(inventory, decided)
+    lost = F.when(F.col("inventory_id") == inventory.agg(F.min("inventory_id")).first()[0], 1).otherwise(0)
+    return corroborate.totals_reconcile(
+        decided, (inventory, stock.withColumn("qty", F.col("qty") - lost)), (person, allocate.next_person(person, decided)))
+
+
+@query("replay_both", """
+SELECT * FROM (
+WITH moved AS (
+  SELECT product_id, person_id, CASE WHEN operation = 10 THEN -qty ELSE qty END AS q,
+         CASE WHEN operation = 10 THEN -cost ELSE cost END AS c
+  FROM allocated WHERE result = 30 AND cost IS NOT NULL
+), s AS (
+  SELECT product_id AS id, CAST(i.qty + coalesce(m.q, 0) AS DECIMAL(20,2)) AS expected
+  FROM inventory i LEFT JOIN (SELECT product_id, sum(q) AS q FROM moved GROUP BY product_id) m USING (product_id)
+), b AS (
+  SELECT person_id AS id, CAST(p.balance + coalesce(m.c, 0) AS DECIMAL(20,2)) AS expected
+  FROM person p LEFT JOIN (SELECT person_id, sum(c) AS c FROM moved GROUP BY person_id) m USING (person_id)
+)
+SELECT 'stock' AS resource, id, expected, CASE WHEN id % 33 = 5 THEN NULL ELSE expected + 1 END AS stored
+FROM s WHERE id % 33 = 5 OR id % 20 = 3
+UNION ALL SELECT 'balance', id, expected, expected - 0.01 FROM b WHERE id % 25 = 4)""")
+def _(t):
+    """Stock and balance recomputed from the request log against a store whose latest version has faults in both."""
+    store = runs.open_store(SnapshotStore(t.spark, scratch(t.spark, "replay")), t.inventory(), t.person())
+    request, inventory, product, person = _tables(t)
+    decided = allocate.allocate_requests(request, inventory, product, person)
+    money = allocate.next_person(person, decided)
+    store.commit("run/0", tables={
+        "inventory": _with_faults(allocate.next_inventory(inventory, decided)),
+        "person": money.withColumn("balance", F.when(F.col("person_id") % 25 == 4, F.col("balance") - F.lit("0.01").cast(S.MONEY))
+                                   .otherwise(F.col("balance")).cast(S.MONEY))})
+    opening = (store.load("inventory", version=1), store.load("person", version=1))
+    return corroborate.replay_state(request, product, opening, (store.load("inventory"), store.load("person")))
+
+
+@query("shadow_processors", """
+SELECT request_id, a.result AS primary_result, a.reason AS primary_reason,
+       b.result AS shadow_result, b.reason AS shadow_reason
+FROM allocated a JOIN stock_only b USING (request_id)
+WHERE a.result IS DISTINCT FROM b.result OR a.reason IS DISTINCT FROM b.reason""")
+def _(t):
+    """Two processors on the same log: with the balance test, and without."""
+    return corroborate.shadow_results(allocate.allocate_requests(*_tables(t)), allocate.allocate_stock_only(*_tables(t)))
+
+
 @query("movement_reconcile", """
 SELECT s.product_id, s.qty - i.qty AS expected_change, s.qty + 1 - i.qty AS actual_change
 FROM stock_after s JOIN inventory i USING (product_id) WHERE s.product_id % 20 = 3""")
@@ -1058,6 +1150,17 @@ def _(t):
         t.raw("events"), "user_id", "ts", F.col("event_type") == "signup").select("user_id", "first_seen", "opened_at")
 
 
+@query("lifecycle_after_end", """
+SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, min(ts) FILTER (WHERE event_type = 'signup') AS opened_at,
+       max(ts) FILTER (WHERE event_type = 'purchase') AS closed_at
+FROM events GROUP BY user_id
+HAVING min(ts) < min(ts) FILTER (WHERE event_type = 'signup') OR max(ts) > max(ts) FILTER (WHERE event_type = 'purchase')""")
+def _(t):
+    """Events before the first signup or after the last purchase of a user."""
+    kind = F.col("event_type")
+    return corroborate.lifecycle_order_violations(t.raw("events"), "user_id", "ts", kind == "signup", kind == "purchase")
+
+
 @query("checkpoint_events", """
 SELECT topic, partition_id, count(*) AS n, max(offset_id) AS max_offset, CAST(0 AS BIGINT) AS batch_id
 FROM record GROUP BY topic, partition_id""")
