@@ -6,9 +6,10 @@ whole:
 
 1. Texts are cut into chunks of word numbers with a word list each, written once. Words are counted over all chunks; only those
    that occur often enough can be in a candidate, the others end a suffix. The kept words get dense numbers.
-2. Prefixes are packed, in order, into groups of less than two budgets of occurrences. A word with more than one is lengthened: its
-   prefixes of two words are counted over all chunks and packed likewise, and so on, up to the full depth, where equal
-   suffixes are one row per chunk.
+2. Words are packed, in order, into groups of less than two budgets of occurrences. A word with more than one budget is
+   lengthened: its prefixes of two words are dealt by hash into as many groups as it has budgets. They are counted over all
+   chunks, and those that are themselves more than a budget are lengthened in turn, up to the full depth, where equal suffixes
+   are one row per chunk.
 3. Each chunk sends its suffixes, equal ones merged, to the groups of their prefixes. A group is one task: it sorts its
    suffixes, which lays its subtrees side by side, and reads the count of every node from the totals of its leaves. Nodes
    above a group's prefixes were counted when these were lengthened.
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -167,59 +168,71 @@ def suffixes(words: np.ndarray, longest: int) -> np.ndarray:
     return out
 
 
-def _numbers_of(codes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For each row the place of an equal row of ``codes``, or -1. Both are compared as byte strings."""
-    if not len(codes) or not len(rows):
-        return np.full(len(rows), -1)
-    a, b = (np.ascontiguousarray(x.astype(">i8")).view(f"V{8 * x.shape[1]}").ravel() for x in (codes, rows))
-    every, back = np.unique(np.concatenate([a, b]), return_inverse=True)
-    place = np.full(len(every), -1)
-    place[back[:len(a)]] = np.arange(len(a))
-    return place[back[len(a):]]
+def _rows_as_bytes(rows: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(rows.astype("<i8")).view(f"V{8 * rows.shape[1]}").ravel()
+
+
+def _hashed(rows: np.ndarray) -> np.ndarray:
+    """A 64-bit number of each row; it only deals rows to groups."""
+    out = np.full(len(rows), 0x9E3779B97F4A7C15, np.uint64)
+    for column in rows.T:
+        out = (out ^ column.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+        out ^= out >> np.uint64(32)
+    return out
+
+
+def _budgets(known: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The prefixes of this level that are lengthened, and into how many groups each."""
+    rows = known.filter(pa.array((pc.list_value_length(known.column("prefix")).to_numpy(zero_copy_only=False) == level)
+                                 & known.column("budgets").is_valid().to_numpy(zero_copy_only=False)))
+    return (rows.column("prefix").combine_chunks().flatten().to_numpy().reshape(-1, level), rows.column("budgets").to_numpy())
 
 
 def _route(ids: np.ndarray, known: pa.Table, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(suffixes, group, depth) of one chunk. A group of -1 has a prefix of that depth still to be lengthened.
+    """(suffixes, group, depth) of one chunk. The group's subtrees are complete from ``depth`` words on. Suffixes of a lengthened
+    prefix of ``longest - 1`` words have the depth ``longest`` and no group, -1.
 
-    ``known`` has the chunk's words (idx, gid, part) and, for lengthened prefixes, (prefix, part); a null part means
-    that the prefix is lengthened.
+    ``known`` has the chunk's words (idx, prefix, part) and its lengthened prefixes (prefix, budgets).
     """
-    level = pc.list_value_length(known.column("prefix")).to_numpy(zero_copy_only=False)
-    parts = known.column("part").fill_null(-1).to_numpy()
-    first = known.filter(pa.array(level == 1))
+    first = known.filter(known.column("idx").is_valid())
     idx, gid = first.column("idx").to_numpy(), first.column("prefix").combine_chunks().flatten().to_numpy()
     size = int(max(ids.max(initial=-1), idx.max(initial=-1))) + 2
     of_word, part_of_word = np.full(size, -1), np.full(size, -1)  # the last is the end of a piece
-    of_word[idx], part_of_word[idx] = gid, parts[level == 1]
-    matrix = suffixes(of_word[ids], longest)
-    padded = np.concatenate([ids, [-1]])
-    has = of_word[padded]
-    group = part_of_word[ids[np.flatnonzero((has[:-1] >= 0) & (has[1:] >= 0))]]
+    of_word[idx], part_of_word[idx] = gid, first.column("part").fill_null(-1).to_numpy()
+    words = of_word[ids]
+    matrix = suffixes(words, longest)
+    ahead = np.r_[words[1:], -1]
+    group = part_of_word[ids[(words >= 0) & (ahead >= 0)]]
     depth = np.ones(len(matrix), np.int64)
-    for k in range(2, longest):
-        rows = known.filter(pa.array(level == k))
-        if not len(rows):
+    for level in range(1, longest):
+        prefixes, budgets = _budgets(known, level)
+        if not len(prefixes):
             break
-        codes = rows.column("prefix").combine_chunks().flatten().to_numpy().reshape(-1, k)
-        open_ = np.flatnonzero((group < 0) & (depth == k - 1))
-        at = _numbers_of(codes, matrix[open_, :k])
-        found = at >= 0
-        depth[open_] = k
-        group[open_[found]] = parts[level == k][at[found]]
-        depth[open_[~found]] = longest + 1  # the suffix ends there, or this prefix is too rare
+        # light prefixes of the level were dealt a level earlier; of the others, those that go on are dealt by one word more
+        below = np.flatnonzero(depth == level)
+        order = np.argsort(keys := _rows_as_bytes(prefixes))
+        mine = _rows_as_bytes(matrix[below, :level])
+        at = np.searchsorted(keys[order], mine).clip(max=len(keys) - 1) if len(mine) else np.zeros(0, np.int64)
+        hit = keys[order][at] == mine
+        below, at = below[hit], order[at[hit]]
+        depth[below] = level + 1
+        if level == longest - 1:
+            group[below] = -1
+            break
+        bucket = _hashed(matrix[below, :level + 1]) % budgets[at].astype(np.uint64)
+        group[below] = (_hashed(np.column_stack([matrix[below, :level], bucket.astype(np.int64)])) >> np.uint64(1)).astype(np.int64)
     return matrix, group, depth
 
 
 def _lengthened(level: int, longest: int):
-    """A chunk's counts of the prefixes of ``level`` words below those that are to be lengthened."""
+    """A chunk's counts of the prefixes of ``level`` words below those that were lengthened."""
     def run(key, chunk: pa.Table, known: pa.Table) -> pa.Table:
         if not len(chunk) or not len(known):
             return pa.table({"chunk": pa.array([], pa.int64()), "prefix": pa.array([], pa.list_(pa.int64())),
                              "n": pa.array([], pa.int64())})
-        matrix, group, depth = _route(np.frombuffer(chunk.column("ids")[0].as_py(), "<i4"), known, longest)
-        matrix = matrix[(group < 0) & (depth == level - 1)][:, :level]
-        matrix = matrix[matrix[:, -1] >= 0]
-        rows, counts = merged(matrix, np.ones(len(matrix), np.int64))
+        matrix, _, depth = _route(np.frombuffer(chunk.column("ids")[0].as_py(), "<i4"), known, longest)
+        matrix = matrix[depth == level][:, :level]
+        rows, counts = merged(matrix[matrix[:, -1] >= 0], np.ones(int((matrix[:, -1] >= 0).sum()), np.int64))
         return pa.table({"chunk": pa.array(np.full(len(rows), key[0].as_py()), pa.int64()), "prefix": _lists(rows),
                          "n": pa.array(counts, pa.int64())})
 
@@ -240,9 +253,8 @@ def _sent(longest: int, kind: str):
         out: list[tuple] = []
         if len(chunk) and len(known):
             matrix, group, depth = _route(np.frombuffer(chunk.column("ids")[0].as_py(), "<i4"), known, longest)
-            alone = (group < 0) & (depth == longest - 1)
-            depth[alone] = longest
-            some = (group >= 0) | alone & (matrix[:, -1] >= 0)
+            # behind a lengthened prefix there is nothing to count in a suffix that ends with it
+            some = matrix[np.arange(len(matrix)), depth - 1] >= 0
             rows, counts = merged(np.column_stack([group[some], depth[some], matrix[some]]), np.ones(int(some.sum()), np.int64))
             cuts = np.flatnonzero(_rows_equal_above(rows[:, :2]) < 2)
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rows)]):
@@ -279,12 +291,16 @@ def _subtree(longest: int, least: int, kind: str):
 
 
 def _packed(counted: DataFrame, budget: int) -> DataFrame:
-    """``part``: the group of a prefix; a stretch of ``budget`` occurrences holds less than two budgets. Null for a prefix
-    with more than one."""
-    light = running_total(counted.where(F.col("n") <= budget), ["prefix"], "ahead", value=F.col("n"))
-    light = light.withColumn("part", F.expr(f"ahead div {budget}")).drop("ahead")
-    heavy = counted.where(F.col("n") > budget).withColumn("part", F.lit(None).cast("long"))
-    return materialize(light.unionByName(heavy), "parts")
+    """``part``: the group of a word; a stretch of ``budget`` occurrences holds less than two budgets. A word with more than one
+    has no part but a number of ``budgets``."""
+    light = running_total(counted.where(F.col("n") <= budget), ["gid"], "ahead", value=F.col("n")).select(
+        "*", F.expr(f"ahead div {budget}").alias("part"), F.lit(None).cast("long").alias("budgets")).drop("ahead")
+    return light.unionByName(counted.where(F.col("n") > budget).select(
+        "*", F.lit(None).cast("long").alias("part"), _budgets_of(budget)))
+
+
+def _budgets_of(budget: int) -> Column:
+    return F.expr(f"n div {budget} + 1").alias("budgets")
 
 
 class Counts(NamedTuple):
@@ -304,30 +320,24 @@ def count_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = LONGES
     totals = materialize(counted.groupBy("lang").agg(F.sum("n").alias("total")), "lang-counts")
     words = materialize(running_total(counted.where(F.col("n") >= least), ["lang", "word"], "gid"), "frequent-words")
     kind = "<i4" if words.count() < 1 << 31 else "<i8"
-    parts = _packed(words.select(F.array("gid").alias("prefix"), "n"), sizes.budget)
-    numbered = materialize(words.join(
-        parts.select(F.col("prefix")[0].alias("gid"), "part"), "gid").select("lang", "word", "gid", "part"), "numbered-words")
-    known = materialize(in_chunk.drop("n").join(numbered, ["lang", "word"]).select(
-        "chunk", "idx", F.array("gid").alias("prefix"), "part"), "routes")
-
-    def lengthening() -> bool:
-        """Whether prefixes of the level before are too frequent for a group."""
-        return not parts.where(F.col("part").isNull()).isEmpty()
-
+    numbered = materialize(_packed(words, sizes.budget).drop("n"), "numbered-words")
+    # a shuffle at every size: the words of all chunks grow with the corpus, and so do the frequent ones
+    known = materialize(in_chunk.drop("n").join(numbered.hint("merge"), ["lang", "word"]).select(
+        "chunk", "idx", F.array("gid").alias("prefix"), "part", "budgets"), "routes")
     phrases, level = [], 2
-    while level < longest and lengthening():
+    heavy = numbered.where("budgets IS NOT NULL")
+    while level < longest and not heavy.isEmpty():
         own = materialize(ids.groupBy("of").cogroup(known.groupBy("chunk")).applyInArrow(
             _lengthened(level, longest), "chunk long, prefix array<long>, n long"), "prefixes")
-        often = own.groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        parts = _packed(materialize(often, "prefix-counts"), sizes.budget)
-        phrases.append(parts.where("part IS NULL").select("prefix", "n"))
-        known = materialize(known.unionByName(
-            own.drop("n").join(parts.select("prefix", "part"), "prefix").select(
-                "chunk", F.lit(None).cast("int").alias("idx"), "prefix", "part")), "routes")
+        heavy = materialize(own.groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > sizes.budget), "heavy-prefixes")
+        phrases.append(heavy.where(F.col("n") >= least))
+        known = materialize(known.unionByName(own.drop("n").join(
+            heavy.select("prefix", _budgets_of(sizes.budget)), "prefix").select(
+            "chunk", F.lit(None).cast("int").alias("idx"), "prefix", F.lit(None).cast("long").alias("part"), "budgets")), "routes")
         level += 1
     packed = ids.groupBy("of").cogroup(known.groupBy("chunk")).applyInArrow(
         _sent(longest, kind), "part long, depth int, rows binary, counts binary, prefix array<long>, n long")
-    if level == longest and lengthening():
+    if level == longest and not heavy.isEmpty():
         packed = materialize(packed, "suffixes")  # read twice
         phrases.append(packed.where("part IS NULL").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
     found = packed.where("part IS NOT NULL").select("part", "depth", "rows", "counts").groupBy("depth", "part").applyInArrow(
