@@ -32,9 +32,9 @@ from orderweave.session import materialize
 
 SCALE, K = 64, 20
 #: Candidates and queries of one task, and queries scored together.
-BLOCK, QUERIES, TOGETHER = 4096, 4096, 32
-#: Whole numbers below this are exact in double precision.
-EXACT = 1 << 53
+BLOCK, QUERIES, TOGETHER = 4096, 4096, 16
+#: Whole numbers below these are exact in single and double precision.
+EXACT_SINGLE, EXACT = 1 << 24, 1 << 53
 
 
 class Postings:
@@ -51,26 +51,32 @@ class Postings:
         self.terms, first = np.unique(term[order], return_index=True)
         self.cuts = np.r_[first, len(order)]
 
-    def of(self, i: int) -> tuple[np.ndarray | slice, np.ndarray]:
-        a, b = self.cuts[i], self.cuts[i + 1]
-        every = b - a == self.size  # a term that all rows have needs no list of places
-        return slice(None) if every else self.place[a:b], self.weight[a:b]
+        self.lists = [self._list(a, b) for a, b in zip(self.cuts, self.cuts[1:])]
+
+    def _list(self, a: int, b: int) -> tuple[np.ndarray | None, np.ndarray]:
+        """Places and weights of a term; where a quarter of the rows or more have it, a weight for every place and no list."""
+        if 4 * (b - a) < self.size:
+            return self.place[a:b], self.weight[a:b]
+        weight = np.zeros(self.size, self.weight.dtype)
+        weight[self.place[a:b]] = self.weight[a:b]
+        return None, weight
 
 
 def scores(postings: Postings, queries: Postings) -> np.ndarray:
     """Scores of all queries (rows) with all places of the block, one term after the other."""
     out = np.zeros((queries.size, postings.size), postings.weight.dtype)
-    shared, mine, theirs = np.intersect1d(postings.terms, queries.terms, return_indices=True)
+    product = np.empty_like(out)
+    _, mine, theirs = np.intersect1d(postings.terms, queries.terms, return_indices=True)
     for i, j in zip(mine, theirs):
-        place, weight = postings.of(i)
-        row, query_weight = queries.of(j)
-        if isinstance(place, slice):
-            if isinstance(row, slice):
-                out += query_weight[:, None] * weight
-            else:
-                out[row] += query_weight[:, None] * weight
+        place, weight = postings.lists[i]
+        row, query_weight = queries.lists[j]
+        if place is None and row is None:
+            np.multiply(query_weight[:, None], weight, out=product)
+            out += product
+        elif place is None:
+            out[row] += query_weight[:, None] * weight
         else:
-            rows = np.arange(queries.size) if isinstance(row, slice) else row
+            rows = np.arange(queries.size) if row is None else row
             out[rows[:, None], place] += query_weight[:, None] * weight
     return out
 
@@ -109,7 +115,7 @@ def _match(k: int, together: int):
         bound = _largest(values) * _largest(wanted) * max(1, min(int(lengths.max()), int(asked.max())))
         if bound >= 1 << 63:
             raise OverflowError("a score could pass 64 bits")
-        kind = np.float64 if bound < EXACT else np.int64
+        kind = np.float32 if bound < EXACT_SINGLE else np.float64 if bound < EXACT else np.int64
         postings = Postings(lengths, values.astype(kind))
         own, query_rows = rows.column("row").to_numpy(), queries.column("row").to_numpy()
         by_row = np.argsort(own)

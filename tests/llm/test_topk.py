@@ -51,8 +51,10 @@ def test_few_rows_and_none(spark):
 
 
 def test_large_components(spark):
-    rows = [(20, [2.0 ** 22, 1.0]), (21, [2.0 ** 23, -3.0]), (22, [-(2.0 ** 22), 7.0])]
-    assert rows_of(spark, rows) == brute(rows, 5)
+    """Beyond what single precision holds, and beyond double precision."""
+    for n in (8, 22):
+        rows = [(20, [2.0 ** n, 1.0]), (21, [2.0 ** (n + 1), -3.0]), (22, [-(2.0 ** n), 7.0])]
+        assert rows_of(spark, rows) == brute(rows, 5)
     with pytest.raises(Exception, match="64 bits"):
         rows_of(spark, [(20, [2.0 ** 40]), (21, [2.0 ** 40])])
 
