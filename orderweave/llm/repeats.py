@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderweave.session import materialize
+from orderweave.session import materialize, small_side
 
 LENGTH = 400
 #: Different surroundings of one anchor string that are compared in one group.
@@ -296,8 +296,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep: str = "first") -
     # the inside of copies: the surroundings as a whole occur again
     copied = around.where("n > 1").select(
         F.col("key").alias("k"), F.col("around").alias("a"), F.col("one.id").alias("oid"),
-        F.col("one.text_hash").alias("oh"), F.col("one.first").alias("of"))
-    inside = again.join(materialize(copied, "copied"), (F.col("key") == F.col("k")) & (F.col("around") == F.col("a")))
+        F.col("one.text_hash").alias("oh"), F.col("one.first").alias("of"), "n")
+    copied = materialize(copied, "copied")
+    # surroundings that very many places share are met without a shuffle where their number, which is counted, allows it:
+    # there is at most one of them for each GROUP places. The others are groups of at most GROUP rows.
+    often = small_side(copied.where(F.col("n") > GROUP), "often-copied")
+    same = (F.col("key") == F.col("k")) & (F.col("around") == F.col("a"))
+    inside = again.join(often, same).unionByName(
+        again.join(often, same, "left_anti").join(copied.where(F.col("n") <= GROUP), same))
     if keep == "first":
         inside = inside.where(~(
             F.col("id").eqNullSafe(F.col("oid")) & (F.col("text_hash") == F.col("oh")) & (F.col("first") == F.col("of"))))
