@@ -4,7 +4,9 @@ Space and text is encoded whole by a byte-level tokenizer file (A), the text by
 Byte offsets where tokens of both end cut a text into groups, and all A and B tokens of a group are linked.
 
 1. After both encodings, the shared ends before which A's and B's next tokens are both space-marked are anchors. They are
-   verified by their byte offsets and split a text into windows of token ids, mostly words.
+   verified by their byte offsets and split a text into windows of token ids, mostly words. At a single space between other
+   characters both tokenizers begin anew (the vocabulary of B is looked at for that, tests compare whole texts), so a text is its
+   parts between such spaces, and a part is encoded and aligned once in a chunk.
 2. Equal windows align equally, so an alignment is worked out once for each pair of id tuples and kept while a chunk of texts
    lasts. A text is then a list of window numbers.
 3. A chunk knows in how many of its documents each id pair is linked. Those counts are summed by Spark, compared
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -40,8 +43,8 @@ from pyspark.sql import functions as F
 
 from orderweave.session import materialize
 
-#: The length from which a text is encoded in stretches.
-STRETCH = 1 << 20
+#: A single space between other characters.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
 
 
@@ -50,7 +53,7 @@ class Sizes(NamedTuple):
 
     chunk: int = 1 << 25
     windows: int = 1 << 18
-    together: int = 1 << 21
+    together: int = 1 << 17
 
 
 def byte_of_char() -> dict[str, int]:
@@ -71,7 +74,7 @@ class Vocabulary:
 
 @lru_cache(maxsize=2)
 def tokenizers(byte_file: str, piece_file: str):
-    """(encode A, vocabulary A, encode B, vocabulary B), once for all tasks of a worker process."""
+    """(encode A, vocabulary A, encode B, vocabulary B, whether texts may be cut), once for all tasks of a worker process."""
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -88,42 +91,25 @@ def tokenizers(byte_file: str, piece_file: str):
     cut = not any(SPACE in p.lstrip(SPACE) for p in pieces)
     rendered = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
 
-    def encode(texts: list[str], what) -> list[np.ndarray]:
-        parts = [stretches(t) if cut else [t] for t in texts]
-        ids = iter(what([p for x in parts for p in x]))
-        return [np.concatenate([next(ids) for _ in x]) for x in parts]
+    def run_a(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
-    def run_a(parts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+    def run_b(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x, np.int32) for x in b.encode(texts, num_threads=1)]
 
-    def run_b(parts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int32) for x in b.encode(parts, num_threads=1)]
+    return run_a, Vocabulary(entries), run_b, Vocabulary(rendered), cut
 
-    return (lambda t: encode(t, run_a)), Vocabulary(entries), (lambda t: encode(t, run_b)), Vocabulary(rendered)
 
-
-def stretches(text: str, length: int = STRETCH) -> list[str]:
-    """The text cut at single spaces between other characters, where both tokenizers begin anew; the spaces are left out."""
-    out, begin = [], 0
-    while len(text) - begin > length:
-        at = begin + length
-        while True:
-            at = text.find(" ", at)
-            if at < 0 or at + 1 >= len(text):
-                return [*out, text[begin:]]
-            if not text[at - 1].isspace() and not text[at + 1].isspace():
-                break
-            at += 1
-        out.append(text[begin:at])
-        begin = at + 1
-    return [*out, text[begin:]]
+def parts_of(text: str, cut: bool = True) -> list[str]:
+    """The text cut at single spaces between other characters; these spaces are left out."""
+    return CUT.split(text) if cut else [text]
 
 
 class Aligned:
     """Some texts by both tokenizers, with the groups and windows of all of them in one row of tokens."""
 
     def __init__(self, texts: list[str], byte_file: str, piece_file: str):
-        encode_a, self.va, encode_b, self.vb = tokenizers(byte_file, piece_file)
+        encode_a, self.va, encode_b, self.vb, _ = tokenizers(byte_file, piece_file)
         a, b = encode_a(texts), encode_b(texts)
         whole = [" " + t for t in texts]
         self.sound = np.array([
@@ -179,6 +165,10 @@ class Chunk:
         self.cuts, self.pairs, self.times = array("q", [0]), array("i"), array("q")
         self.docs = np.zeros(0, np.int64)  # for each pair, documents that link it
         self.size = 0
+        self.part: dict[str, int] = {}
+        self.part_text: list[str] = []
+        self.part_sums = array("q")  # for each part: tokens of A and B, groups, links, and whether it is sound
+        self.part_cuts, self.part_windows = array("q", [0]), array("i")
 
     def _learn(self, key: tuple[bytes, bytes], groups: list[tuple[list[int], list[int]]]) -> int:
         self.text.append(_written(groups))
@@ -199,32 +189,60 @@ class Chunk:
         number = self.number[key] = len(self.text) - 1
         return number
 
-    def add(self, aligned: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], list[bytes]]:
-        """Groups, links, digests and window numbers of the texts."""
-        known = self.number.get
-        numbers = array("i")
-        for key, first, behind, at_a, at_b in aligned.windows():
-            number = known(key)
-            numbers.append(self._learn(key, aligned.groups(first, behind, at_a, at_b)) if number is None else number)
-        seen = np.frombuffer(numbers, np.int32) if numbers else np.zeros(0, np.int32)
-        cuts = np.searchsorted(aligned.doc, np.arange(len(aligned.sound) + 1))
+    def _learn_parts(self, parts: list[str], byte_file: str, piece_file: str) -> None:
+        aligned = Aligned(parts, byte_file, piece_file)
+        numbers: list[list[int]] = [[] for _ in parts]
+        for doc, (key, first, behind, at_a, at_b) in zip(aligned.doc.tolist(), aligned.windows()):
+            number = self.number.get(key)
+            if number is None:
+                number = self._learn(key, aligned.groups(first, behind, at_a, at_b))
+            numbers[doc].append(number)
+        for part, mine, ok, n_a, n_b in zip(parts, numbers, aligned.sound.tolist(), aligned.n_a.tolist(), aligned.n_b.tolist()):
+            self.part[part] = len(self.part)
+            self.part_text.append(";".join([self.text[w] for w in mine]))
+            self.part_sums.extend((n_a, n_b, sum(self.n_groups[w] for w in mine), sum(self.n_links[w] for w in mine), ok))
+            self.part_windows.extend(mine)
+            self.part_cuts.append(len(self.part_windows))
+
+    def add(self, texts: list[str], byte_file: str, piece_file: str, together: int) -> tuple[np.ndarray, list[str], list[bytes]]:
+        """(tokens of A and B, groups, links) of each text, digests and window numbers."""
+        cut = tokenizers(byte_file, piece_file)[-1]
+        split = [parts_of(t, cut) for t in texts]
+        fresh = sorted(set().union(*split).difference(self.part)) if split else []
+        for begin, end in _together(fresh, together):
+            self._learn_parts(fresh[begin:end], byte_file, piece_file)
+        many = np.array([len(x) for x in split], np.int64)
+        part = np.fromiter((self.part[p] for x in split for p in x), np.int64, int(many.sum()))
+        ends = np.r_[0, np.cumsum(many)]
+        of_part = np.frombuffer(self.part_sums, np.int64).reshape(-1, 5)
+        added = np.stack([sums(of_part[part, i], ends) for i in range(5)], axis=1)
+        sound = added[:, 4] == many  # all parts are; an empty text is one part that is not
+        added[~sound] = 0
+        cuts_of_part, windows_of_part = np.frombuffer(self.part_cuts, np.int64), np.frombuffer(self.part_windows, np.int32)
+        mine = np.repeat(sound, many)  # places whose windows count
+        doc_of, kept = np.repeat(np.arange(len(texts)), many)[mine], part[mine]
+        at, length = _gather(cuts_of_part, kept)
+        seen, doc = windows_of_part[at], np.repeat(doc_of, length)
+        cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
         # documents of each pair: a document's different windows, then their different pairs
-        both = np.unique(aligned.doc * len(self.text) + seen)
-        doc, window = both // max(1, len(self.text)), both % max(1, len(self.text))
-        starts, many = np.frombuffer(self.cuts, np.int64)[window], np.diff(np.frombuffer(self.cuts, np.int64))[window]
-        at = np.repeat(starts - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        found = np.unique(np.repeat(doc, many) * max(1, len(self.pair)) + np.frombuffer(self.pairs, np.int32)[at]) if len(
-            at) else at
+        both = np.unique(doc * len(self.text) + seen) if len(seen) else np.zeros(0, np.int64)
+        at, length = _gather(np.frombuffer(self.cuts, np.int64), both % max(1, len(self.text)))
+        found = np.unique(np.repeat(both // max(1, len(self.text)), length) * max(1, len(self.pair))
+                          + np.frombuffer(self.pairs, np.int32)[at]) if len(at) else at
         counted = np.bincount(found % max(1, len(self.pair)), minlength=len(self.pair))
         counted[:len(self.docs)] += self.docs
         self.docs = counted
-        digests, stored = [], []
-        for ok, a, b in zip(aligned.sound, cuts, cuts[1:]):
-            mine = seen[a:b]
-            digests.append(hashlib.sha256(";".join(map(self.text.__getitem__, mine.tolist())).encode()).hexdigest() if ok else "")
-            stored.append(mine.astype("<i4").tobytes())
-        groups, links = (sums(np.frombuffer(x, np.int64)[seen] if numbers else seen, cuts) for x in (self.n_groups, self.n_links))
-        return groups, links, digests, stored
+        digests = [
+            hashlib.sha256(";".join([self.part_text[p] for p in part[a:b].tolist()]).encode()).hexdigest() if ok else ""
+            for ok, a, b in zip(sound, ends, ends[1:])]
+        stored = [seen[a:b].astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:])]
+        return added[:, :4], digests, stored
+
+
+def _gather(cuts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the items of the given rows, one row after the other, and how many each has."""
+    starts, many = cuts[rows], cuts[rows + 1] - cuts[rows]
+    return np.repeat(starts - (np.cumsum(many) - many), many) + np.arange(many.sum()), many
 
 
 def sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -264,11 +282,12 @@ def _chunk_rows(docs: DataFrame, byte_file: str, piece_file: str, sizes: Sizes)
                 else columns.get(c, pa.nulls(size, ids_type if c == "doc_id" else kinds.get(c))) for c in names], names=names)
 
         def close(chunk: Chunk, number: int) -> Iterator[pa.RecordBatch]:
-            n = len(chunk.pair)
+            some = np.flatnonzero(chunk.docs)  # a part may be sound in texts that are not
+            n = len(some)
             if n:
-                both = np.array(list(chunk.pair), np.int32)
-                yield rows(n, kind=["pair"] * n, chunk=np.full(n, number), idx=np.arange(n, dtype=np.int32), a=both[:, 0],
-                           b=both[:, 1], n=chunk.docs)
+                both = np.array(list(chunk.pair), np.int32)[some]
+                yield rows(n, kind=["pair"] * n, chunk=np.full(n, number), idx=some.astype(np.int32), a=both[:, 0],
+                           b=both[:, 1], n=chunk.docs[some])
             yield rows(1, kind=["table"], chunk=[number], cuts=[chunk.cuts.tobytes()], pairs=[chunk.pairs.tobytes()],
                        times=[chunk.times.tobytes()])
 
@@ -276,15 +295,14 @@ def _chunk_rows(docs: DataFrame, byte_file: str, piece_file: str, sizes: Sizes)
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             ids_type = ids.type
-            for begin, end in _together(texts, sizes.together):
+            for begin, end in _together(texts, 8 * sizes.together):
                 chunk = chunk or Chunk()
-                aligned = Aligned(texts[begin:end], byte_file, piece_file)
-                groups, links, digests, stored = chunk.add(aligned)
+                added, digests, stored = chunk.add(texts[begin:end], byte_file, piece_file, sizes.together)
                 n = end - begin
-                yield rows(n, kind=["doc"] * n, chunk=np.full(n, number), doc_id=ids.slice(begin, n), n_a=aligned.n_a,
-                           n_b=aligned.n_b, n_groups=groups, n_links=links, groups_sha256=digests, windows=stored)
+                yield rows(n, kind=["doc"] * n, chunk=np.full(n, number), doc_id=ids.slice(begin, n), n_a=added[:, 0],
+                           n_b=added[:, 1], n_groups=added[:, 2], n_links=added[:, 3], groups_sha256=digests, windows=stored)
                 chunk.size += sum(map(len, texts[begin:end]))
-                if chunk.size >= sizes.chunk or len(chunk.text) >= sizes.windows:
+                if chunk.size >= sizes.chunk or max(len(chunk.text), len(chunk.part)) >= sizes.windows:
                     yield from close(chunk, number)
                     number, chunk = number + 1, None
         if chunk:
@@ -306,9 +324,9 @@ def _add_up(key, docs: pa.Table, known: pa.Table) -> pa.Table:
     table = known.filter(pc.is_valid(known.column("cuts")))
     pairs = known.filter(pc.is_valid(known.column("idx")))
     idx = pairs.column("idx").to_numpy()
-    total, best = np.zeros(len(idx), np.int64), np.zeros(len(idx), np.int64)
-    total[idx], best[idx] = pairs.column("n").to_numpy(), pairs.column("best").to_numpy(zero_copy_only=False)
     cuts, of, times = (np.frombuffer(table.column(c)[0].as_py(), t) for c, t in (("cuts", "q"), ("pairs", "i"), ("times", "q")))
+    total, best = (np.zeros(int(of.max(initial=-1)) + 1, np.int64) for _ in range(2))
+    total[idx], best[idx] = pairs.column("n").to_numpy(), pairs.column("best").to_numpy(zero_copy_only=False)
     n_best, count_sum = (sums(times * x[of], cuts) for x in (best, total))
     windows = [np.frombuffer(w.as_py(), "<i4") for w in docs.column("windows")]
     at = np.r_[0, np.cumsum([len(w) for w in windows])]

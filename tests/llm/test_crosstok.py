@@ -96,15 +96,15 @@ def test_groups_as_rows(spark, both):
     assert {r.doc_id: [(g.a, g.b) for g in r.groups] for r in got} == {i: groups_of(t, *both) or [] for i, t in rows}
 
 
-def test_stretches_encode_as_the_whole_text(both):
+def test_parts_encode_as_the_whole_text(both):
     rng = random.Random(3)
     text = " ".join(passage(n, 40) + rng.choice(["", "  ", "\n", "\t x", "  y", " 日本 "]) for n in range(60))
-    parts = crosstok.stretches(text, 300)
+    parts = crosstok.parts_of(text)
     assert len(parts) > 10 and " ".join(parts) == text
     a, b = both
     assert sum((a.encode(" " + p, add_special_tokens=False).ids for p in parts), []) == a.encode(" " + text, add_special_tokens=False).ids
     assert sum((b.encode(p) for p in parts), []) == b.encode(text)
-    assert crosstok.stretches("x" * 1000, 300) == ["x" * 1000]
+    assert crosstok.parts_of("a  b\n c d ") == ["a  b\n c", "d "] and crosstok.parts_of("") == [""]
 
 
 def test_one_long_group(both):
