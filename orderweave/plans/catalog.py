@@ -609,10 +609,10 @@ FROM part, (SELECT 0 AS n UNION ALL SELECT 1))"""
 
 @query("insert_unique", f"""
 SELECT * FROM (
-WITH RECURSIVE v AS (
+WITH RECURSIVE v AS MATERIALIZED (
   SELECT seq, product_id, code, row_number() OVER (ORDER BY seq) AS turn
   FROM {_NEW_PRODUCTS} n WHERE code NOT IN (SELECT code FROM product)
-), near AS (
+), near AS MATERIALIZED (
   SELECT a.turn, coalesce(bool_or(b.turn = a.turn - 1), false) AS c1, coalesce(bool_or(b.turn = a.turn - 2), false) AS c2,
          coalesce(bool_or(b.turn = a.turn - 3), false) AS c3, coalesce(bool_or(b.turn = a.turn - 4), false) AS c4,
          coalesce(bool_or(b.turn = a.turn - 5), false) AS c5
