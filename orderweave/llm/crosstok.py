@@ -28,9 +28,9 @@ import hashlib
 import os
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -46,6 +46,8 @@ from orderweave.session import materialize
 #: A single space between other characters.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
+#: A group of up to so many links is written out link by link.
+WRITTEN_OUT = 64
 
 
 class Sizes(NamedTuple):
@@ -91,15 +93,28 @@ def tokenizers(byte_file: str, piece_file: str):
     cut = not any(SPACE in p.lstrip(SPACE) for p in pieces)
     rendered = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
 
-    def run_a(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def run_a(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)])
 
-    def run_b(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int32) for x in b.encode(texts, num_threads=1)]
+    def run_b(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat(b.encode(texts, num_threads=1))
 
     return run_a, Vocabulary(entries), run_b, Vocabulary(rendered), cut
 
 
+def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one row, and how many each text has."""
+    many = np.fromiter(map(len, rows), np.int64, len(rows))
+    return np.fromiter(chain.from_iterable(rows), np.int32, int(many.sum())), many
+
+
+@lru_cache(maxsize=1)
+def written_ids(size: int) -> tuple[list[str], np.ndarray]:
+    """Every id in decimal behind each of the three separators of a digest, and their lengths."""
+    table = [mark + str(i) for mark in ";,|" for i in range(size)]
+    return table, np.fromiter(map(len, table), np.int64, len(table))
+
+
 def parts_of(text: str, cut: bool = True) -> list[str]:
     """The text cut at single spaces between other characters; these spaces are left out."""
     return CUT.split(text) if cut else [text]
@@ -110,18 +125,16 @@ class Aligned:
 
     def __init__(self, texts: list[str], byte_file: str, piece_file: str):
         encode_a, self.va, encode_b, self.vb, _ = tokenizers(byte_file, piece_file)
-        a, b = encode_a(texts), encode_b(texts)
-        whole = [" " + t for t in texts]
-        self.sound = np.array([
-            bool(t) and self._joined(self.va, x) == (w := s.encode("utf-8", "surrogatepass")) and self._joined(self.vb, y) == w
-            for t, s, x, y in zip(texts, whole, a, b)], bool)
-        none = np.zeros(0, np.int32)
-        a, b = ([x if ok else none for x, ok in zip(ids, self.sound)] for ids in (a, b))
-        self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a, b))
-        self.a, self.b = np.concatenate([none, *a]), np.concatenate([none, *b])
+        (a, n_a), (b, n_b) = encode_a(texts), encode_b(texts)
+        whole = [(" " + t).encode("utf-8", "surrogatepass") for t in texts]
+        given = np.fromiter(map(bool, texts), bool, len(texts))
+        self.sound = given & _spells(self.va, a, n_a, whole) & _spells(self.vb, b, n_b, whole)
+        self.n_a, self.n_b = (np.where(self.sound, n, 0) for n in (n_a, n_b))
+        self.a, self.b = a[np.repeat(self.sound, n_a)], b[np.repeat(self.sound, n_b)]
         ends_a, ends_b = np.cumsum(self.va.lengths[self.a]), np.cumsum(self.vb.lengths[self.b])
         _, self.ga, self.gb = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         self.ga, self.gb = self.ga + 1, self.gb + 1  # behind the last tokens of each group
+        self.from_a, self.from_b = (np.r_[0, g][:-1] for g in (self.ga, self.gb))
         # a window ends with its text, or where the next tokens of both are space-marked
         ahead_a, ahead_b = (np.r_[v.marked[ids], True] for v, ids in ((self.va, self.a), (self.vb, self.b)))
         last = np.isin(self.ga, np.cumsum(self.n_a))
@@ -129,10 +142,6 @@ class Aligned:
         #: For each window, the text it is of.
         self.doc = np.searchsorted(np.cumsum(self.n_a), self.ga[self.cut], side="left")
 
-    @staticmethod
-    def _joined(v: Vocabulary, ids: np.ndarray) -> bytes:
-        return b"".join(map(v.bytes.__getitem__, ids.tolist()))
-
     def windows(self) -> Iterator[tuple[tuple[bytes, bytes], int, int, int, int]]:
         """(id tuples, first group, behind the last group, first token of A and of B) of each window, in order."""
         raw_a, raw_b = self.a.tobytes(), self.b.tobytes()
@@ -150,18 +159,67 @@ class Aligned:
         return out
 
 
-def _written(groups: list[tuple[list[int], list[int]]]) -> str:
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+    def digest_texts(self) -> list[str]:
+        """The groups of each text, written out: A's ids of a group, then B's, in one row for all texts."""
+        size = max(len(self.va.bytes), len(self.vb.bytes))
+        table, lengths = written_ids(size)
+        code = np.empty(len(self.a) + len(self.b), np.int64)
+        # so many tokens of the other side come before
+        ahead_a, ahead_b = np.repeat(self.from_b, self.ga - self.from_a), np.repeat(self.ga, self.gb - self.from_b)
+        code[np.arange(len(self.a)) + ahead_a] = self.a + size
+        code[np.arange(len(self.b)) + ahead_b] = self.b + size
+        code[self.from_a + self.from_b] -= size
+        code[self.from_b + self.ga] += size
+        joined = "".join(map(table.__getitem__, code.tolist()))
+        ends = np.r_[0, np.cumsum(lengths[code])][np.r_[0, np.cumsum(self.n_a + self.n_b)]].tolist()
+        return [joined[begin + 1:end] for begin, end in zip(ends, ends[1:])]
+
+    def links(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``wanted``, a * size of B + b, times) of the different links of the wanted windows, in order.
+
+        A group of few links is written out; in a wide one the different ids of both sides are combined.
+        """
+        base = len(self.vb.bytes)
+        span = base * len(self.va.bytes)
+        place = np.full(len(self.cut), -1, np.int64)
+        place[wanted] = np.arange(len(wanted))
+        of_group = place[np.searchsorted(self.cut, np.arange(len(self.ga)))]
+        p, q = self.ga - self.from_a, self.gb - self.from_b
+        mine = of_group >= 0
+        few = np.flatnonzero(mine & (p * q <= WRITTEN_OUT))
+        many = (p * q)[few]
+        at = np.repeat(few, many)
+        step = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        keys = [of_group[at] * span + self.a[self.from_a[at] + step // q[at]].astype(np.int64) * base
+                + self.b[self.from_b[at] + step % q[at]]]
+        times = [np.ones(len(at), np.int64)]
+        for g in np.flatnonzero(mine & (p * q > WRITTEN_OUT)).tolist():
+            ids_a, n_a = np.unique(self.a[self.from_a[g]:self.ga[g]], return_counts=True)
+            ids_b, n_b = np.unique(self.b[self.from_b[g]:self.gb[g]], return_counts=True)
+            keys.append((of_group[g] * span + ids_a.astype(np.int64)[:, None] * base + ids_b).ravel())
+            times.append((n_a[:, None] * n_b).ravel())
+        key, time = np.concatenate(keys), np.concatenate(times)
+        order = np.argsort(key, kind="stable")
+        key, time = key[order], time[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        summed = np.add.reduceat(time, first) if len(key) else time
+        return key[first] // span, key[first] % span, summed
+
+
+def _spells(v: Vocabulary, ids: np.ndarray, many: np.ndarray, whole: list[bytes]) -> np.ndarray:
+    """For each text, whether the bytes of its tokens are the given ones."""
+    joined = b"".join(map(v.bytes.__getitem__, ids.tolist()))
+    ends = np.r_[0, np.cumsum(v.lengths[ids])][np.r_[0, np.cumsum(many)]].tolist()
+    return np.fromiter((joined[x:y] == w for x, y, w in zip(ends, ends[1:], whole)), bool, len(whole))
 
 
 class Chunk:
-    """Windows known so far: their digest text, groups and links, and the pairs they link."""
+    """Windows known so far and the pairs they link; parts known so far with their digest text, sums and windows."""
 
     def __init__(self) -> None:
         self.number: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
-        self.n_groups, self.n_links = array("q"), array("q")
-        self.pair: dict[tuple[int, int], int] = {}
+        self.pair: dict[int, int] = {}
+        self.base = 1  # a pair is a * base + b
         self.cuts, self.pairs, self.times = array("q", [0]), array("i"), array("q")
         self.docs = np.zeros(0, np.int64)  # for each pair, documents that link it
         self.size = 0
@@ -170,39 +228,44 @@ class Chunk:
         self.part_sums = array("q")  # for each part: tokens of A and B, groups, links, and whether it is sound
         self.part_cuts, self.part_windows = array("q", [0]), array("i")
 
-    def _learn(self, key: tuple[bytes, bytes], groups: list[tuple[list[int], list[int]]]) -> int:
-        self.text.append(_written(groups))
-        links: Counter = Counter()
-        for a, b in groups:
-            if len(a) == 1 and len(b) == 1:
-                links[a[0], b[0]] += 1
-                continue
-            many_b = Counter(b)
-            for x, n in Counter(a).items():
-                for y, m in many_b.items():
-                    links[x, y] += n * m
-        self.n_groups.append(len(groups))
-        self.n_links.append(links.total())
-        self.pairs.extend(self.pair.setdefault(p, len(self.pair)) for p in links)
-        self.times.extend(links.values())
-        self.cuts.append(len(self.pairs))
-        number = self.number[key] = len(self.text) - 1
-        return number
+    def _number_windows(self, aligned: Aligned) -> list[int]:
+        """The number of each window; the links of those not met before are worked out together."""
+        numbers, fresh = [], []
+        for at, (key, *_) in enumerate(aligned.windows()):
+            number = self.number.get(key)
+            if number is None:
+                number = self.number[key] = len(self.number)
+                fresh.append(at)
+            numbers.append(number)
+        place, pairs, times = aligned.links(np.array(fresh, np.int64))
+        self.base = len(aligned.vb.bytes)
+        different, back = np.unique(pairs, return_inverse=True)
+        known = np.fromiter((self.pair.setdefault(p, len(self.pair)) for p in different.tolist()), np.int32, len(different))
+        ends = np.searchsorted(place, np.arange(1, len(fresh) + 1)) + len(self.pairs)
+        self.cuts.frombytes(ends.astype(np.int64).tobytes())
+        self.pairs.frombytes(known[back].tobytes())
+        self.times.frombytes(times.tobytes())
+        return numbers
 
     def _learn_parts(self, parts: list[str], byte_file: str, piece_file: str) -> None:
         aligned = Aligned(parts, byte_file, piece_file)
-        numbers: list[list[int]] = [[] for _ in parts]
-        for doc, (key, first, behind, at_a, at_b) in zip(aligned.doc.tolist(), aligned.windows()):
-            number = self.number.get(key)
-            if number is None:
-                number = self._learn(key, aligned.groups(first, behind, at_a, at_b))
-            numbers[doc].append(number)
-        for part, mine, ok, n_a, n_b in zip(parts, numbers, aligned.sound.tolist(), aligned.n_a.tolist(), aligned.n_b.tolist()):
-            self.part[part] = len(self.part)
-            self.part_text.append(";".join([self.text[w] for w in mine]))
-            self.part_sums.extend((n_a, n_b, sum(self.n_groups[w] for w in mine), sum(self.n_links[w] for w in mine), ok))
-            self.part_windows.extend(mine)
-            self.part_cuts.append(len(self.part_windows))
+        numbers = self._number_windows(aligned)
+        of_group = np.searchsorted(np.cumsum(aligned.n_a), aligned.ga)
+        groups, links = (np.zeros(len(parts), np.int64) for _ in range(2))
+        np.add.at(groups, of_group, 1)
+        np.add.at(links, of_group, (aligned.ga - aligned.from_a) * (aligned.gb - aligned.from_b))
+        added = np.stack([aligned.n_a, aligned.n_b, groups, links, aligned.sound], axis=1)
+        ends = np.searchsorted(aligned.doc, np.arange(1, len(parts) + 1)) + len(self.part_windows)
+        self.part.update(zip(parts, range(len(self.part), len(self.part) + len(parts))))
+        self.part_text += aligned.digest_texts()
+        self.part_sums.frombytes(added.astype(np.int64).tobytes())
+        self.part_windows.extend(numbers)
+        self.part_cuts.frombytes(ends.astype(np.int64).tobytes())
+
+    def linked(self) -> np.ndarray:
+        """(a, b) of each pair."""
+        keys = np.fromiter(self.pair, np.int64, len(self.pair))
+        return np.stack([keys // self.base, keys % self.base], axis=1).astype(np.int32)
 
     def add(self, texts: list[str], byte_file: str, piece_file: str, together: int) -> tuple[np.ndarray, list[str], list[bytes]]:
         """(tokens of A and B, groups, links) of each text, digests and window numbers."""
@@ -225,9 +288,9 @@ class Chunk:
         seen, doc = windows_of_part[at], np.repeat(doc_of, length)
         cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
         # documents of each pair: a document's different windows, then their different pairs
-        both = np.unique(doc * len(self.text) + seen) if len(seen) else np.zeros(0, np.int64)
-        at, length = _gather(np.frombuffer(self.cuts, np.int64), both % max(1, len(self.text)))
-        found = np.unique(np.repeat(both // max(1, len(self.text)), length) * max(1, len(self.pair))
+        both = np.unique(doc * len(self.number) + seen) if len(seen) else np.zeros(0, np.int64)
+        at, length = _gather(np.frombuffer(self.cuts, np.int64), both % max(1, len(self.number)))
+        found = np.unique(np.repeat(both // max(1, len(self.number)), length) * max(1, len(self.pair))
                           + np.frombuffer(self.pairs, np.int32)[at]) if len(at) else at
         counted = np.bincount(found % max(1, len(self.pair)), minlength=len(self.pair))
         counted[:len(self.docs)] += self.docs
@@ -285,7 +348,7 @@ def _chunk_rows(docs: DataFrame, byte_file: str, piece_file: str, sizes: Sizes)
             some = np.flatnonzero(chunk.docs)  # a part may be sound in texts that are not
             n = len(some)
             if n:
-                both = np.array(list(chunk.pair), np.int32)[some]
+                both = chunk.linked()[some]
                 yield rows(n, kind=["pair"] * n, chunk=np.full(n, number), idx=some.astype(np.int32), a=both[:, 0],
                            b=both[:, 1], n=chunk.docs[some])
             yield rows(1, kind=["table"], chunk=[number], cuts=[chunk.cuts.tobytes()], pairs=[chunk.pairs.tobytes()],
@@ -302,7 +365,7 @@ def _chunk_rows(docs: DataFrame, byte_file: str, piece_file: str, sizes: Sizes)
                 yield rows(n, kind=["doc"] * n, chunk=np.full(n, number), doc_id=ids.slice(begin, n), n_a=added[:, 0],
                            n_b=added[:, 1], n_groups=added[:, 2], n_links=added[:, 3], groups_sha256=digests, windows=stored)
                 chunk.size += sum(map(len, texts[begin:end]))
-                if chunk.size >= sizes.chunk or max(len(chunk.text), len(chunk.part)) >= sizes.windows:
+                if chunk.size >= sizes.chunk or max(len(chunk.number), len(chunk.part)) >= sizes.windows:
                     yield from close(chunk, number)
                     number, chunk = number + 1, None
         if chunk:

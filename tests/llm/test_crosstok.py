@@ -3,7 +3,9 @@ from __future__ import annotations
 import hashlib
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 import sentencepiece
 from fixtures import TABLES, empty, frame, passage, stored, texts
@@ -109,9 +111,13 @@ def test_parts_encode_as_the_whole_text(both):
 
 def test_one_long_group(both):
     """p * q links of a group are counted, not listed."""
-    chunk = crosstok.Chunk()
-    chunk._learn((b"x", b"y"), [([1] * 5000, [2] * 4000 + [3])])
-    assert chunk.n_links[0] == 5000 * 4001 and sorted(chunk.times) == [5000, 20_000_000]
+    vocabulary = crosstok.Vocabulary([b"x"] * 10)
+    one = SimpleNamespace(
+        va=vocabulary, vb=vocabulary, a=np.full(5000, 1), b=np.r_[np.full(4000, 2), 3], ga=np.array([5000]),
+        gb=np.array([4001]), from_a=np.zeros(1, int), from_b=np.zeros(1, int), cut=np.zeros(1, int))
+    place, pairs, times = crosstok.Aligned.links(one, np.zeros(1, int))
+    assert times.sum() == 5000 * 4001 and sorted(times) == [5000, 20_000_000]
+    assert place.tolist() == [0, 0] and pairs.tolist() == [12, 13]
 
 
 def test_empty_table_and_text_ids(spark):
