@@ -48,6 +48,10 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE = "▁"
 #: A group of up to so many links is written out link by link.
 WRITTEN_OUT = 64
+#: Rows of a batch that are Python strings at one time.
+AT_ONCE = 500
+#: Between the ids of A and of B in the key of a window; no id is -1.
+BETWEEN = b"\xff" * 4
 
 
 class Sizes(NamedTuple):
@@ -142,13 +146,13 @@ class Aligned:
         #: For each window, the text it is of.
         self.doc = np.searchsorted(np.cumsum(self.n_a), self.ga[self.cut], side="left")
 
-    def windows(self) -> Iterator[tuple[tuple[bytes, bytes], int, int, int, int]]:
+    def windows(self) -> Iterator[tuple[bytes, int, int, int, int]]:
         """(id tuples, first group, behind the last group, first token of A and of B) of each window, in order."""
         raw_a, raw_b = self.a.tobytes(), self.b.tobytes()
         ends_a, ends_b = (4 * self.ga[self.cut]).tolist(), (4 * self.gb[self.cut]).tolist()
         at_a = at_b = group = 0
         for end_a, end_b, cut in zip(ends_a, ends_b, self.cut.tolist()):
-            yield (raw_a[at_a:end_a], raw_b[at_b:end_b]), group, cut + 1, at_a >> 2, at_b >> 2
+            yield raw_a[at_a:end_a] + BETWEEN + raw_b[at_b:end_b], group, cut + 1, at_a >> 2, at_b >> 2
             at_a, at_b, group = end_a, end_b, cut + 1
 
     def groups(self, first: int, behind: int, at_a: int, at_b: int) -> list[tuple[list[int], list[int]]]:
@@ -217,7 +221,7 @@ class Chunk:
     """Windows known so far and the pairs they link; parts known so far with their digest text, sums and windows."""
 
     def __init__(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
+        self.number: dict[bytes, int] = {}
         self.pair: dict[int, int] = {}
         self.base = 1  # a pair is a * base + b
         self.cuts, self.pairs, self.times = array("q", [0]), array("i"), array("q")
@@ -275,7 +279,7 @@ class Chunk:
         for begin, end in _together(fresh, together):
             self._learn_parts(fresh[begin:end], byte_file, piece_file)
         many = np.array([len(x) for x in split], np.int64)
-        part = np.fromiter((self.part[p] for x in split for p in x), np.int64, int(many.sum()))
+        part = np.fromiter(map(self.part.__getitem__, chain.from_iterable(split)), np.int64, int(many.sum()))
         ends = np.r_[0, np.cumsum(many)]
         of_part = np.frombuffer(self.part_sums, np.int64).reshape(-1, 5)
         added = np.stack([sums(of_part[part, i], ends) for i in range(5)], axis=1)
@@ -288,10 +292,10 @@ class Chunk:
         seen, doc = windows_of_part[at], np.repeat(doc_of, length)
         cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
         # documents of each pair: a document's different windows, then their different pairs
-        both = np.unique(doc * len(self.number) + seen) if len(seen) else np.zeros(0, np.int64)
+        both = _different(doc * len(self.number) + seen)
         at, length = _gather(np.frombuffer(self.cuts, np.int64), both % max(1, len(self.number)))
-        found = np.unique(np.repeat(both // max(1, len(self.number)), length) * max(1, len(self.pair))
-                          + np.frombuffer(self.pairs, np.int32)[at]) if len(at) else at
+        found = _different(np.repeat(both // max(1, len(self.number)), length) * max(1, len(self.pair))
+                           + np.frombuffer(self.pairs, np.int32)[at])
         counted = np.bincount(found % max(1, len(self.pair)), minlength=len(self.pair))
         counted[:len(self.docs)] += self.docs
         self.docs = counted
@@ -308,6 +312,12 @@ def _gather(cuts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.repeat(starts - (np.cumsum(many) - many), many) + np.arange(many.sum()), many
 
 
+def _different(values: np.ndarray) -> np.ndarray:
+    """The different values in order. Sorting beats the hash table of np.unique here."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
 def sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     total = np.r_[0, np.cumsum(values.astype(np.int64))]
     return total[cuts[1:]] - total[cuts[:-1]]
@@ -355,8 +365,8 @@ def _chunk_rows(docs: DataFrame, byte_file: str, piece_file: str, sizes: Sizes)
                        times=[chunk.times.tobytes()])
 
         number, chunk = TaskContext.get().partitionId() << 32, None
-        for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+        for some in (b.slice(i, AT_ONCE) for b in batches for i in range(0, b.num_rows, AT_ONCE)):
+            ids, texts = some.column(0), [t or "" for t in some.column(1).to_pylist()]
             ids_type = ids.type
             for begin, end in _together(texts, 8 * sizes.together):
                 chunk = chunk or Chunk()
