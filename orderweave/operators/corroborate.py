@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -13,6 +14,7 @@ from orderweave.operators.allocate import allocate_requests, next_inventory, nex
 from orderweave.operators.counts import request_count
 from orderweave.operators.ordering import CELL_WIDTH, step_across, step_inside
 from orderweave.schemas import CREDIT, DEBIT, EXECUTED
+from orderweave.session import materialize
 
 
 def snapshot_compare(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
@@ -102,23 +104,129 @@ def count_reconcile(request: DataFrame) -> DataFrame:
     )
 
 
-def state_checksum(table: DataFrame, key: str, columns: Sequence[str], buckets: int = 16) -> DataFrame:
-    """Fingerprint per key bucket: row count and, as text, the sum of the leading 60 bits of each row's SHA-256.
-
-    Each value is written with its length before it, and null as a dash, so different rows never read alike. The sum does
-    not depend on row order, so partial sums combine on the map side and only ``buckets`` rows travel.
-    """
+def row_digest(key: str, columns: Sequence[str]) -> Column:
+    """SHA-256 of a row. Each value is written with its length before it, and null as a dash, so different rows never read alike."""
     def written(column: str) -> Column:
         value = F.col(column).cast("string")
         return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
 
-    digest = F.sha2(F.concat(*[written(c) for c in (key, *columns)]), 256)
-    leading = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
+    return F.sha2(F.concat(*[written(c) for c in (key, *columns)]), 256)
+
+
+def _leading(digest: Column) -> Column:
+    """The leading 60 bits of a digest as a number that can be summed."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
+
+
+def state_checksum(table: DataFrame, key: str, columns: Sequence[str], buckets: int = 16) -> DataFrame:
+    """Fingerprint per key bucket: row count and, as text, the sum of the leading 60 bits of each row's SHA-256.
+
+    The sum does not depend on row order, so partial sums combine on the map side and only ``buckets`` rows travel.
+    """
     return table.groupBy(F.pmod(key, F.lit(buckets)).cast("long").alias("bucket")).agg(
-        F.count("*").alias("n"), F.sum(leading).cast("string").alias("checksum")
+        F.count("*").alias("n"), F.sum(_leading(row_digest(key, columns))).cast("string").alias("checksum")
     )
 
 
+#: Hexadecimal digits of the key's hash that a level of the hash tree goes on, and rows that a leaf should hold.
+TREE_STEP = 2
+LEAF_ROWS = 64
+
+
+@dataclass(frozen=True)
+class HashTree:
+    """Levels of fingerprints over one table, from the root's children down to leaves of few rows.
+
+    ``rows`` is (key, place, d0, d1, d2): the hash of the key decides the place, three numbers of 60 bits of the row's digest are what
+    is summed. A node is a prefix of the place; ``levels`` holds (node, n, s0, s1, s2) for each length of prefix, each level made
+    from the one below it, so the table is read and shuffled once.
+    """
+
+    key: str
+    rows: DataFrame
+    levels: tuple[DataFrame, ...]
+
+
+_SUMS = ("s0", "s1", "s2")
+
+
+def tree_depth(rows: int) -> int:
+    """Levels that a table of so many rows needs for leaves of about ``LEAF_ROWS``: it follows the data and has no top."""
+    depth, leaves = 1, 16 ** TREE_STEP
+    while leaves * LEAF_ROWS < rows:
+        depth, leaves = depth + 1, leaves * 16 ** TREE_STEP
+    return depth
+
+
+def hash_tree(table: DataFrame, key: str, columns: Sequence[str], depth: int) -> HashTree:
+    """The tree of a table of ``depth`` levels; two tables are compared by trees of one depth.
+
+    A null key has a place too. Every level is written to the shared folder.
+    """
+    digest = row_digest(key, columns)
+    place = F.substring(F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("")), 256), 1, TREE_STEP * depth)
+    parts = [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)").alias(f"d{i}") for i in range(3)]
+    rows = materialize(table.select(key, place.alias("place"), *parts), "tree-rows")
+    level = rows.groupBy(F.col("place").alias("node")).agg(
+        F.count("*").alias("n"), *[F.sum(f"d{i}").alias(c) for i, c in enumerate(_SUMS)])
+    levels = [materialize(level, "tree-level")]
+    for shorter in range(depth - 1, 0, -1):
+        above = levels[0].groupBy(F.substring("node", 1, TREE_STEP * shorter).alias("node")).agg(
+            F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in _SUMS])
+        levels.insert(0, materialize(above, "tree-level"))
+    return HashTree(key, rows, tuple(levels))
+
+
+def _differing(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Nodes whose count or sums are not the same in both, or that only one has."""
+    fields = ["n", *_SUMS]
+    old = left.select("node", F.struct(*fields).alias("old"))
+    new = right.select("node", F.struct(*fields).alias("new"))
+    return old.join(new, "node", "full_outer").where(~F.col("old").eqNullSafe(F.col("new"))).select("node")
+
+
+def tree_levels(left: HashTree, right: HashTree) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
+    """For each level the nodes read of both trees, and those that differ: only children of differing nodes are read."""
+    found, above = [], None
+    for mine, other in zip(left.levels, right.levels, strict=True):
+        if above is not None:
+            parent = F.expr(f"substring(node, 1, length(node) - {TREE_STEP})")
+            mine, other = (
+                level.withColumn("__above", parent).join(above.withColumnRenamed("node", "__above"), "__above", "left_semi")
+                .drop("__above") for level in (mine, other))
+        above = materialize(_differing(mine, other), "tree-differs")
+        found.append((mine, other, above))
+    return found
+
+
+def tree_diff(left: HashTree, right: HashTree) -> DataFrame:
+    """(key, change): keys ``added``, ``removed`` or ``changed`` from left to right. Keys are unique in each table.
+
+    Below the last level only the rows of differing leaves are met with each other.
+    """
+    leaves = tree_levels(left, right)[-1][2].withColumnRenamed("node", "place")
+    fields = F.struct("d0", "d1", "d2")
+    old = left.rows.join(leaves, "place", "left_semi").select(left.key, fields.alias("old"))
+    new = right.rows.join(leaves, "place", "left_semi").select(left.key, fields.alias("new"))
+    both = old.withColumn("__key", F.col(left.key)).drop(left.key).join(
+        new.withColumn("__other", F.col(left.key)).drop(left.key), F.col("__key").eqNullSafe(F.col("__other")), "full_outer")
+    change = (F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed")
+              .when(F.col("old") != F.col("new"), "changed"))
+    return both.select(F.coalesce("__key", "__other").alias(left.key), change.alias("change")).where("change IS NOT NULL")
+
+
+def tree_reads(left: HashTree, right: HashTree) -> DataFrame:
+    """(level, nodes, read, differing): what a comparison reads of each level."""
+    out = None
+    for number, (level, (mine, other, differs)) in enumerate(
+            zip(left.levels, tree_levels(left, right), strict=True), start=1):
+        row = level.agg(F.count("*").alias("nodes")).select(F.lit(number).alias("level"), "nodes").join(
+            mine.agg(F.count("*").alias("read")).select(F.lit(number).alias("level"), "read"), "level").join(
+            differs.agg(F.count("*").alias("differing")).select(F.lit(number).alias("level"), "differing"), "level")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def checksum_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Buckets in which two fingerprints differ."""
     return snapshot_compare(left, right, "bucket")

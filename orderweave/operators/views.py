@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderweave.functions.numbers import request_cost
-from orderweave.session import materialize
+from orderweave.operators.ordering import ROWS_PER_RANGE
+from orderweave.session import materialize, scratch, small_side
 
 REQUEST_PAGE_SIZES = (5, 50, 100, -1)
 INVENTORY_PAGE_SIZES = (5, 10, 15, -1)
@@ -64,10 +67,39 @@ def enrich_requests(request: DataFrame, inventory: DataFrame, product: DataFrame
 
 
 def page(df: DataFrame, order: str, key: str, number: int, size: int, descending: bool = False) -> DataFrame:
-    """Page ``number`` (from 0) of ``df`` sorted on any column; the key breaks ties. Size -1 is everything."""
+    """Page ``number`` (from 0) of ``df`` sorted on any column; the key breaks ties. Size -1 is everything.
+
+    The rows are put into ranges of the order and the ranges are counted, so the rank of a range's first row is known. Only the
+    ranges that hold the page are sorted, whatever the page number; no task gathers the rows before the page. Rows that
+    are equal in order and key fall into one range, where a stored row number tells them apart.
+    """
     first = F.col(order).desc() if descending else F.col(order).asc()
-    ranked = df.orderBy(first, F.col(key))
-    return ranked if size < 0 else ranked.offset(number * size).limit(size)
+    if size < 0:
+        return df.orderBy(first, F.col(key))
+    spark = df.sparkSession
+    came = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "page-rows")
+    sorting = [first, F.col(key), F.col("__row")]
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-came.count() // ROWS_PER_RANGE))
+    path = scratch(spark, "page-ranges")
+    # the number of a range is fixed by writing it, and reading one range reads its folder only
+    came.repartitionByRange(ranges, *sorting).withColumn("__range", F.spark_partition_id()).write.partitionBy(
+        "__range").parquet(path)
+    layout = T.StructType([*came.schema.fields, T.StructField("__range", T.IntegerType())])
+    ranged = spark.read.schema(layout).parquet(path)
+    begin, end = number * size, (number + 1) * size
+    before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    bases = (
+        ranged.groupBy("__range").agg(F.count("*").alias("__n"))  # one row for each range
+        .withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .where((F.col("__base") < end) & (F.col("__base") + F.col("__n") > begin))
+    )
+    held = ranged.join(small_side(bases, "page-bases"), "__range")
+    inside = W.partitionBy("__range").orderBy(*sorting)
+    rank = F.col("__base") + F.row_number().over(inside) - 1
+    return (
+        held.withColumn("__rank", rank).where((F.col("__rank") >= begin) & (F.col("__rank") < end))
+        .orderBy("__rank").select(*df.columns)
+    )
 
 
 def page_after(df: DataFrame, order: str, key: str, size: int, last: tuple | None = None,

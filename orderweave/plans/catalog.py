@@ -969,6 +969,21 @@ def _(t):
         "differs", F.col("before_sum") != F.col("after_sum"))
 
 
+@query("state_tree_diff", """
+SELECT coalesce(b.product_id, a.product_id) AS product_id,
+       CASE WHEN b.product_id IS NULL THEN 'added' WHEN a.product_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM product b FULL JOIN product_next a USING (product_id)
+WHERE b.product_id IS NULL OR a.product_id IS NULL OR b.code IS DISTINCT FROM a.code
+   OR b.description IS DISTINCT FROM a.description OR b.price IS DISTINCT FROM a.price""")
+def _(t):
+    """Which products an update changed, found by hash trees of the two versions."""
+    columns = ["code", "description", "price"]
+    before, after = t.product(), _product_next(t)
+    depth = corroborate.tree_depth(before.count())
+    trees = (corroborate.hash_tree(df, "product_id", columns, depth) for df in (before, after))
+    return corroborate.tree_diff(*trees)
+
+
 @query("sequence_gaps", """
 SELECT l_orderkey, 'duplicate' AS kind, CAST(l_linenumber AS BIGINT) AS first_seq, CAST(l_linenumber AS BIGINT) AS last_seq, count(*) AS n
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1

@@ -91,6 +91,20 @@ def test_pages_cover_the_table_once(spark, tables):
     assert together == [r.inventory_id for r in views.page_inventories(view, "qty", size=-1).collect()]
 
 
+def test_pages_by_rank(spark):
+    """Ties, nulls, repeated keys, pages across ranges and behind the end; nothing gathers the rows before a page."""
+    rows = [(i % 90, i % 5 if i % 7 else None, f"t{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, o int, t string").repartition(3)
+    for descending in (False, True):
+        want = [(r.o, r.k) for r in views.page(df, "o", "k", 0, -1, descending).collect()]
+        got = [views.page(df, "o", "k", n, 45, descending) for n in range(6)]
+        assert [(r.o, r.k) for page in got for r in page.collect()] == want
+        assert got[5].count() == 0
+    plan = got[4]._jdf.queryExecution().toString()
+    assert "Offset" not in plan and "Limit" not in plan
+    assert views.page(df.where("false"), "o", "k", 0, 5).count() == 0
+
+
 @pytest.mark.parametrize("width", [1, 3, 1000])
 def test_ordered_index_does_not_depend_on_the_cells(spark, width):
     df = spark.createDataFrame([("a" if i % 3 else "b", i * 7 - 50) for i in range(60)], "k string, o long")
@@ -170,6 +184,29 @@ def test_snapshot_faults_are_found(spark):
     assert corroborate.checksum_diff(left, again).count() == 0
 
 
+def test_hash_tree_reads_differing_branches_only(spark):
+    """One changed row in 50,000: one node of each level differs, and below the first level only its 256 children are read."""
+    before = spark.range(50_000).select(F.col("id"), (F.col("id") * 7).alias("v")).repartition(3)
+    after = before.withColumn("v", F.when(F.col("id") == 31_337, F.lit(0)).otherwise(F.col("v")))
+    assert [corroborate.tree_depth(n) for n in (0, 16_384, 16_385, 10**9, 10**13)] == [1, 1, 2, 3, 5]
+    left, right = (corroborate.hash_tree(df, "id", ["v"], 2) for df in (before, after))
+    assert [tuple(r) for r in corroborate.tree_diff(left, right).collect()] == [(31_337, "changed")]
+    levels = {r.level: (r.read, r.differing) for r in corroborate.tree_reads(left, right).collect()}
+    assert levels[1] == (256, 1) and levels[2][0] <= 256 and levels[2][1] == 1
+    assert corroborate.tree_diff(left, left).count() == 0
+
+
+def test_hash_tree_of_odd_rows(spark):
+    before = spark.createDataFrame([(None, "n"), (1, "a"), (2, None), (3, "")], "id long, t string")
+    after = spark.createDataFrame([(None, "m"), (2, ""), (3, ""), (4, "d")], "id long, t string")
+    trees = [corroborate.hash_tree(df, "id", ["t"], 1) for df in (before, after, before.where("false"))]
+    assert {tuple(r) for r in corroborate.tree_diff(*trees[:2]).collect()} == {
+        (None, "changed"), (1, "removed"), (2, "changed"), (4, "added")}
+    assert {tuple(r) for r in corroborate.tree_diff(trees[2], trees[0]).collect()} == {
+        (i, "added") for i in (None, 1, 2, 3)}
+    assert corroborate.tree_diff(trees[2], trees[2]).count() == 0
+
+
 @pytest.mark.parametrize("media", ["json", "xml", "csv"])
 def test_report_round_trip(spark, tables, media):
     path = scratch(spark, media)
