@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orderweave.functions.rules import Rule, violations
 from orderweave.operators.allocate import allocate_requests, next_inventory, next_person
 from orderweave.operators.counts import request_count
-from orderweave.operators.ordering import CELL_WIDTH, step_across, step_inside
+from orderweave.operators.ordering import ROWS_PER_RANGE, with_previous
 from orderweave.schemas import CREDIT, DEBIT, EXECUTED
 from orderweave.session import materialize
 
@@ -232,27 +232,23 @@ def checksum_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return snapshot_compare(left, right, "bucket")
 
 
-def sequence_gaps(events: DataFrame, key: str, seq: str, width: int = CELL_WIDTH) -> DataFrame:
+def sequence_gaps(events: DataFrame, key: str, seq: str, range_rows: int = ROWS_PER_RANGE) -> DataFrame:
     """Missing and repeated sequence numbers per entity: (key, kind, first_seq, last_seq, n).
 
     For a gap ``n`` is the number of missing values, for a duplicate the number of occurrences.
     """
     numbered = events.where(F.col(seq).isNotNull()).select(key, F.col(seq).cast("long").alias("__seq"))
     tallied = numbered.groupBy(key, "__seq").agg(F.count("*").alias("__n"))
-    within, between = step_inside(tallied, key, "__seq", width), step_across(numbered, key, "__seq", width)
+    here, previous = F.col("__seq"), F.col("previous")
 
     def finding(test: Column, kind: str, first: Column, last: Column, n: Column) -> Column:
         return F.when(test, F.struct(F.lit(kind).alias("kind"), first.alias("first_seq"), last.alias("last_seq"),
                                      n.alias("n")))
 
-    def gap(previous: Column, current: Column) -> Column:
-        return finding(current - previous > 1, "gap", previous + 1, current - 1, current - previous - 1)
-
-    here, previous = F.col("__seq"), F.col("previous")
     repeat = finding(F.col("__n") > 1, "duplicate", here, here, F.col("__n"))
-    inside = within.select(key, F.explode(F.array_compact(F.array(repeat, gap(previous, here)))).alias("f"))
-    across = between.select(key, gap(previous, F.col("current")).alias("f")).where(F.col("f").isNotNull())
-    return inside.unionByName(across).select(key, "f.*")
+    gap = finding(here - previous > 1, "gap", previous + 1, here - 1, here - previous - 1)
+    stepped = with_previous(tallied, key, "__seq", range_rows)
+    return stepped.select(key, F.explode(F.array_compact(F.array(repeat, gap))).alias("f")).select(key, "f.*")
 
 
 def invariant_violations(checks: Sequence[tuple[DataFrame, str, Sequence[Rule]]]) -> DataFrame:

@@ -45,30 +45,28 @@ def ordered_index(df: DataFrame, keys: Sequence[str], order: str, out: str = "id
     )
 
 
-def step_inside(values: DataFrame, key: str, order: str, width: int = CELL_WIDTH) -> DataFrame:
-    """``previous``: the value of ``order`` before each row, null for the first row of a cell.
+def with_previous(values: DataFrame, key: str, order: str, range_rows: int = ROWS_PER_RANGE) -> DataFrame:
+    """Adds ``previous``: the value of ``order`` before each row among the rows of its key, null for the first.
 
-    ``values`` holds each (key, order) once, so a cell has at most ``width`` rows.
+    ``values`` holds each (key, order) once. Ranges of (key, order) hold about ``range_rows`` rows however far apart the values
+    are, so a hot key with sparse values spreads too. Inside a range it is a window; between ranges of a key the
+    largest value of the range before is carried, one row for each. The numbers of ranges are fixed by writing them.
     """
-    inside = W.partitionBy(key, "__cell").orderBy(order)
-    return (
-        values.withColumn("__cell", cell_of(order, width))
-        .withColumn("previous", F.lag(order).over(inside)).drop("__cell")
+    spark = values.sparkSession
+    came = materialize(values, "unordered")
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-came.count() // range_rows))
+    ranged = materialize(
+        came.repartitionByRange(ranges, key, order).withColumn("__range", F.spark_partition_id()), "ordered")
+    ahead = W.partitionBy("__of").orderBy("__at")
+    ends = (
+        ranged.groupBy(F.col(key).alias("__of"), F.col("__range").alias("__at")).agg(F.max(order).alias("__hi"))
+        .withColumn("__before", F.lag("__hi").over(ahead)).drop("__hi")
     )
-
-
-def step_across(values: DataFrame, key: str, order: str, width: int = CELL_WIDTH) -> DataFrame:
-    """(key, previous, current) for the steps from one cell of a key to the next.
-
-    Only the ends of the cells matter, so repeated values do no harm and everything combines on the map side.
-    """
-    across = W.partitionBy(key).orderBy("__cell")
+    inside = F.lag(order).over(W.partitionBy(key, "__range").orderBy(order))
+    same = F.col(key).eqNullSafe(F.col("__of")) & (F.col("__range") == F.col("__at"))
     return (
-        values.withColumn("__cell", cell_of(order, width)).groupBy(key, "__cell")
-        .agg(F.min(order).alias("current"), F.max(order).alias("__hi"))
-        .withColumn("previous", F.lag("__hi").over(across))
-        .where(F.col("previous").isNotNull())
-        .select(key, "previous", "current")
+        ranged.withColumn("__inside", inside).join(ends, same)
+        .select(*values.columns, F.coalesce("__inside", "__before").alias("previous"))
     )
 
 

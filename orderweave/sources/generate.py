@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderweave.functions.numbers import mix_id32
-from orderweave.operators.ordering import ordered_index
+from orderweave.operators.ordering import running_total
 from orderweave.schemas import CREDIT, INVENTORY, PENDING, PERSON, PRODUCT, REQUEST
 
 # The start data of a fresh installation.
@@ -58,8 +58,8 @@ def gen_requests(spark: SparkSession, person: DataFrame, product: DataFrame, n:
     """
     if n <= 0 or max_qty <= 0:
         raise ValueError("the number of requests and the largest quantity must be positive")
-    persons = ordered_index(person.select("person_id"), [], "person_id", "p_at")
-    products = ordered_index(product.select("product_id"), [], "product_id", "g_at")
+    persons = running_total(person.select("person_id"), ["person_id"], "p_at")
+    products = running_total(product.select("product_id"), ["product_id"], "g_at")
     row = F.col("id")
     words = spark.range(n).select(row, *[word(row, seed + i).alias(f"w{i}") for i in range(3)])
     drawn = words.select(
@@ -90,8 +90,8 @@ def gen_inventory(product: DataFrame, qty: int) -> DataFrame:
 def seed_requests(spark: SparkSession, person: DataFrame, product: DataFrame, groups: int,
                   per_group: int = SEED_PER_GROUP, qty: int = SEED_QTY, seed: int = 7) -> DataFrame:
     """``groups`` x ``per_group`` requests; a group shares one random product, each row has its own random person."""
-    persons = ordered_index(person.select("person_id"), [], "person_id", "p_at")
-    products = ordered_index(product.select("product_id"), [], "product_id", "g_at")
+    persons = running_total(person.select("person_id"), ["person_id"], "p_at")
+    products = running_total(product.select("product_id"), ["product_id"], "g_at")
     row = F.col("id")
     group = F.expr(f"id div {per_group}")
     words = spark.range(groups * per_group).select(

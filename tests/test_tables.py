@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderweave import schemas as S
 from orderweave.operators import corroborate, counts, filters, lag, mutate, records, views
-from orderweave.operators.ordering import ordered_index
+from orderweave.operators.ordering import ordered_index, running_total
 from orderweave.session import materialize, scratch
 from orderweave.sources import generate, reports
 from orderweave.sources.snapshots import LogSchemaError, SnapshotStore
@@ -121,6 +121,15 @@ def test_gaps_do_not_depend_on_the_cells(spark, width):
     assert got == {("a", "duplicate", 2, 2, 2), ("a", "duplicate", 9, 9, 3), ("a", "gap", 3, 4, 2), ("a", "gap", 6, 8, 3)}
 
 
+def test_gaps_of_a_hot_sparse_key(spark):
+    """Values far apart on one key: no task reads much more than a range of rows."""
+    df = spark.range(4000).select(F.lit(1).alias("k"), (F.col("id") * 10**12).alias("s"))
+    got = corroborate.sequence_gaps(df.unionByName(spark.createDataFrame([(None, 3), (None, 5)], "k int, s long")), "k", "s", 100)
+    rows = got.collect()
+    assert len(rows) == 4000 and {r.n for r in rows if r.k == 1} == {10**12 - 1}
+    assert [tuple(r) for r in rows if r.k is None] == [(None, "gap", 4, 4, 1)]
+
+
 def lag_set(spark):
     """Three partitions of ten records; two groups with their own commits and thresholds."""
     rows = [("t", p, 10) for p in range(3)]
@@ -234,6 +243,16 @@ def test_generated_requests(spark, tables):
     assert generate.gen_requests(spark, tables.person(), tables.product(), 5, 5, existing=fresh, replace=True).count() == 5
 
 
+def test_sparse_parents_are_drawn_without_one_task(spark):
+    """Ids far apart: every id in a value cell of its own would gather all rows in one task."""
+    person = spark.range(300).select((F.col("id") * 10**9 - 5).alias("person_id"))
+    product = spark.range(7).select((F.col("id") * 10**15).alias("product_id"))
+    drawn = generate.gen_requests(spark, person, product, 2000, 5)
+    assert drawn.select("person_id").distinct().count() > 250 and drawn.select("product_id").distinct().count() == 7
+    at = running_total(person, ["person_id"], "at").orderBy("person_id").collect()
+    assert [r.at for r in at] == list(range(300))
+
+
 def test_draws_are_uniform(spark):
     words = spark.range(20000).select(generate.word(F.col("id"), 3).alias("w"))
     n = [r["count"] for r in words.groupBy(generate.draw("w", 10).alias("d")).count().collect()]
