@@ -71,7 +71,7 @@ def page(df: DataFrame, order: str, key: str, number: int, size: int, descending
 
     The rows are put into ranges of the order and the ranges are counted, so the rank of a range's first row is known. Only the
     ranges that hold the page are sorted, whatever the page number; no task gathers the rows before the page. Rows that
-    are equal in order and key fall into one range, where a stored row number tells them apart.
+    are equal in order and key are told apart by a stored row number.
     """
     first = F.col(order).desc() if descending else F.col(order).asc()
     if size < 0:
