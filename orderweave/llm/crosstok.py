@@ -24,6 +24,7 @@ document of its own, repeated ids and texts too; a null id stays null; an empty
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import re
@@ -50,6 +51,8 @@ SPACE = "▁"
 WRITTEN_OUT = 64
 #: Rows of a batch that are Python strings at one time.
 AT_ONCE = 500
+#: Windows of documents that are added up at one time.
+ADDED_AT_ONCE = 1 << 19
 #: Between the ids of A and of B in the key of a window; no id is -1.
 BETWEEN = b"\xff" * 4
 
@@ -119,6 +122,16 @@ def written_ids(size: int) -> tuple[list[str], np.ndarray]:
     return table, np.fromiter(map(len, table), np.int64, len(table))
 
 
+def give_back() -> None:
+    """What the encoding step left in a worker that Spark uses again: tokenizers, their tables and freed memory."""
+    tokenizers.cache_clear()
+    written_ids.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library; others have none
+    if trim:
+        trim(0)
+
+
 def parts_of(text: str, cut: bool = True) -> list[str]:
     """The text cut at single spaces between other characters; these spaces are left out."""
     return CUT.split(text) if cut else [text]
@@ -392,7 +405,8 @@ def _totals(pairs: DataFrame) -> DataFrame:
 
 
 def _add_up(key, docs: pa.Table, known: pa.Table) -> pa.Table:
-    """Sums of one chunk's documents from the totals of its pairs."""
+    """Sums of one chunk's documents from the totals of its pairs, some documents at a time."""
+    give_back()
     keep = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
     table = known.filter(pc.is_valid(known.column("cuts")))
     pairs = known.filter(pc.is_valid(known.column("idx")))
@@ -401,12 +415,20 @@ def _add_up(key, docs: pa.Table, known: pa.Table) -> pa.Table:
     total, best = (np.zeros(int(of.max(initial=-1)) + 1, np.int64) for _ in range(2))
     total[idx], best[idx] = pairs.column("n").to_numpy(), pairs.column("best").to_numpy(zero_copy_only=False)
     n_best, count_sum = (sums(times * x[of], cuts) for x in (best, total))
-    windows = [np.frombuffer(w.as_py(), "<i4") for w in docs.column("windows")]
-    at = np.r_[0, np.cumsum([len(w) for w in windows])]
-    seen = np.concatenate([np.zeros(0, np.int32), *windows])
+    stored = docs.column("windows").combine_chunks()
+    ends = np.r_[0, np.cumsum(pc.binary_length(stored).to_numpy(zero_copy_only=False))] // 4
+    found = np.zeros((2, len(stored)), np.int64)
+    begin = 0
+    while begin < len(stored):
+        # one document at least, however long
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + ADDED_AT_ONCE, side="right")) - 1)
+        seen = np.frombuffer(b"".join(stored.slice(begin, end - begin).to_pylist()), "<i4")
+        at = ends[begin:end + 1] - ends[begin]
+        found[:, begin:end] = sums(n_best[seen], at), sums(count_sum[seen], at)
+        begin = end
     return pa.table({
-        **{c: docs.column(c) for c in keep}, "n_best": pa.array(sums(n_best[seen], at), pa.int64()),
-        "count_sum": pa.array(sums(count_sum[seen], at), pa.int64()), "groups_sha256": docs.column("groups_sha256")})
+        **{c: docs.column(c) for c in keep}, "n_best": pa.array(found[0], pa.int64()),
+        "count_sum": pa.array(found[1], pa.int64()), "groups_sha256": docs.column("groups_sha256")})
 
 
 def _stored_chunks(docs: DataFrame, byte_file: str, piece_file: str, sizes: Sizes) -> DataFrame:

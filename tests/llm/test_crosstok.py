@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from fixtures import TABLES, empty, frame, passage, stored, texts
@@ -92,6 +93,19 @@ def test_same_as_token_by_token(spark, both, sizes):
     assert {(r.a, r.b): r.n for r in pairs} == count
 
 
+def test_documents_added_up_one_at_a_time(spark, both, monkeypatch):
+    """Blocks of documents end anywhere; a document that is larger than a block, or has no windows, is one too."""
+    rows = short_rows()
+    docs = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    stored = crosstok._stored_chunks(docs, BYTE_TOKENIZER, PIECE_MODEL, crosstok.Sizes()).toArrow()
+    known = stored.filter(pc.not_equal(stored["kind"], "doc"))
+    known = known.append_column("best", pc.equal(known["n"], 1))
+    documents = stored.filter(pc.equal(stored["kind"], "doc"))
+    want = crosstok._add_up(None, documents, known).to_pylist()
+    monkeypatch.setattr(crosstok, "ADDED_AT_ONCE", 7)
+    assert crosstok._add_up(None, documents, known).to_pylist() == want and len(want) == len(rows)
+
+
 def test_groups_as_rows(spark, both):
     rows = short_rows()[-12:]
     got = crosstok.token_groups(frame(spark, rows), BYTE_TOKENIZER, PIECE_MODEL).collect()
