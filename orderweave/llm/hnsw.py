@@ -2,11 +2,13 @@
 
 Vectors are compared inside a label only. Equal vectors are one node with a count. The nodes of a label are dealt into
 shards of about ``SHARD`` nodes, and each shard builds its graph: layers of fewer and fewer nodes, whose links are chosen
-so that they lead in different directions. Each pair of shards of a label is then one task that searches all nodes of either
+so that they lead in different directions. Each pair of shards of a label is then one task that searches all nodes of one
 shard in the graph of the other: from the top layer down, and in the lowest layer by a beam. A query whose beam is
-full of links is searched again with twice the beam. Every hundredth query is also compared by brute force; if less than
-``RECALL`` of its links were found, all queries of the task get twice the beam, until the audit passes (a beam as wide as the
-shard is exact). Cosines are computed in double precision, so every link reported is one.
+full of links is searched again with twice the beam. A hundredth of the queries, or more until 32 of them have links, is also compared by
+brute force; if a query with links found less than ``RECALL`` of them on average, so that a large group cannot hide sparse queries, all
+queries of the task get twice the beam, until the audit passes (a beam as wide as the shard is exact). The nodes of the other shard are
+audited against the links found; only if that fails they are searched too. Cosines are computed in double precision, so every
+link reported is one.
 
 A task holds two shards whatever the label's size, returns its links as spanning trees and as counts for each node, and the trees are
 joined by `components`.
@@ -36,7 +38,8 @@ SHARD = 16_384
 LINKS, UPPER_LINKS = 32, 16
 BUILD_BEAM, SEARCH_BEAM = 64, 48
 RECALL = 0.98
-AUDIT_EVERY = 100
+#: A hundredth of the queries is audited, and more of them until so many of the audited have links.
+AUDIT_EVERY, AUDIT_LINKED = 100, 32
 #: Nodes inserted, and queries searched, together; nodes of a beam expanded at a time.
 BATCH, STEP = 256, 4
 #: Cells of the matrix of links that are unpacked at a time.
@@ -56,13 +59,13 @@ def _beam(x: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarr
     """
     n = len(queries)
     rows = np.arange(n)
-    seen = np.zeros((n, len(x) + 1), bool)
-    seen[:, -1] = True  # the place of missing links
+    # for each query and node, in one row
+    seen, claim = np.zeros(n * len(x), bool), np.empty(n * len(x), np.int32)
     nodes = np.full((n, width), -1)
     cosine = np.full((n, width), -np.inf)
     done = np.ones((n, width), bool)
     nodes[:, 0], cosine[:, 0], done[:, 0] = entry, (x[entry] * queries).sum(axis=1), False
-    seen[rows, entry] = True
+    seen[rows * len(x) + entry] = True
     if note:
         note(rows, entry[:, None], cosine[:, :1])
     active = rows
@@ -76,29 +79,31 @@ def _beam(x: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarr
         pick = open_ & (turn <= STEP)
         done[active] |= pick
         at, place = np.nonzero(pick)
-        near = np.full((len(active), STEP, links.shape[1]), -1)
-        near[at, turn[at, place] - 1] = links[nodes[active[at], place]]
-        near = near.reshape(len(active), -1)
-        fresh = ~seen[active[:, None], near]
-        # a node may be a link of several that are expanded together
-        order = np.sort(near, axis=1)
-        if (order[:, 1:] == order[:, :-1]).any():
-            rank = np.argsort(near, axis=1, kind="stable")
-            ordered = np.take_along_axis(near, rank, axis=1)
-            again = np.zeros_like(fresh)
-            np.put_along_axis(again, rank[:, 1:], ordered[:, 1:] == ordered[:, :-1], axis=1)
-            fresh &= ~again
-        near = np.where(fresh, near, -1)
+        listed = links[nodes[active[at], place]]
+        of, c = np.nonzero(listed >= 0)
+        local, node = at[of], listed[of, c]
+        cell = active[local] * len(x) + node
+        fresh = ~seen[cell]
+        local, node, cell = local[fresh], node[fresh], cell[fresh]
+        # a node may be a link of several that are expanded together: the last to claim it has it
+        turn = np.arange(len(cell), dtype=np.int32)
+        claim[cell] = turn
+        mine = claim[cell] == turn
+        local, node, cell = local[mine], node[mine], cell[mine]
+        seen[cell] = True
+        many = np.bincount(local, minlength=len(active))
+        c = np.arange(len(local)) - np.repeat(np.cumsum(many) - many, many)
+        near = np.full((len(active), int(many.max())), -1)
+        near[local, c] = node
         found = np.full(near.shape, -np.inf)
-        r, c = np.nonzero(fresh)
-        found[r, c] = np.einsum("ij,ij->i", x[near[r, c]], queries[active[r]])
-        seen[active[r], near[r, c]] = True
+        found[local, c] = np.einsum("ij,ij->i", x[node], queries[active[local]])
         if note:
             note(active, near, found)
         all_nodes = np.concatenate([nodes[active], near], axis=1)
         all_cosine = np.concatenate([cosine[active], found], axis=1)
-        all_done = np.concatenate([done[active], ~fresh], axis=1)
-        best = np.argsort(-all_cosine, axis=1, kind="stable")[:, :width]
+        all_done = np.concatenate([done[active], near < 0], axis=1)
+        best = np.argpartition(-all_cosine, width - 1, axis=1)[:, :width]
+        best = np.take_along_axis(best, np.argsort(-np.take_along_axis(all_cosine, best, axis=1), axis=1), axis=1)
         nodes[active] = np.take_along_axis(all_nodes, best, axis=1)
         cosine[active] = np.take_along_axis(all_cosine, best, axis=1)
         done[active] = np.take_along_axis(all_done, best, axis=1)
@@ -127,6 +132,7 @@ def _layer(x: np.ndarray, order: np.ndarray, m: int, entries) -> np.ndarray:
     """
     room = m + m // 2
     links = np.full((len(x) + 1, room), -1)
+    degree = np.zeros(len(x), np.int64)
     for begin in range(0, len(order), BATCH):
         new = order[begin:begin + BATCH]
         inside = x[new] @ x[new].T
@@ -143,36 +149,43 @@ def _layer(x: np.ndarray, order: np.ndarray, m: int, entries) -> np.ndarray:
         if not nodes.shape[1]:
             continue
         links[new, :m] = _spread(x, nodes, cosine, m)
-        # links back; nodes with too many choose again
+        # links back, into free places; a list may hold a node of the same batch already
+        degree[new] = (links[new, :m] >= 0).sum(axis=1)
         source, target = np.repeat(new, m), links[new, :m].ravel()
         source, target = source[target >= 0], target[target >= 0]
-        touched = np.unique(target)
-        old_from, old_to = np.repeat(touched, room), links[touched].ravel()
-        pairs = np.unique(np.r_[target, old_from[old_to >= 0]] * len(x) + np.r_[source, old_to[old_to >= 0]])
-        a, b = pairs // len(x), pairs % len(x)
-        near = np.einsum("ij,ij->i", x[a], x[b])
-        by = np.lexsort((-near, a))
-        a, b, near = a[by], b[by], near[by]
-        first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
-        rank = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)]))
-        fits = rank < 2 * m
-        row = np.searchsorted(touched, a[fits])
-        nodes, cosine = np.full((len(touched), 2 * m), -1), np.full((len(touched), 2 * m), -np.inf)
-        nodes[row, rank[fits]], cosine[row, rank[fits]] = b[fits], near[fits]
-        links[touched] = nodes[:, :room]
-        full = np.flatnonzero(nodes[:, room] >= 0)
-        for part in range(0, len(full), BATCH):
-            at = full[part:part + BATCH]
-            links[touched[at], :m], links[touched[at], m:] = _spread(x, nodes[at], cosine[at], m), -1
-    # lists beyond m links are in order, best first
+        fresh = ~(links[target] == source[:, None]).any(axis=1)
+        by = np.argsort(target[fresh], kind="stable")
+        source, target = source[fresh][by], target[fresh][by]
+        touched, first, many = np.unique(target, return_index=True, return_counts=True)
+        place = degree[target] + np.arange(len(target)) - np.repeat(first, many)
+        fits = np.repeat(degree[touched] + many <= room, many)
+        links[target[fits], place[fits]] = source[fits]
+        over = degree[touched] + many > room
+        degree[touched[~over]] += many[~over]
+        # nodes with too many choose again
+        touched, first, many = touched[over], first[over], many[over]
+        for part in range(0, len(touched), BATCH):
+            at, begins, counts = (v[part:part + BATCH] for v in (touched, first, many))
+            wide = np.full((len(at), int(counts.max())), -1)
+            column = np.arange(wide.shape[1])
+            r, c = np.nonzero(column < counts[:, None])
+            wide[r, c] = source[begins[r] + c]
+            links[at, :m], links[at, m:] = _chosen(x, at, np.concatenate([links[at], wide], axis=1), m), -1
+            degree[at] = (links[at, :m] >= 0).sum(axis=1)
     over = np.flatnonzero(links[:-1, m] >= 0)
     for part in range(0, len(over), BATCH):
         at = over[part:part + BATCH]
-        cosine = np.where(links[at] >= 0, np.einsum("ij,ikj->ik", x[at], x[links[at]]), -np.inf)
-        links[at, :m] = _spread(x, links[at], cosine, m)
+        links[at, :m] = _chosen(x, at, links[at], m)
     return links[:-1, :m]
 
 
+def _chosen(x: np.ndarray, rows: np.ndarray, near: np.ndarray, m: int) -> np.ndarray:
+    """m links of each row out of lists in any order (-1: none); of a longer list the best 2 * m are looked at."""
+    cosine = np.where(near >= 0, np.einsum("ij,ikj->ik", x[rows], x[near]), -np.inf)
+    best = np.argsort(-cosine, axis=1, kind="stable")[:, :2 * m]
+    return _spread(x, np.take_along_axis(near, best, axis=1), np.take_along_axis(cosine, best, axis=1), m)
+
+
 class Graph:
     """The graph of one shard. Which layers a node is in follows from its place, so a shard's graph is always the same."""
 
@@ -199,16 +212,19 @@ class Graph:
         """Found links, as a matrix of queries by nodes."""
         return np.unpackbits(self.packed_links_of(queries, threshold, beam), axis=1, count=len(self.x)).view(bool)
 
-    def packed_links_of(self, queries: np.ndarray, threshold: float, beam: int) -> np.ndarray:
-        """Found links, as a matrix of queries by nodes with eight nodes a byte."""
+    def packed_links_of(self, queries: np.ndarray, threshold: float, beam: int, own: bool = False) -> np.ndarray:
+        """Found links, as a matrix of queries by nodes with eight nodes a byte.
+
+        If the queries are the nodes, in order (``own``), the lowest layer is entered at the query itself.
+        """
         packed = np.zeros((len(queries), (len(self.x) + 7) // 8), np.uint8)
         upper = self.layers[:-1]
         for begin in range(0, len(queries), BATCH):
             block = queries[begin:begin + BATCH]
             hits = np.zeros((len(block), len(self.x)), bool)
             rows = np.arange(len(block))
-            at = np.full(len(rows), self.top)
-            for links in upper:
+            at = begin + rows if own else np.full(len(rows), self.top)
+            for links in () if own else upper:
                 at = _beam(self.x, links, block, at, 1)[0][:, 0]
             width = beam
             while rows.size:
@@ -228,22 +244,52 @@ class Graph:
         return packed
 
 
-def search(graph: Graph, queries: np.ndarray, audited: np.ndarray, threshold: float) -> np.ndarray:
+def share_found(hits: np.ndarray, exact: np.ndarray) -> float:
+    """The mean share of its links that a query with links found; 1 if none has any. Both matrices are packed."""
+    wanted = np.bitwise_count(exact).sum(axis=1, dtype=np.int64)
+    got = np.bitwise_count(hits & exact).sum(axis=1, dtype=np.int64)
+    return float((got[wanted > 0] / wanted[wanted > 0]).mean()) if wanted.any() else 1.0
+
+
+def _exact(graph: Graph, queries: np.ndarray, threshold: float) -> np.ndarray:
+    """All links of the queries, packed."""
+    return np.concatenate([
+        np.packbits(queries[b:b + BATCH] @ graph.x.T >= threshold, axis=1) for b in range(0, max(1, len(queries)), BATCH)])
+
+
+def audit(graph: Graph, queries: np.ndarray, order: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(audited queries, their links, packed): the first of ``order``, and more of it until enough of them have links."""
+    end = min(len(order), max(8, -(-len(order) // AUDIT_EVERY)))
+    exact = _exact(graph, queries[order[:end]], threshold)
+    while end < len(order) and np.count_nonzero(exact.any(axis=1)) < AUDIT_LINKED:
+        more = min(len(order), 2 * end)
+        exact = np.concatenate([exact, _exact(graph, queries[order[end:more]], threshold)])
+        end = more
+    return order[:end], exact
+
+
+def search(graph: Graph, queries: np.ndarray, ids: np.ndarray, threshold: float, own: bool = False) -> np.ndarray:
     """Links of all queries, packed; the beam is widened until the audited queries have enough of theirs."""
     beam = SEARCH_BEAM
-    exact = np.concatenate([
-        np.packbits(queries[audited[b:b + BATCH]] @ graph.x.T >= threshold, axis=1) for b in range(0, len(audited), BATCH)])
-    wanted = RECALL * np.bitwise_count(exact).sum(dtype=np.int64)
+    audited, exact = audit(graph, queries, _audit_order(ids), threshold)
     while True:
-        hits = graph.packed_links_of(queries, threshold, beam)
-        if np.bitwise_count(hits[audited] & exact).sum(dtype=np.int64) >= wanted or beam >= len(graph.x):
+        hits = graph.packed_links_of(queries, threshold, beam, own)
+        if share_found(hits[audited], exact) >= RECALL or beam >= len(graph.x):
             return hits
         beam *= 2
 
 
-def _audited(ids: np.ndarray) -> np.ndarray:
-    chosen = np.flatnonzero(ids % AUDIT_EVERY == 0)
-    return chosen if len(chosen) >= 8 else np.union1d(chosen, np.arange(0, len(ids), max(1, len(ids) // 32)))
+def met_from(there: np.ndarray, graph: Graph, queries: np.ndarray, ids: np.ndarray, threshold: float) -> bool:
+    """Whether the links found from the graph's nodes (packed: nodes by queries) hold enough of those the queries have."""
+    audited, exact = audit(graph, queries, _audit_order(ids), threshold)
+    turned = (there[:, audited >> 3] >> (7 - (audited & 7)).astype(np.uint8) & 1).T
+    return share_found(np.packbits(turned, axis=1), exact) >= RECALL
+
+
+def _audit_order(ids: np.ndarray) -> np.ndarray:
+    """Queries in an order that only their ids decide and that says nothing about their vectors."""
+    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return np.lexsort((ids, mixed ^ mixed >> np.uint64(29)))
 
 
 def _vectors(table: pa.Table) -> np.ndarray:
@@ -269,11 +315,14 @@ def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, Graph]:
     return ids, counts, graph
 
 
-def _either_way(there: np.ndarray, back: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Blocks of rows of the links found from either side, with the first row's place; both matrices are packed."""
+def _either_way(there: np.ndarray, back: np.ndarray | None, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Blocks of rows of the links found from either side, with the first row's place; the matrices are packed."""
     step = max(8, CELLS // width // 8 * 8)
     for begin in range(0, len(there), step):
         hits = np.unpackbits(there[begin:begin + step], axis=1, count=width).view(bool)
+        if back is None:
+            yield begin, hits
+            continue
         turned = np.unpackbits(back[:, begin // 8:(begin + step) // 8], axis=1)[:, :len(hits)].view(bool)
         yield begin, hits | turned.T
 
@@ -285,17 +334,17 @@ def _pair(threshold: float):
         ids_a, counts_a, a = sides[0]
         ids_b, counts_b, b = sides[-1]
         single = len(sides) == 1
-        there = search(b, a.x, _audited(ids_a), threshold)
-        back = there if single else search(a, b.x, _audited(ids_b), threshold)
+        there = search(b, a.x, ids_a, threshold, own=single)
+        back = there if single else None if met_from(there, a, b.x, ids_b, threshold) else search(a, b.x, ids_b, threshold)
         ids, shift = (ids_a, 0) if single else (np.r_[ids_a, ids_b], len(ids_a))
-        linked_a, linked_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+        linked_a, linked_b = np.zeros(len(ids_a)), np.zeros(len(ids_b))  # whole numbers, exact up to 2 ** 53
         label = np.arange(len(ids))
         for begin, hits in _either_way(there, back, len(ids_b)):
             if single:
                 np.fill_diagonal(hits[:, begin:], False)
-            linked_a[begin:begin + len(hits)] = hits @ counts_b
-            linked_b += counts_a[begin:begin + len(hits)] @ hits
             i, j = np.nonzero(hits)
+            linked_a[begin:begin + len(hits)] = np.bincount(i, counts_b[j], len(hits))
+            linked_b += np.bincount(j, counts_a[begin + i], len(ids_b))
             join_trees(label, i + begin, j + shift)
         found = [(ids_a, linked_a)] if single else [(ids_a, linked_a), (ids_b, linked_b)]
         flatten(label)
@@ -305,7 +354,7 @@ def _pair(threshold: float):
         return pa.table({
             "u": pa.array(np.r_[ids[hung], u[some]], pa.int64()),
             "v": pa.array([*ids[label[hung]].tolist(), *[None] * int(some.sum())], pa.int64()),
-            "n": pa.array([*[None] * len(hung), *n[some].tolist()], pa.int64())})
+            "n": pa.array([*[None] * len(hung), *n[some].astype(np.int64).tolist()], pa.int64())})
 
     return run
 

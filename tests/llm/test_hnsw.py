@@ -82,3 +82,68 @@ def test_blocks_of_both_directions(monkeypatch):
     blocks = list(hnsw._either_way(np.packbits(there, axis=1), np.packbits(back, axis=1), 37))
     assert [b for b, _ in blocks] == list(range(0, 83, 8))
     assert np.array_equal(np.concatenate([h for _, h in blocks]), there | back.T)
+    one_way = list(hnsw._either_way(np.packbits(there, axis=1), None, 37))
+    assert np.array_equal(np.concatenate([h for _, h in one_way]), there)
+
+
+def test_sparse_queries_are_not_hidden_by_a_hot_group():
+    """A thousand links of one group cannot make up for the only links of others."""
+    exact = np.zeros((40, 64), bool)
+    exact[:20] = True  # the hot group
+    exact[range(20, 40), range(20, 40)] = True
+    found = exact.copy()
+    found[20:40] = False
+    assert (found & exact).sum() / exact.sum() > 0.98
+    assert hnsw.share_found(np.packbits(found, axis=1), np.packbits(exact, axis=1)) == 0.5
+    nothing = np.zeros((5, 8), np.uint8)
+    assert hnsw.share_found(nothing, nothing) == 1
+
+
+def test_audit_goes_on_until_enough_have_links():
+    """Links that only a few queries at the end have are looked for all the same."""
+    x = hnsw.unit_rows(np.random.default_rng(5).normal(size=(3000, 32)))
+    graph = hnsw.Graph(x[:200])
+    order = np.arange(2000)
+    audited, exact = hnsw.audit(graph, np.concatenate([x[200:1200], x[:40], x[1200:2160]]), order, 0.93)
+    assert exact.any(axis=1).sum() >= hnsw.AUDIT_LINKED and 1000 < len(audited) <= 2000
+    audited, _ = hnsw.audit(graph, x[200:2200], order, 0.93)
+    assert len(audited) == 2000  # none has a link: all have been looked at
+
+
+def test_the_other_way_is_searched_only_if_the_audit_fails():
+    rows = made(7, 1600, 32)
+    x = hnsw.unit_rows(np.array([r[1] for r in rows]))
+    a, b = hnsw.Graph(x[:800]), x[800:]
+    ids = np.arange(800)
+    exact = np.packbits(a.x @ b.T >= 0.93, axis=1)
+    assert hnsw.met_from(exact, a, b, ids, 0.93)
+    assert not hnsw.met_from(np.zeros_like(exact), a, b, ids, 0.93)
+
+
+def test_several_full_shards_with_a_hot_group():
+    """Four shards of one label: recall for links of a group of a third of all vectors, and of sparse pairs apart."""
+    rng = np.random.default_rng(11)
+    width, n, hot = 32, 3000, 1000
+    sparse = rng.normal(size=((n - hot) // 2, width))
+    near = sparse + rng.normal(size=sparse.shape) * 0.04
+    group = rng.normal(size=width) + rng.normal(size=(hot, width)) * 0.1
+    x = hnsw.unit_rows(np.concatenate([sparse, near, group]))[np.random.default_rng(1).permutation(n)]
+    shards = np.array_split(np.arange(n), 4)
+    graphs = [hnsw.Graph(x[s]) for s in shards]
+    exact, found = x @ x.T >= 0.93, np.zeros((n, n), bool)
+    for i, a in enumerate(graphs):
+        for j in range(i, 4):
+            b = graphs[j]
+            there = hnsw.search(b, a.x, shards[i], 0.93, own=i == j)
+            one_way = i == j or hnsw.met_from(there, a, b.x, shards[j], 0.93)
+            back = there if i == j else None if one_way else hnsw.search(a, b.x, shards[j], 0.93)
+            for begin, hits in hnsw._either_way(there, back, len(shards[j])):
+                at = shards[i][begin:begin + len(hits)]
+                found[np.ix_(at, shards[j])] |= hits
+                found[np.ix_(shards[j], at)] |= hits.T
+    assert not (found & ~exact).any()
+    np.fill_diagonal(exact, False)
+    many = exact.sum(axis=1)
+    for chosen in ((many > 0) & (many < 5), many > 300):
+        assert chosen.sum() > 500
+        assert (found & exact)[chosen].sum() / exact[chosen].sum() >= 0.95
