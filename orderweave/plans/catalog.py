@@ -11,11 +11,11 @@ from orderweave import schemas as S
 from orderweave.functions import codes, messages, numbers, rules, text
 from orderweave.operators import allocate, corroborate, counts, filters, lag, mutate, records, views
 from orderweave.plans.oracle import with_views
-from orderweave.session import scratch, use_utc
+from orderweave.session import materialize, scratch, use_utc
 from orderweave.sources import generate, reports
 from orderweave.sources.driver_tables import PARTITIONS, DriverTables
 from orderweave.sources.snapshots import SnapshotStore
-from orderweave.streaming import flows, runs, state
+from orderweave.streaming import flows, runs, state, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1110,6 +1110,26 @@ def _(t):
     return corroborate.stall_check(daily, "day", "pending")
 
 
+@query("stall_stream", """
+SELECT check_id, max(day) AS day, arg_max(pending, day) AS pending, arg_max(previous, day) AS previous,
+       CAST(count(*) FILTER (WHERE pending > 0 AND pending >= previous) AS BIGINT) AS stalls, CAST(0 AS BIGINT) AS late
+FROM (SELECT *, lag(pending) OVER (PARTITION BY check_id ORDER BY day) AS previous
+      FROM (SELECT operation AS check_id, CAST(ts AS DATE) AS day, count(*) AS pending FROM request WHERE result = 10
+            GROUP BY 1, 2))
+GROUP BY check_id""")
+def _(t):
+    """The pending requests of each operation by day, as a stream whose days come in three files one after the other."""
+    path = scratch(t.spark, "stall-stream")
+    counts = materialize(t.request().where(F.col("result") == S.PENDING).groupBy(
+        F.col("operation").alias("check_id"), F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("pending")), "counts")
+    first, days = counts.agg(F.min("day"), F.datediff(F.max("day"), F.min("day")) + 1).first()
+    placed = counts.withColumn("part", F.floor(3 * F.datediff("day", F.lit(first)) / F.lit(days)))
+    for part in range(3):
+        placed.where(F.col("part") == part).select(*counts.columns).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = flows.file_stream(t.spark, f"{path}/in", counts.schema, 1)
+    return watch.stall_stream(stream, "check_id", "day", "pending", path)
+
+
 @query("compact_latest", """
 SELECT msg_key, max(offset_id) AS offset_id, arg_max(msg_value, offset_id) AS msg_value,
        arg_max(request_id, offset_id) AS request_id
@@ -1200,3 +1220,17 @@ FROM delivered WHERE broken OR qty > 4""")
 def _(t):
     parsed = records.dead_letter_split(t.delivery())
     return corroborate.contract_violations(parsed, _contract())
+
+
+@query("contract_stream", """
+SELECT topic || '/' || CAST(partition_id AS VARCHAR) || '/' || CAST(offset_id AS VARCHAR) AS record_id, attempt,
+       CASE WHEN broken OR qty > 4 THEN 'requests-dlt' ELSE 'requests' END AS target_topic,
+       CASE WHEN broken THEN 'msg_value:schema' WHEN qty > 4 THEN 'qty:num_max' END AS violations
+FROM delivered""")
+def _(t):
+    """All deliveries as a stream of several batches: those that break the contract go to the dead letters of their batch."""
+    store = SnapshotStore(t.spark, scratch(t.spark, "contract"))
+    t.delivery().repartition(6, "attempt", "offset_id").write.parquet(f"{store.root}/in")
+    stream = flows.file_stream(t.spark, f"{store.root}/in", t.delivery().schema, 3)
+    accepted, dead = watch.contract_stream(store, stream, _contract(), "contract", ["attempt"])
+    return accepted.unionByName(dead)
