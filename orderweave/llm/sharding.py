@@ -4,7 +4,7 @@ No ring table is kept. When shards are appended, only rows that move into the ne
 built-in SQL functions.
 
 Defined cases: a null key is a key of its own (all such rows share a shard); repeated rows share a shard and get
-different slots; a null text has size 1 (and a null checksum); an empty table gives no rows; other columns pass
+different slots; a null text has size 1 and checksum 0; an empty table gives no rows; other columns pass
 through, and helper columns start with two underscores.
 """
 
