@@ -38,8 +38,12 @@ def word(n: Column, stream: int) -> Column:
 
 
 def draw(word_column: str, count: int) -> Column:
-    """A reproducible uniform number 0..count-1 from a word."""
-    return mix_id32(F.col(word_column)) % F.lit(count)
+    """A reproducible uniform number 0..count-1 from a word; never null.
+
+    A remainder may be null for the optimizer, so a join on it would be given a test for nulls, and that is pushed down with
+    the whole mix written out in place: thousands of terms that no projection shares any more, worked out for each row.
+    """
+    return F.coalesce(mix_id32(F.col(word_column)) % F.lit(count), F.lit(0).cast("long"))
 
 
 def _size(df: DataFrame) -> int:

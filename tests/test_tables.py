@@ -259,6 +259,17 @@ def test_draws_are_uniform(spark):
     assert len(n) == 10 and min(n) > 1700 and max(n) < 2300
 
 
+def test_drawing_is_not_repeated_in_a_filter(spark):
+    """A join on a draw that may be null gets a test for nulls with the whole mix written out below the projections."""
+    person = spark.range(300).select(F.col("id").alias("person_id"))
+    product = spark.range(7).select(F.col("id").alias("product_id"))
+    for drawn in (generate.seed_requests(spark, person, product, 5), generate.gen_requests(spark, person, product, 40, 5)):
+        plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if "Filter" in line]
+        assert "shiftright" in plan and not [line for line in filters if "shiftright" in line]
+        assert drawn.count() == 40
+
+
 def test_seed_dataset(spark):
     data = generate.gen_seed_dataset(spark)
     assert {k: df.count() for k, df in data.items()} == {"person": 10, "product": 10, "inventory": 10, "request": 400}
