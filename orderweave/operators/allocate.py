@@ -34,6 +34,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def _walker(side: Side) -> Callable:
 
     def walk(rows, notes):
         """Returns (sorted rows, passes, state before each row, key segments)."""
-        rows = rows.sort_values([key, "request_id"], kind="stable", ignore_index=True)
+        rows = rows.take(np.lexsort((rows["request_id"], rows[key]))).reset_index(drop=True)
         blocked = rows["request_id"].isin(notes.loc[notes["kind"] == "blocked", "id"]).tolist()
         carried = notes[notes["kind"] == "carry"]
         carry = dict(zip(carried["id"].tolist(), carried["value"].tolist()))
@@ -135,26 +136,26 @@ def _round_task(side: Side, other: Side) -> Callable:
     decisions that concern it.
     """
     walk, other_chunk = _walker(side), other.chunk
+    names = ["kind", "chunk", "key", "entered", "left", "slack", "gap", "failed", "request_id", "other_chunk"]
+    unused = dict.fromkeys(names[3:7], 0) | {"failed": False}
 
     def task(key, rows, notes):
         chunk = int(key[0])
-        out = []
+        out = [pd.DataFrame(columns=names)]
         if len(rows):
             rows, passes, _, segments = walk(rows, notes)
             failing = rows.loc[[not p for p in passes]]
             ends = segments if len(segments) == 1 else [segments[0], segments[-1]]
-            out = [("segment", chunk, *end, 0) for end in ends]
-            out += [
-                ("failed", chunk, 0, 0, 0, 0, 0, False, request, there)
-                for request, there in zip(failing["request_id"].tolist(), failing[other_chunk].tolist())
-            ]
+            out = [pd.DataFrame([("segment", chunk, *end, 0) for end in ends], columns=names)]
+            # a column at a time: failures may be a third of all rows
+            out.append(pd.DataFrame({"kind": "failed", "chunk": chunk, "key": 0, **unused, "request_id": failing["request_id"],
+                                     "other_chunk": failing[other_chunk]}, columns=names))
             earlier = notes.loc[notes["kind"] == "earlier", "id"]
             changed = set(earlier.tolist()).symmetric_difference(failing["request_id"].tolist())
             touched = rows.loc[rows["request_id"].isin(changed)].groupby(other_chunk)["request_id"].agg(["size", "min"])
-            out += [("touched", chunk, n, 0, 0, 0, 0, False, first, there)
-                    for there, n, first in touched.itertuples()]
-        names = ["kind", "chunk", "key", "entered", "left", "slack", "gap", "failed", "request_id", "other_chunk"]
-        return pd.DataFrame(out, columns=names)
+            out.append(pd.DataFrame({"kind": "touched", "chunk": chunk, "key": touched["size"], **unused,
+                                     "request_id": touched["min"], "other_chunk": touched.index}, columns=names))
+        return pd.concat([part for part in out if len(part)] or out, ignore_index=True)
 
     return task
 
@@ -456,7 +457,8 @@ def allocate_requests(request: DataFrame, inventory: DataFrame, product: DataFra
     """
     spark = request.sparkSession
     chunks = _chunk_count(eligible_requests(request).count(), spark, chunk_rows)
-    placed = _lay_out(_price(request, inventory, product, person), STOCK, chunks)
+    # Bounds of ranges are drawn from a run of their own: it reads files instead of repeating the joins.
+    placed = _lay_out(materialize(_price(request, inventory, product, person), "joined"), STOCK, chunks)
     # Chunk numbers depend on sampled range bounds: they are fixed by writing them once.
     placed = materialize(_lay_out(placed, BALANCE, chunks), "priced")
     runs = placed.where("runs")
@@ -488,7 +490,8 @@ def allocate_stock_only(request: DataFrame, inventory: DataFrame, product: DataF
     """The same without the balance test: one resource, so walks exchange nothing but the chunk ends."""
     spark = request.sparkSession
     chunks = _chunk_count(eligible_requests(request).count(), spark, chunk_rows)
-    placed = materialize(_lay_out(_price(request, inventory, product, person), STOCK, chunks), "priced")
+    joined = materialize(_price(request, inventory, product, person), "joined")
+    placed = materialize(_lay_out(joined, STOCK, chunks), "priced")
     goods = _Layout(placed.where("runs"), STOCK, STOCK, chunks)
     try:
         while goods.unsettled:

@@ -168,3 +168,19 @@ def test_empty_input(spark):
     inventory, product, person = parents({1: 5}, {1: "9.00"})
     request, *rest = frames(spark, [], inventory, product, person)
     assert A.allocate_requests(request, *rest).count() == 0
+
+
+def test_ranges_are_drawn_from_written_rows(tables, monkeypatch):
+    """Each range partitioning runs its input once more for the bounds: no join may be left in it."""
+    plans = {}
+
+    def noted(df, label, *rest):
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, label, *rest)
+
+    monkeypatch.setattr(A, "materialize", noted)
+    inputs = tables.request(), tables.inventory(), tables.product(), tables.person()
+    for decide in (A.allocate_requests, A.allocate_stock_only):
+        plans.clear()
+        decide(*inputs)
+        assert "RepartitionByExpression" in plans["priced"] and "Join" not in plans["priced"]
