@@ -4,12 +4,13 @@ The words from a place to the end of its piece, at most ``longest``, are the suf
 cut off at that depth, has a node for each phrase, and the leaves below a node are its occurrences. The tree is never built as a
 whole:
 
-1. Texts are cut into chunks of word numbers with a word list each, written once. Words are counted over all chunks; only those
-   that occur often enough can be in a candidate, the others end a suffix. The kept words get dense numbers.
+1. Texts are cut into chunks of word numbers with a word list each, written once. The word lists are dealt by word, one packed
+   row for each chunk and bucket of words, and counted; only words that occur often enough can be in a candidate, the others
+   end a suffix. The kept words get dense numbers, which go back the same way, and each chunk is written once in these numbers.
 2. Words are packed, in order, into groups of less than two budgets of occurrences. A word with more than one budget is
-   lengthened: its prefixes of two words are dealt by hash into as many groups as it has budgets. They are counted over all
-   chunks, and those that are themselves more than a budget are lengthened in turn, up to the full depth, where equal suffixes
-   are one row per chunk.
+   lengthened: its prefixes of two words are dealt by hash into as many groups as it has budgets. Those that can be more than a
+   budget themselves, as each of their words is, are counted over all chunks, and those that are get lengthened in turn, up to the
+   full depth, where equal suffixes are one row per chunk. Chunks stay where they are for this; the few prefixes come to them.
 3. Each chunk sends its suffixes, equal ones merged, to the groups of their prefixes. A group is one task: it sorts its
    suffixes, which lays its subtrees side by side, and reads the count of every node from the totals of its leaves. Nodes
    above a group's prefixes were counted when these were lengthened.
@@ -25,12 +26,12 @@ repeated ones too; words are compared as bytes after A-Z are lower-cased; an emp
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -50,10 +51,11 @@ STRETCH = 1 << 22
 
 
 class Sizes(NamedTuple):
-    """Words of a chunk, and occurrences of the prefixes of a group."""
+    """Words of a chunk, occurrences of the prefixes of a group, and listed words of a bucket."""
 
     chunk: int = 1 << 21
     budget: int = 1 << 20
+    bucket: int = 1 << 19
 
 
 _LOWER = bytes(
@@ -91,23 +93,43 @@ class Chunk:
         return np.maximum(np.concatenate(self.parts) - 2, -1)
 
 
-_CHUNKS = "kind string, chunk long, lang string, idx int, word string, n long, ids binary"
+def _zipped(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
-def _chunk_rows(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of two kinds: the word numbers of a chunk, and its words with their counts. A chunk has one language."""
-    names = [c.split()[0] for c in _CHUNKS.split(", ")]
+def _unzipped(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+
+
+def pack(numbers: np.ndarray, kind: str = "<i4") -> bytes:
+    """Numbers as zipped planes: all lowest bytes, then all next ones; the high ones are mostly equal."""
+    raw = np.ascontiguousarray(numbers, kind)
+    return _zipped(raw.view(np.uint8).reshape(-1, raw.itemsize).T.tobytes())
+
+
+def unpack(data: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(_unzipped(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
 
+_CHUNKS = "chunk long, lang string, total long, listed long, words binary, counts binary, ids binary"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _chunk_rows(docs: DataFrame, size: int) -> DataFrame:
+    """A row for each chunk: its word list with counts, and its word numbers. A chunk has one language."""
     def close(chunk: Chunk, lang: str, number: int) -> pa.RecordBatch:
         ids = chunk.ids()
         words = list(chunk.words)[2:]
         counts = np.bincount(ids[ids >= 0], minlength=len(words))
-        n = len(words)
-        texts = pa.array([w.decode("utf-8", "surrogatepass") for w in words] + [None], pa.string())
         return pa.RecordBatch.from_arrays([
-            pa.array(["word"] * n + ["ids"]), pa.array(np.full(n + 1, number)), pa.array([lang] * (n + 1)),
-            pa.array([*range(n), None], pa.int32()), texts, pa.array([*counts.tolist(), None], pa.int64()),
-            pa.array([None] * n + [ids.astype("<i4").tobytes()], pa.binary())], names=names)
+            pa.array([number], pa.int64()), pa.array([lang], pa.string()), pa.array([int(counts.sum())], pa.int64()),
+            pa.array([len(words)], pa.int64()), pa.array([_zipped(b"\n".join(words))], pa.binary()),
+            pa.array([pack(counts, "<i8")], pa.binary()), pa.array([pack(ids)], pa.binary())], names=_names(_CHUNKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, open_chunks, held = TaskContext.get().partitionId() << 32, {}, 0
@@ -181,31 +203,133 @@ def _hashed(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _budgets(known: pa.Table, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """The prefixes of this level that are lengthened, and into how many groups each."""
-    rows = known.filter(pa.array((pc.list_value_length(known.column("prefix")).to_numpy(zero_copy_only=False) == level)
-                                 & known.column("budgets").is_valid().to_numpy(zero_copy_only=False)))
-    return (rows.column("prefix").combine_chunks().flatten().to_numpy().reshape(-1, level), rows.column("budgets").to_numpy())
+_DEALT = "bucket long, chunk long, lang string, words binary, counts binary, idx binary"
+
+
+def _dealt(buckets: int):
+    """A chunk's word list as a row for each bucket; ``idx`` are the words' numbers in the chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, lang, words, counts in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                words = _unzipped(words).split(b"\n") if words[:8] != bytes(8) else []
+                if not words:
+                    continue
+                counts = unpack(counts, "<i8")
+                bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+                out = [(int(bucket[idx[0]]), chunk, lang, _zipped(b"\n".join(map(words.__getitem__, idx.tolist()))),
+                        pack(counts[idx], "<i8"), pack(idx)) for idx in np.split(order, cuts)]
+                kinds = [pa.int64(), pa.int64(), pa.string()] + [pa.binary()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_names(_DEALT))
+
+    return run
+
+
+_COUNTED = "bucket long, lang string, word string, n long, local long, chunk long, idx binary, locals binary"
+
+
+def _counted(least: int):
+    """The words of a bucket that occur often enough, numbered in the bucket; and for each chunk where it has which of them."""
+    def run(key, table):
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("lang", "chunk", "words", "counts", "idx"))))
+        bucket, out, before = key[0].as_py(), [], 0
+        for lang in sorted({r[0] for r in rows}):
+            mine = [r for r in rows if r[0] == lang]
+            numbers = _Numbers()
+            lists = [np.array([numbers[w] for w in _unzipped(r[2]).split(b"\n")]) for r in mine]
+            n = np.zeros(len(numbers), np.int64)
+            for at, r in zip(lists, mine):
+                n[at] += unpack(r[3], "<i8")  # a list has a word once
+            often = n >= least
+            local = np.cumsum(often) - 1 + before
+            before += int(often.sum())
+            out += [(bucket, lang, w.decode("utf-8", "surrogatepass"), c, i, None, None, None)
+                    for w, c, i, keep in zip(numbers, n.tolist(), local.tolist(), often.tolist()) if keep]
+            for at, r in zip(lists, mine):
+                keep = often[at]
+                if keep.any():
+                    out.append((bucket, None, None, None, None, r[1], pack(unpack(r[4])[keep]), pack(local[at[keep]], "<i8")))
+        kinds = [pa.int64(), pa.string(), pa.string()] + [pa.int64()] * 3 + [pa.binary()] * 2
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 8, kinds)], names=_names(_COUNTED))
+
+    return run
+
 
+_ROUTES = "chunk long, idx binary, gids binary, parts binary, budgets binary"
 
-def _route(ids: np.ndarray, known: pa.Table, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def _routes(numbered: pa.Table, chunks: pa.Table) -> pa.Table:
+    """A bucket's numbers sent back to the chunks: gid, part (-1: lengthened) and budgets (0: not lengthened) of each word."""
+    order = np.argsort(numbered.column("local").to_numpy())
+    gid, part, budgets = (numbered.column(c).fill_null(x).to_numpy()[order] for c, x in (("gid", -1), ("part", -1), ("budgets", 0)))
+    out = []
+    for chunk, idx, local in zip(*(chunks.column(c).to_pylist() for c in ("chunk", "idx", "locals"))):
+        local = unpack(local, "<i8")
+        out.append((chunk, idx, *(pack(x[local], "<i8") for x in (gid, part, budgets))))
+    kinds = [pa.int64()] + [pa.binary()] * 4
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 5, kinds)], names=_names(_ROUTES))
+
+
+_PLACED = "chunk long, places binary, gids binary, parts binary, budgets binary"
+
+
+def _placed(key, chunk: pa.Table, routes: pa.Table) -> pa.Table:
+    """A chunk in numbers of its frequent words by ascending gid, -1 where others or ends of pieces are, one for a run of these."""
+    out = []
+    if len(chunk) and len(routes):
+        ids = unpack(chunk.column("ids")[0].as_py())
+        idx = np.concatenate([unpack(x) for x in routes.column("idx").to_pylist()])
+        gid, part, budgets = (np.concatenate([unpack(x, "<i8") for x in routes.column(c).to_pylist()])
+                              for c in ("gids", "parts", "budgets"))
+        order = np.argsort(gid)
+        own = np.full(int(max(ids.max(initial=-1), idx.max(initial=-1))) + 2, -1, np.int32)  # the last is the end of a piece
+        own[idx[order]] = np.arange(len(order))
+        places = own[ids]
+        places = places[(places >= 0) | np.r_[True, places[:-1] >= 0]]
+        out.append((key[0].as_py(), pack(places), *(pack(x[order], "<i8") for x in (gid, part, budgets))))
+    kinds = [pa.int64()] + [pa.binary()] * 4
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 5, kinds)], names=_names(_PLACED))
+
+
+class Placed(NamedTuple):
+    """A chunk: places as numbers of its words, the words' gids, parts and budgets, and its longer lengthened prefixes."""
+
+    chunk: int
+    places: np.ndarray
+    gids: np.ndarray
+    parts: np.ndarray
+    budgets: np.ndarray
+    longer: list[dict]
+
+    def lengthened(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The prefixes of this level that are lengthened, and into how many groups each."""
+        if level == 1:
+            heavy = self.budgets > 0
+            return self.gids[heavy].reshape(-1, 1), self.budgets[heavy]
+        rows = [x for x in self.longer if len(x["prefix"]) == level]
+        return (np.array([x["prefix"] for x in rows], np.int64).reshape(-1, level),
+                np.array([x["budgets"] for x in rows], np.int64))
+
+
+def _each_placed(batches: Iterator[pa.RecordBatch]) -> Iterator[Placed]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            chunk, places, gids, parts, budgets, longer = (batch.column(c)[i].as_py() for c in range(6))
+            yield Placed(chunk, unpack(places), *(unpack(x, "<i8") for x in (gids, parts, budgets)), longer or [])
+
+
+def _route(chunk: Placed, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(suffixes, group, depth) of one chunk. The group's subtrees are complete from ``depth`` words on. Suffixes of a lengthened
     prefix of ``longest - 1`` words have the depth ``longest`` and no group, -1.
-
-    ``known`` has the chunk's words (idx, prefix, part) and its lengthened prefixes (prefix, budgets).
     """
-    first = known.filter(known.column("idx").is_valid())
-    idx, gid = first.column("idx").to_numpy(), first.column("prefix").combine_chunks().flatten().to_numpy()
-    size = int(max(ids.max(initial=-1), idx.max(initial=-1))) + 2
-    of_word, part_of_word = np.full(size, -1), np.full(size, -1)  # the last is the end of a piece
-    of_word[idx], part_of_word[idx] = gid, first.column("part").fill_null(-1).to_numpy()
-    words = of_word[ids]
+    words = np.r_[chunk.gids, -1][chunk.places]
     matrix = suffixes(words, longest)
     ahead = np.r_[words[1:], -1]
-    group = part_of_word[ids[(words >= 0) & (ahead >= 0)]]
+    group = chunk.parts[chunk.places[(words >= 0) & (ahead >= 0)]]
     depth = np.ones(len(matrix), np.int64)
     for level in range(1, longest):
-        prefixes, budgets = _budgets(known, level)
+        prefixes, budgets = chunk.lengthened(level)
         if not len(prefixes):
             break
         # light prefixes of the level were dealt a level earlier; of the others, those that go on are dealt by one word more
@@ -224,17 +348,21 @@ def _route(ids: np.ndarray, known: pa.Table, longest: int) -> tuple[np.ndarray,
     return matrix, group, depth
 
 
+_PREFIXES = "chunk long, prefix array<long>, n long"
+
+
 def _lengthened(level: int, longest: int):
-    """A chunk's counts of the prefixes of ``level`` words below those that were lengthened."""
-    def run(key, chunk: pa.Table, known: pa.Table) -> pa.Table:
-        if not len(chunk) or not len(known):
-            return pa.table({"chunk": pa.array([], pa.int64()), "prefix": pa.array([], pa.list_(pa.int64())),
-                             "n": pa.array([], pa.int64())})
-        matrix, _, depth = _route(np.frombuffer(chunk.column("ids")[0].as_py(), "<i4"), known, longest)
-        matrix = matrix[depth == level][:, :level]
-        rows, counts = merged(matrix[matrix[:, -1] >= 0], np.ones(int((matrix[:, -1] >= 0).sum()), np.int64))
-        return pa.table({"chunk": pa.array(np.full(len(rows), key[0].as_py()), pa.int64()), "prefix": _lists(rows),
-                         "n": pa.array(counts, pa.int64())})
+    """Each chunk's counts of the prefixes of ``level`` words below those that were lengthened. Only words with more than one
+    budget make a prefix with more than one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _each_placed(batches):
+            matrix, _, depth = _route(chunk, longest)
+            matrix = matrix[depth == level][:, :level]
+            matrix = matrix[np.isin(matrix, chunk.lengthened(1)[0]).all(axis=1)]
+            rows, counts = merged(matrix, np.ones(len(matrix), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), chunk.chunk), pa.int64()), _lists(rows), pa.array(counts, pa.int64())],
+                names=_names(_PREFIXES))
 
     return run
 
@@ -244,15 +372,18 @@ def _lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(cuts, pa.array(matrix.astype(np.int64).ravel()))
 
 
+_SENT = "part long, depth int, rows binary, counts binary, prefix array<long>, n long"
+
+
 def _sent(longest: int, kind: str):
-    """A chunk's suffixes, equal ones merged, as one packed row for each group, word by word so that they compress.
+    """Each chunk's suffixes, equal ones merged, as one packed row for each group, word by word so that they compress.
 
     A prefix of ``longest - 1`` words that is still too frequent has no group: its leaves go by themselves, (prefix, n).
     """
-    def run(key, chunk: pa.Table, known: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if len(chunk) and len(known):
-            matrix, group, depth = _route(np.frombuffer(chunk.column("ids")[0].as_py(), "<i4"), known, longest)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _each_placed(batches):
+            out: list[tuple] = []
+            matrix, group, depth = _route(chunk, longest)
             # behind a lengthened prefix there is nothing to count in a suffix that ends with it
             some = matrix[np.arange(len(matrix)), depth - 1] >= 0
             rows, counts = merged(np.column_stack([group[some], depth[some], matrix[some]]), np.ones(int(some.sum()), np.int64))
@@ -262,11 +393,10 @@ def _sent(longest: int, kind: str):
                 if part < 0:
                     out += [(None, level, None, None, r, n) for r, n in zip(rows[a:b, 2:].tolist(), counts[a:b].tolist())]
                 else:
-                    out.append((part, level, rows[a:b, 2:].T.astype(kind).tobytes(), counts[a:b].astype("<i4").tobytes(), None, None))
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
-        return pa.Table.from_arrays(
-            [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
-            names=["part", "depth", "rows", "counts", "prefix", "n"])
+                    out.append((part, level, pack(rows[a:b, 2:].T.ravel(), kind), pack(counts[a:b]), None, None))
+            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=_names(_SENT))
 
     return run
 
@@ -275,8 +405,8 @@ def _subtree(longest: int, least: int, kind: str):
     """All nodes of a group's subtrees that occur often enough, from the prefixes' own depth down."""
     def run(table: pa.Table) -> pa.Table:
         depth = table.column("depth")[0].as_py()
-        matrix = np.concatenate([np.frombuffer(r.as_py(), kind).reshape(longest, -1).T for r in table.column("rows")])
-        counts = np.concatenate([np.frombuffer(c.as_py(), "<i4") for c in table.column("counts")])
+        matrix = np.concatenate([unpack(r.as_py(), kind).reshape(longest, -1).T for r in table.column("rows")])
+        counts = np.concatenate([unpack(c.as_py()) for c in table.column("counts")])
         matrix, counts = merged(matrix, counts.astype(np.int64))
         found, totals = [], []
         for k in range(max(2, depth), longest + 1):
@@ -303,8 +433,17 @@ def _budgets_of(budget: int) -> Column:
     return F.expr(f"n div {budget} + 1").alias("budgets")
 
 
+def _beside(placed: DataFrame, longer: DataFrame | None) -> DataFrame:
+    """Each chunk with its lengthened prefixes of two and more words. These are few, so that a chunk is rarely moved for them."""
+    if longer is None:
+        return placed.withColumn("longer", F.lit(None).cast("array<struct<prefix: array<long>, budgets: long>>"))
+    by_chunk = materialize(longer.groupBy(F.col("chunk").alias("of")).agg(
+        F.collect_list(F.struct("prefix", "budgets")).alias("longer")), "longer-by-chunk")
+    return placed.join(by_chunk, F.col("chunk") == F.col("of"), "left").drop("of")
+
+
 class Counts(NamedTuple):
-    """``words``: gid, lang, word, n of frequent words; ``phrases``: prefix (gids), n; ``totals``: lang, total of all words."""
+    """``words``: gid, lang, word, n and more of frequent words; ``phrases``: prefix (gids), n; ``totals``: lang, total of all words."""
 
     words: DataFrame
     phrases: DataFrame
@@ -314,29 +453,31 @@ class Counts(NamedTuple):
 def count_phrases(docs: DataFrame, least: int = MIN_COUNT, longest: int = LONGEST, sizes: Sizes = Sizes()) -> Counts:
     """Counts of all phrases of 2 to ``longest`` words that occur at least ``least`` times within pieces."""
     stored = materialize(_chunk_rows(docs, sizes.chunk), "word-chunks")
-    in_chunk = stored.where("kind = 'word'").select("chunk", "lang", "idx", "word", "n")
-    ids = stored.where("kind = 'ids'").select(F.col("chunk").alias("of"), "ids")
-    counted = materialize(in_chunk.groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
-    totals = materialize(counted.groupBy("lang").agg(F.sum("n").alias("total")), "lang-counts")
-    words = materialize(running_total(counted.where(F.col("n") >= least), ["lang", "word"], "gid"), "frequent-words")
+    totals = materialize(stored.groupBy("lang").agg(F.sum("total").alias("total")).where("total > 0"), "lang-counts")
+    buckets = (stored.agg(F.sum("listed")).first()[0] or 0) // sizes.bucket + 1
+    counted = materialize(
+        stored.select("chunk", "lang", "words", "counts").mapInArrow(_dealt(buckets), _DEALT)
+        .groupBy("bucket").applyInArrow(_counted(least), _COUNTED), "word-counts")
+    # frequent words get small numbers, which pack better
+    words = materialize(running_total(
+        counted.where("chunk IS NULL").select("bucket", "local", "lang", "word", "n", F.expr("-n").alias("less")),
+        ["less", "lang", "word"], "gid").drop("less"), "frequent-words")
     kind = "<i4" if words.count() < 1 << 31 else "<i8"
-    numbered = materialize(_packed(words, sizes.budget).drop("n"), "numbered-words")
-    # a shuffle at every size: the words of all chunks grow with the corpus, and so do the frequent ones
-    known = materialize(in_chunk.drop("n").join(numbered.hint("merge"), ["lang", "word"]).select(
-        "chunk", "idx", F.array("gid").alias("prefix"), "part", "budgets"), "routes")
-    phrases, level = [], 2
+    numbered = materialize(_packed(words, sizes.budget).select("bucket", "local", "gid", "part", "budgets"), "numbered-words")
+    routes = numbered.groupBy("bucket").cogroup(
+        counted.where("chunk IS NOT NULL").select("bucket", "chunk", "idx", "locals").groupBy("bucket")).applyInArrow(_routes, _ROUTES)
+    placed = materialize(stored.select(F.col("chunk").alias("of"), "ids").groupBy("of").cogroup(
+        routes.groupBy("chunk")).applyInArrow(_placed, _PLACED), "placed-chunks")
+    phrases, level, longer = [], 2, None
     heavy = numbered.where("budgets IS NOT NULL")
     while level < longest and not heavy.isEmpty():
-        own = materialize(ids.groupBy("of").cogroup(known.groupBy("chunk")).applyInArrow(
-            _lengthened(level, longest), "chunk long, prefix array<long>, n long"), "prefixes")
+        own = materialize(_beside(placed, longer).mapInArrow(_lengthened(level, longest), _PREFIXES), "prefixes")
         heavy = materialize(own.groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") > sizes.budget), "heavy-prefixes")
         phrases.append(heavy.where(F.col("n") >= least))
-        known = materialize(known.unionByName(own.drop("n").join(
-            heavy.select("prefix", _budgets_of(sizes.budget)), "prefix").select(
-            "chunk", F.lit(None).cast("int").alias("idx"), "prefix", F.lit(None).cast("long").alias("part"), "budgets")), "routes")
+        more = own.drop("n").join(heavy.select("prefix", _budgets_of(sizes.budget)), "prefix").select("chunk", "prefix", "budgets")
+        longer = materialize(more if longer is None else longer.unionByName(more), "longer-prefixes")
         level += 1
-    packed = ids.groupBy("of").cogroup(known.groupBy("chunk")).applyInArrow(
-        _sent(longest, kind), "part long, depth int, rows binary, counts binary, prefix array<long>, n long")
+    packed = _beside(placed, longer).mapInArrow(_sent(longest, kind), _SENT)
     if level == longest and not heavy.isEmpty():
         packed = materialize(packed, "suffixes")  # read twice
         phrases.append(packed.where("part IS NULL").groupBy("prefix").agg(F.sum("n").alias("n")).where(F.col("n") >= least))

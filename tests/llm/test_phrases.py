@@ -89,3 +89,26 @@ def test_counts_beyond_64_bits(spark):
 def test_query_is_the_sql(spark):
     folder = "/root/testdata/sf0.01"
     assert spark_rows(QUERIES["op12_collocations"](spark, folder)) == duck_rows(connect(folder), ORACLE["op12_collocations"])
+
+
+def test_chunks_and_buckets_are_packed_rows(spark, monkeypatch):
+    """No table that is written has a row for each chunk and word, and only pairs of lengthened words are counted for lengthening."""
+    written, real = {}, phrases.materialize
+    monkeypatch.setattr(phrases, "materialize", lambda df, label: written.setdefault(label, []).append(real(df, label)) or written[label][-1])
+    rows = some_rows()
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = phrases.mine_phrases(docs, 20, 5, 40, 100, phrases.Sizes(500, 40, 30)).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 20, 5, 40, 100)
+    chunks = written["word-chunks"][0]
+    assert chunks.count() == chunks.select("chunk").distinct().count() >= written["placed-chunks"][0].count() > 10
+    counted = written["word-counts"][0].where("chunk IS NOT NULL")
+    assert counted.count() == counted.select("bucket", "chunk").distinct().count()
+    assert counted.select("bucket").distinct().count() > 1
+    heavy = {r["gid"] for r in written["numbered-words"][0].where("budgets IS NOT NULL").collect()}
+    assert heavy and all(set(r["prefix"]) <= heavy for df in written["prefixes"] for r in df.collect())
+
+
+@given(st.lists(st.integers(-2**31, 2**31 - 1)))
+def test_packed_numbers_come_back(numbers):
+    for kind in ("<i4", "<i8"):
+        assert phrases.unpack(phrases.pack(np.array(numbers, np.int64), kind), kind).tolist() == numbers
